@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.functions import fixed
@@ -64,33 +64,70 @@ def _percent_bands(profile: str) -> Mapping[float, float]:
     return fixed.PERCENT_BANDS if profile == "numeric" else {}
 
 
+def payment_columns(profile: str = "numeric") -> dict[str, Column]:
+    bands = _percent_bands(profile)
+    last = s.percentage(F.col("last_payment_amount"), F.col("monthly_installment"))
+    total = s.percentage(F.col("total_payment_received"), F.col("funded_amount"))
+    return {
+        "last_payment_percentage": last,
+        "total_payment_percentage": total,
+        "last_payment_pts": s.threshold_points(last, bands),
+        "total_payment_pts": s.threshold_points(total, bands),
+    }
+
+
+def default_columns() -> dict[str, Column]:
+    counts = {
+        "delinq_pts": "delinq_2yrs",
+        "public_records_pts": "pub_rec",
+        "public_bankruptcies_pts": "pub_rec_bankruptcies",
+        "enq_pts": "inq_last_6mths",
+    }
+    return {
+        pts: s.threshold_points(F.col(count), fixed.COUNT_BANDS)
+        for pts, count in counts.items()
+    }
+
+
+def financial_columns(profile: str = "numeric") -> dict[str, Column]:
+    status, home, grade = F.col("loan_status"), F.col("home_ownership"), F.col("grade")
+    used = s.percentage(F.col("funded_amount"), F.col("total_high_credit_limit"))
+    return {
+        "credit_limit_utilization": used,
+        "loan_status_pts": s.first_match(
+            [
+                (status == "Fully Paid", POINTS.excellent),
+                (status == "Current", POINTS.very_good),
+                (status == "Late", POINTS.bad),
+            ],
+            POINTS.very_bad,
+        ),
+        "home_pts": s.first_match(
+            [
+                (home == "OWN", POINTS.excellent),
+                (home == "MORTGAGE", POINTS.good),
+                (home == "RENT", POINTS.bad),
+            ],
+            POINTS.very_bad,
+        ),
+        "credit_limit_pts": s.threshold_points(used, _percent_bands(profile)),
+        "grade_pts": s.first_match(
+            [
+                (grade == "A", POINTS.excellent),
+                (grade == "B", POINTS.very_good),
+                (grade == "C", POINTS.good),
+                (grade == "D", POINTS.bad),
+            ],
+            POINTS.very_bad,
+        ),
+    }
+
+
 def calculate_payment_history_score(
     loans_repayments: DataFrame, loans: DataFrame, profile: str = "numeric"
 ) -> DataFrame:
-    bands = _percent_bands(profile)
-    return (
-        loans_repayments.join(loans, "loan_id")
-        .withColumns(
-            {
-                "last_payment_percentage": s.percentage(
-                    F.col("last_payment_amount"), F.col("monthly_installment")
-                ),
-                "total_payment_percentage": s.percentage(
-                    F.col("total_payment_received"), F.col("funded_amount")
-                ),
-            }
-        )
-        .withColumns(
-            {
-                "last_payment_pts": s.threshold_points(
-                    F.col("last_payment_percentage"), bands
-                ),
-                "total_payment_pts": s.threshold_points(
-                    F.col("total_payment_percentage"), bands
-                ),
-            }
-        )
-    )
+    joined = loans_repayments.join(loans, "loan_id")
+    return joined.withColumns(payment_columns(profile))
 
 
 def calculate_defaulters_history_score(
@@ -101,69 +138,21 @@ def calculate_defaulters_history_score(
         detail = detail.join(
             delinquencies.select("member_id", "delinq_2yrs"), "member_id"
         )
-    counts = {
-        "delinq_2yrs": "delinq_pts",
-        "pub_rec": "public_records_pts",
-        "pub_rec_bankruptcies": "public_bankruptcies_pts",
-        "inq_last_6mths": "enq_pts",
-    }
     return detail.select(
-        "member_id",
-        *[
-            s.threshold_points(F.col(count), fixed.COUNT_BANDS).alias(pts)
-            for count, pts in counts.items()
-        ],
+        "member_id", *[value.alias(name) for name, value in default_columns().items()]
     )
 
 
 def calculate_financial_health_score(
     loans: DataFrame, customers: DataFrame, profile: str = "numeric"
 ) -> DataFrame:
+    """Columns that both tables have are taken from the loans."""
     shared = [c for c in customers.columns if c in loans.columns and c != "member_id"]
-    status, home, grade = F.col("loan_status"), F.col("home_ownership"), F.col("grade")
-    bands = _percent_bands(profile)
-    return (
-        loans.join(customers.drop(*shared), "member_id")
-        .withColumn(
-            "credit_limit_utilization",
-            s.percentage(F.col("funded_amount"), F.col("total_high_credit_limit")),
-        )
-        .withColumns(
-            {
-                "loan_status_pts": s.first_match(
-                    [
-                        (status == "Fully Paid", POINTS.excellent),
-                        (status == "Current", POINTS.very_good),
-                        (status == "Late", POINTS.bad),
-                    ],
-                    POINTS.very_bad,
-                ),
-                "home_pts": s.first_match(
-                    [
-                        (home == "OWN", POINTS.excellent),
-                        (home == "MORTGAGE", POINTS.good),
-                        (home == "RENT", POINTS.bad),
-                    ],
-                    POINTS.very_bad,
-                ),
-                "credit_limit_pts": s.threshold_points(
-                    F.col("credit_limit_utilization"), bands
-                ),
-                "grade_pts": s.first_match(
-                    [
-                        (grade == "A", POINTS.excellent),
-                        (grade == "B", POINTS.very_good),
-                        (grade == "C", POINTS.good),
-                        (grade == "D", POINTS.bad),
-                    ],
-                    POINTS.very_bad,
-                ),
-            }
-        )
-    )
+    joined = loans.join(customers.drop(*shared), "member_id")
+    return joined.withColumns(financial_columns(profile))
 
 
-_COMPONENTS = {
+POINT_COLUMNS = {
     "payment_history": ("last_payment_pts", "total_payment_pts"),
     "defaulters_history": (
         "delinq_pts",
@@ -175,21 +164,10 @@ _COMPONENTS = {
 }
 
 
-def calculate_final_loan_score(
-    payment_scores: DataFrame, defaulters_scores: DataFrame, financial_scores: DataFrame
-) -> DataFrame:
-    """Join the components at loan grain, weigh, add up and grade."""
-    loan = ["loan_id", "member_id"]
-    points = (
-        payment_scores.select(*loan, *_COMPONENTS["payment_history"])
-        .join(financial_scores.select(*loan, *_COMPONENTS["financial_health"]), loan)
-        .join(
-            defaulters_scores.select("member_id", *_COMPONENTS["defaulters_history"]),
-            "member_id",
-        )
-    )
+def weighted_scores(points: DataFrame) -> DataFrame:
+    """Component scores, their sum and the grade from the ten point columns."""
     parts = {}
-    for name, columns in _COMPONENTS.items():
+    for name, columns in POINT_COLUMNS.items():
         total = F.col(columns[0])
         for column in columns[1:]:
             total = total + F.col(column)
@@ -209,6 +187,21 @@ def calculate_final_loan_score(
     )
 
 
+def calculate_final_loan_score(
+    payment_scores: DataFrame, defaulters_scores: DataFrame, financial_scores: DataFrame
+) -> DataFrame:
+    """Join the components at loan grain, weigh, add up and grade."""
+    loan = ["loan_id", "member_id"]
+    return weighted_scores(
+        payment_scores.select(*loan, *POINT_COLUMNS["payment_history"])
+        .join(financial_scores.select(*loan, *POINT_COLUMNS["financial_health"]), loan)
+        .join(
+            defaulters_scores.select("member_id", *POINT_COLUMNS["defaulters_history"]),
+            "member_id",
+        )
+    )
+
+
 def score_projection(loan_scores: DataFrame) -> DataFrame:
     return loan_scores.select(*SAVED_COLUMNS)
 

@@ -501,6 +501,7 @@ ORACLES: dict[str, str] = {
     "dup_members_delinq": _duplicated("delinq"),
     "dup_members_detail": _duplicated("detail"),
     "quarantine_list": _sql("select * from bad", 4),
+    "quarantine_list_of_tables": _sql("select * from bad", 4),
     "customers_new": _sql("select * from customers_new", 4),
     "delinq_new": _sql("select * from delinq_new", 4),
     "detail_new": _sql("select * from detail_new", 4),
@@ -544,6 +545,7 @@ ORACLES: dict[str, str] = {
     "hundred_defaulters": _sql("select * from hundred_defaulters", 6),
     "hundred_financial": _sql("select * from hundred_financial", 6),
     "hundred_final": _sql("select * from hundred_final", 6),
+    "hundred_final_joined": _sql("select * from hundred_final", 6),
     "hundred_saved": _sql(
         """select member_id, payment_history_score, defaulters_history_score, financial_health_score, total_score, grade
         from hundred_final""",

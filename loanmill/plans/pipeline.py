@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.operators import cleaning, ingest, quarantine, reports, scoring
-from loanmill.sources import readers, writers
+from loanmill.sources import catalog, readers, writers
 
 COMPONENTS = ("payment_history", "defaulters_history", "financial_health")
 MEMBER_TABLES = (
@@ -21,6 +21,7 @@ MEMBER_TABLES = (
     "loans_defaulters_delinq",
     "loans_defaulters_detail_rec_enq",
 )
+QUARANTINED_TABLES = (*MEMBER_TABLES, "loans")
 
 
 @dataclass(frozen=True)
@@ -86,19 +87,50 @@ def clean_all_data(
 
 
 def quarantine_all(tables: CleanTables, folder: str) -> tuple[DataFrame, CleanTables]:
-    """Store the quarantine list and the member tables without its borrowers."""
+    """Store the quarantine list and the tables without its borrowers.
+
+    Loans are filtered too: whatever joins them later is then free of the
+    borrowers that have very many.
+    """
     named = tables.by_name()
     bad = _stored(
         quarantine.quarantine_list(*[named[m] for m in MEMBER_TABLES]),
         f"{folder}/bad_customer_data_final",
     )
-    for name in MEMBER_TABLES:
+    for name in QUARANTINED_TABLES:
         named[name] = _stored(
             quarantine.exclude_members(named[name], bad), f"{folder}/{name}_new"
         )
     return bad, CleanTables(**named)
 
 
+def publish(
+    database: str,
+    tables: CleanTables,
+    folder: str,
+    kept: CleanTables,
+    kept_folder: str,
+) -> None:
+    """External tables over what ``clean_all_data`` and ``quarantine_all`` wrote."""
+    spark = tables.customers.sparkSession
+    for name, table in tables.by_name().items():
+        catalog.create_external_table(
+            spark,
+            database,
+            name,
+            f"{folder}/{name}_parquet",
+            catalog.column_ddl(table),
+        )
+    for name in QUARANTINED_TABLES:
+        catalog.create_external_table(
+            spark,
+            database,
+            f"{name}_new",
+            f"{kept_folder}/{name}_new",
+            catalog.column_ddl(kept.by_name()[name]),
+        )
+
+
 def component(tables: CleanTables, name: str) -> DataFrame:
     """One score component on its own."""
     if name == "payment_history":
@@ -112,15 +144,14 @@ def component(tables: CleanTables, name: str) -> DataFrame:
     raise ValueError(f"unknown component {name!r}, use one of {COMPONENTS}")
 
 
-def score_all(tables: CleanTables, bad: DataFrame, *keep: str) -> DataFrame:
-    """Scores from the stored tables; quarantined borrowers' loans drop out
-    before any other join."""
+def score_all(kept: CleanTables, *keep: str) -> DataFrame:
+    """Scores from the stored tables without quarantined borrowers."""
     return scoring.score_tables(
-        quarantine.exclude_members(tables.loans, bad),
-        tables.loans_repayments,
-        tables.customers,
-        tables.loans_defaulters_delinq,
-        tables.loans_defaulters_detail_rec_enq,
+        kept.loans,
+        kept.loans_repayments,
+        kept.customers,
+        kept.loans_defaulters_delinq,
+        kept.loans_defaulters_detail_rec_enq,
         *keep,
     )
 
@@ -132,10 +163,8 @@ def run(
     # Stored first: all splits are then column-pruned scans of one table.
     keyed = _stored(keyed, f"{folder}/raw_keyed")
     tables = clean_all_data(ingest.split(keyed), f"{folder}/cleaned", at)
-    bad, kept = quarantine_all(tables, f"{folder}/cleaned_new")
-    scores = reports.full_score_rows(
-        score_all(kept, bad, "issue_date"), run_id, at
-    )
+    _, kept = quarantine_all(tables, f"{folder}/cleaned_new")
+    scores = reports.full_score_rows(score_all(kept, "issue_date"), run_id, at)
     daily = f"{folder}/loan_score/daily"
     writers.write_dated(scores, daily, day)
     return readers.read_parquet(keyed.sparkSession, daily).filter(

@@ -44,6 +44,18 @@ def _tables(spark: SparkSession, sf_dir: str) -> pipeline.CleanTables:
     return pipeline.clean_tables(ingest.split(_keyed(spark, sf_dir)))
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four splits as scans of the stored raw table."""
+    return ingest.split(writers.stage(_keyed(spark, sf_dir), "raw_keyed"))
+
+
+def _stored_tables(spark: SparkSession, sf_dir: str) -> pipeline.CleanTables:
+    """Cleaned tables without quarantined borrowers, each stored."""
+    folder = writers.work_folder(spark, "tables")
+    tables = pipeline.clean_all_data(_staged(spark, sf_dir), f"{folder}/cleaned")
+    return pipeline.quarantine_all(tables, f"{folder}/cleaned_new")[1]
+
+
 def _defaulters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_defaulters(ingest.split_defaulters(_keyed(spark, sf_dir)))
 
@@ -250,7 +262,8 @@ def detail_records(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    return reports.row_counts(**_tables(spark, sf_dir).by_name())
+    tables = pipeline.clean_tables(_staged(spark, sf_dir))
+    return reports.row_counts(**tables.by_name())
 
 
 # Quarantine
@@ -288,7 +301,13 @@ def _quarantine_list(tables: pipeline.CleanTables) -> DataFrame:
 
 @query
 def quarantine_list(spark, sf_dir):
-    return _quarantine_list(_tables(spark, sf_dir))
+    return single_pass.quarantine_list(_keyed(spark, sf_dir))
+
+
+@query
+def quarantine_list_of_tables(spark, sf_dir):
+    """The list from the three member tables."""
+    return _quarantine_list(pipeline.clean_tables(_staged(spark, sf_dir)))
 
 
 @query
@@ -309,7 +328,7 @@ def detail_new(spark, sf_dir):
 @query
 def loans_not_quarantined(spark, sf_dir):
     """The quarantine as a stored list and an anti join."""
-    tables = _tables(spark, sf_dir)
+    tables = pipeline.clean_tables(_staged(spark, sf_dir))
     bad = writers.stage(_quarantine_list(tables), "bad_customer_data_final")
     return _without_time(quarantine.exclude_members(tables.loans, bad))
 
@@ -346,14 +365,9 @@ def loan_score(spark, sf_dir):
 @query
 def loan_score_joined(spark, sf_dir):
     """The same scores from stored tables, component by component."""
-    folder = writers.work_folder(spark, "components")
-    tables = pipeline.clean_all_data(ingest.split(_keyed(spark, sf_dir)), folder)
-    _, kept = pipeline.quarantine_all(tables, folder)
+    kept = _stored_tables(spark, sf_dir)
     return scoring.combine_components(
-        *[
-            pipeline.component(kept, name)
-            for name in ("payment_history", "defaulters_history", "financial_health")
-        ]
+        *[pipeline.component(kept, name) for name in pipeline.COMPONENTS]
     )
 
 
@@ -410,85 +424,49 @@ def string_map(spark, sf_dir):
     return mapped.select(F.col("id").alias("loan_id"), "home_ownership")
 
 
-_HUNDRED_PAYMENT = (
-    "loan_id",
-    "member_id",
-    "last_payment_percentage",
-    "total_payment_percentage",
-    "last_payment_pts",
-    "total_payment_pts",
-)
-_HUNDRED_FINANCIAL = (
-    "loan_id",
-    "member_id",
-    "credit_limit_utilization",
-    "loan_status_pts",
-    "home_pts",
-    "credit_limit_pts",
-    "grade_pts",
-)
-
-
-def _kept_tables(spark: SparkSession, sf_dir: str) -> pipeline.CleanTables:
-    """Cleaned tables of the borrowers that are not quarantined."""
-    keyed = quarantine.single_rows(_keyed(spark, sf_dir))
-    return pipeline.clean_tables(ingest.split(keyed))
-
-
 @query
 def hundred_payment(spark, sf_dir):
-    tables = _kept_tables(spark, sf_dir)
-    return hundred.calculate_payment_history_score(
-        tables.loans_repayments, tables.loans
-    ).select(*_HUNDRED_PAYMENT)
+    return single_pass.hundred_payment(_keyed(spark, sf_dir))
 
 
 @query
 def hundred_payment_as_written(spark, sf_dir):
-    tables = _kept_tables(spark, sf_dir)
-    return hundred.calculate_payment_history_score(
-        tables.loans_repayments, tables.loans, profile="as_written"
-    ).select(*_HUNDRED_PAYMENT)
+    return single_pass.hundred_payment(_keyed(spark, sf_dir), "as_written")
 
 
 @query
 def hundred_defaulters(spark, sf_dir):
-    tables = _kept_tables(spark, sf_dir)
-    return hundred.calculate_defaulters_history_score(
-        tables.loans_defaulters_detail_rec_enq, tables.loans_defaulters_delinq
-    )
+    return single_pass.hundred_defaulters(_keyed(spark, sf_dir))
 
 
 @query
 def hundred_financial(spark, sf_dir):
-    tables = _kept_tables(spark, sf_dir)
-    return hundred.calculate_financial_health_score(
-        tables.loans, tables.customers
-    ).select(*_HUNDRED_FINANCIAL)
+    return single_pass.hundred_financial(_keyed(spark, sf_dir))
 
 
-def _hundred_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = writers.stage(quarantine.single_rows(_keyed(spark, sf_dir)), "kept")
-    tables = pipeline.clean_tables(ingest.split(keyed))
+@query
+def hundred_final(spark, sf_dir):
+    return single_pass.hundred_scores(_keyed(spark, sf_dir))
+
+
+@query
+def hundred_final_joined(spark, sf_dir):
+    """The same scores from the stored tables, component by component."""
+    kept = _stored_tables(spark, sf_dir)
     return hundred.calculate_final_loan_score(
-        hundred.calculate_payment_history_score(tables.loans_repayments, tables.loans),
+        hundred.calculate_payment_history_score(kept.loans_repayments, kept.loans),
         hundred.calculate_defaulters_history_score(
-            tables.loans_defaulters_detail_rec_enq, tables.loans_defaulters_delinq
+            kept.loans_defaulters_detail_rec_enq, kept.loans_defaulters_delinq
         ),
-        hundred.calculate_financial_health_score(tables.loans, tables.customers),
+        hundred.calculate_financial_health_score(kept.loans, kept.customers),
     )
 
 
-@query
-def hundred_final(spark, sf_dir):
-    return _hundred_final(spark, sf_dir)
-
-
 @query
 def hundred_saved(spark, sf_dir):
     """The six saved columns, written and read back."""
     path = writers.work_folder(spark, "hundred_scores")
-    hundred.save_loan_scores(_hundred_final(spark, sf_dir), path)
+    hundred.save_loan_scores(single_pass.hundred_scores(_keyed(spark, sf_dir)), path)
     return readers.read_parquet(spark, path)
 
 
@@ -548,35 +526,19 @@ def wide_view(spark, sf_dir):
 
 
 def _published(spark: SparkSession, sf_dir: str) -> str:
-    """A database of the stored tables, quarantined member tables included."""
+    """A database of external tables: the cleaned and the quarantined ones."""
     folder = writers.work_folder(spark, "published")
     database = "loanmill_" + folder.rsplit("-", 1)[-1]
-    keyed = writers.stage(_keyed(spark, sf_dir), "raw_keyed")
-    tables = pipeline.clean_all_data(ingest.split(keyed), f"{folder}/cleaned")
+    tables = pipeline.clean_all_data(_staged(spark, sf_dir), f"{folder}/cleaned")
     _, kept = pipeline.quarantine_all(tables, f"{folder}/cleaned_new")
     catalog.create_database(spark, database, f"{folder}/database")
-    for name, table in tables.by_name().items():
-        catalog.create_external_table(
-            spark,
-            database,
-            name,
-            f"{folder}/cleaned/{name}_parquet",
-            catalog.column_ddl(table),
-        )
-    for name in pipeline.MEMBER_TABLES:
-        catalog.create_external_table(
-            spark,
-            database,
-            f"{name}_new",
-            f"{folder}/cleaned_new/{name}_new",
-            catalog.column_ddl(kept.by_name()[name]),
-        )
+    pipeline.publish(database, tables, f"{folder}/cleaned", kept, f"{folder}/cleaned_new")
     return database
 
 
 _SERVED = (
     "customers_new",
-    "loans",
+    "loans_new",
     "loans_repayments",
     "loans_defaulters_delinq_new",
     "loans_defaulters_detail_rec_enq_new",

@@ -10,12 +10,21 @@ that were stored apart use ``scoring.score_tables``, which joins.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.functions import fixed
 from loanmill.functions import scalars as s
-from loanmill.operators import cleaning, ingest, quarantine, scoring, serving
+from loanmill.operators import (
+    cleaning,
+    hundred,
+    ingest,
+    quarantine,
+    scoring,
+    serving,
+)
 from loanmill.sources import schemas
 
 
@@ -87,55 +96,90 @@ def cleaned_rows(keyed: DataFrame) -> DataFrame:
     )
 
 
-def payment_points(keyed: DataFrame) -> DataFrame:
-    rows = cleaned_rows(keyed).select(
-        "loan_id",
-        "member_id",
-        (F.col("is_loan") & F.col("is_repayment")).alias("is_kept"),
-        *scoring.payment_point_columns(),
-    )
+def _kept_rows(
+    keyed: DataFrame, flags: tuple[str, ...], *columns: Column | str
+) -> DataFrame:
+    """Columns of the rows with all flags set, of borrowers with a single raw row.
+
+    The flags are carried through the aggregation, since rows without them
+    count as rows of the borrower too.
+    """
+    is_kept = reduce(Column.__and__, [F.col(flag) for flag in flags])
+    rows = cleaned_rows(keyed).select("member_id", is_kept.alias("is_kept"), *columns)
     return quarantine.single_rows(rows).filter("is_kept").drop("is_kept")
 
 
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [value.alias(name) for name, value in columns.items()]
+
+
+# The tables that must keep a row for each kind of points.
+PAYMENT = ("is_loan", "is_repayment")
+DEFAULT = ("is_delinquent",)
+FINANCIAL = ("is_loan", "is_customer")
+SCORED = ("is_loan", "is_repayment", "is_delinquent", "is_customer")
+
+
+def quarantine_list(keyed: DataFrame) -> DataFrame:
+    return quarantine.duplicated_members(keyed)
+
+
+def payment_points(keyed: DataFrame) -> DataFrame:
+    return _kept_rows(keyed, PAYMENT, "loan_id", *scoring.payment_point_columns())
+
+
 def default_points(keyed: DataFrame) -> DataFrame:
-    rows = cleaned_rows(keyed).select(
-        "member_id",
-        F.col("is_delinquent").alias("is_kept"),
-        *scoring.default_point_columns(),
-    )
-    return quarantine.single_rows(rows).filter("is_kept").drop("is_kept")
+    return _kept_rows(keyed, DEFAULT, *scoring.default_point_columns())
 
 
 def financial_points(keyed: DataFrame) -> DataFrame:
-    rows = cleaned_rows(keyed).select(
-        "loan_id",
-        "member_id",
-        (F.col("is_loan") & F.col("is_customer")).alias("is_kept"),
-        *scoring.financial_point_columns(),
+    return _kept_rows(
+        keyed, FINANCIAL, "loan_id", *scoring.financial_point_columns()
     )
-    return quarantine.single_rows(rows).filter("is_kept").drop("is_kept")
 
 
 def scores(keyed: DataFrame, *keep: str) -> DataFrame:
     """Scores and grades; ``keep`` names cleaned columns to carry along."""
-    is_kept = (
-        F.col("is_customer")
-        & F.col("is_loan")
-        & F.col("is_repayment")
-        & F.col("is_delinquent")
-    )
-    rows = cleaned_rows(keyed).select(
+    points = _kept_rows(
+        keyed,
+        SCORED,
         "loan_id",
-        "member_id",
         *keep,
-        is_kept.alias("is_kept"),
         *scoring.payment_point_columns(),
         *scoring.default_point_columns(),
         *scoring.financial_point_columns(),
     )
-    return scoring.weighted_scores(
-        quarantine.single_rows(rows).filter("is_kept"), *keep
+    return scoring.weighted_scores(points, *keep)
+
+
+def hundred_payment(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
+    return _kept_rows(
+        keyed, PAYMENT, "loan_id", *_named(hundred.payment_columns(profile))
+    )
+
+
+def hundred_defaulters(keyed: DataFrame) -> DataFrame:
+    return _kept_rows(keyed, DEFAULT, *_named(hundred.default_columns()))
+
+
+def hundred_financial(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
+    return _kept_rows(
+        keyed, FINANCIAL, "loan_id", *_named(hundred.financial_columns(profile))
+    )
+
+
+def hundred_scores(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
+    """Scores and grades of the 20-100 rules."""
+    columns = {
+        **hundred.payment_columns(profile),
+        **hundred.default_columns(),
+        **hundred.financial_columns(profile),
+    }
+    points = [c for names in hundred.POINT_COLUMNS.values() for c in names]
+    kept = _kept_rows(
+        keyed, SCORED, "loan_id", *_named({c: columns[c] for c in points})
     )
+    return hundred.weighted_scores(kept.select("loan_id", "member_id", *points))
 
 
 def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
