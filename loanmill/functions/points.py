@@ -130,28 +130,24 @@ def credit_limit_points(
 def grade_points(
     grade: Column, sub_grade: Column, pts: fixed.RatedPoints = POINTS
 ) -> Column:
-    """Points of the grade, less for a worse sub-grade; NULL if they disagree."""
-    base = first_match(
-        [
-            (grade == "A", pts.excellent),
-            (grade == "B", pts.very_good),
-            (grade == "C", pts.good),
-            (grade == "D", pts.bad),
-            (grade == "E", pts.very_bad),
-        ]
-    )
-    share = first_match(
+    """Points of the grade, less for a worse sub-grade; NULL if they disagree.
+
+    All sub-grades' points are one constant map, which is little code to run.
+    """
+    best = dict(A=pts.excellent, B=pts.very_good, C=pts.good, D=pts.bad, E=pts.very_bad)
+    table = [
+        F.lit(entry)
+        for name, points in best.items()
+        for step, share in fixed.SUB_GRADE_SHARES.items()
+        for entry in (f"{name}{step}", (points * share).quantize(Decimal("0.0001")))
+    ]
+    value = F.try_element_at(F.create_map(*table), sub_grade)
+    return first_match(
         [
-            (sub_grade == F.concat(grade, F.lit(str(step))), F.lit(value))
-            for step, value in fixed.SUB_GRADE_SHARES.items()
+            (grade.isin("F", "G"), F.lit(pts.unacceptable)),
+            (F.left(sub_grade, F.lit(1)) == grade, value),
         ]
-    )
-    worst = grade.isin("F", "G")
-    return (
-        F.when(worst, F.lit(pts.unacceptable).cast("decimal(12,4)"))
-        .otherwise(base * share)
-        .cast("decimal(12,4)")
-    )
+    ).cast("decimal(12,4)")
 
 
 def weighted(weight, *points: Column) -> Column:

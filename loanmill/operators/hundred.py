@@ -89,11 +89,10 @@ def default_columns() -> dict[str, Column]:
     }
 
 
-def financial_columns(profile: str = "numeric") -> dict[str, Column]:
+def text_columns() -> dict[str, Column]:
+    """Points that depend on texts."""
     status, home, grade = F.col("loan_status"), F.col("home_ownership"), F.col("grade")
-    used = s.percentage(F.col("funded_amount"), F.col("total_high_credit_limit"))
     return {
-        "credit_limit_utilization": used,
         "loan_status_pts": s.first_match(
             [
                 (status == "Fully Paid", POINTS.excellent),
@@ -110,7 +109,6 @@ def financial_columns(profile: str = "numeric") -> dict[str, Column]:
             ],
             POINTS.very_bad,
         ),
-        "credit_limit_pts": s.threshold_points(used, _percent_bands(profile)),
         "grade_pts": s.first_match(
             [
                 (grade == "A", POINTS.excellent),
@@ -123,6 +121,18 @@ def financial_columns(profile: str = "numeric") -> dict[str, Column]:
     }
 
 
+def limit_columns(profile: str = "numeric") -> dict[str, Column]:
+    used = s.percentage(F.col("funded_amount"), F.col("total_high_credit_limit"))
+    return {
+        "credit_limit_utilization": used,
+        "credit_limit_pts": s.threshold_points(used, _percent_bands(profile)),
+    }
+
+
+def financial_columns(profile: str = "numeric") -> dict[str, Column]:
+    return {**text_columns(), **limit_columns(profile)}
+
+
 def calculate_payment_history_score(
     loans_repayments: DataFrame, loans: DataFrame, profile: str = "numeric"
 ) -> DataFrame:

@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 from loanmill.functions import points as p
 
 PAYMENT_POINTS = ("last_payment_pts", "total_payment_pts")
+# The numbers that all other points depend on.
+NUMBERS = (
+    "last_payment_amount",
+    "monthly_installment",
+    "total_payment_received",
+    "funded_amount",
+    "total_high_credit_limit",
+    "delinq_2yrs",
+    "pub_rec",
+    "pub_rec_bankruptcies",
+    "inq_last_6mths",
+)
 DEFAULT_POINTS = (
     "delinq_pts",
     "public_records_pts",
@@ -44,17 +56,27 @@ def default_point_columns() -> list[Column]:
     ]
 
 
-def financial_point_columns() -> list[Column]:
+def text_point_columns() -> list[Column]:
+    """Points that depend on texts."""
     return [
         p.loan_status_points(F.col("loan_status")).alias("loan_status_pts"),
         p.home_points(F.col("home_ownership")).alias("home_pts"),
+        p.grade_points(F.col("grade"), F.col("sub_grade")).alias("grade_pts"),
+    ]
+
+
+def limit_point_columns() -> list[Column]:
+    return [
         p.credit_limit_points(
             F.col("funded_amount"), F.col("total_high_credit_limit")
-        ).alias("credit_limit_pts"),
-        p.grade_points(F.col("grade"), F.col("sub_grade")).alias("grade_pts"),
+        ).alias("credit_limit_pts")
     ]
 
 
+def financial_point_columns() -> list[Column]:
+    return [*text_point_columns(), *limit_point_columns()]
+
+
 def payment_points(repayments: DataFrame, loans: DataFrame) -> DataFrame:
     return repayments.join(loans, "loan_id").select(
         "loan_id", "member_id", *payment_point_columns()
@@ -90,8 +112,9 @@ def weighted_scores(points: DataFrame, *keep: str) -> DataFrame:
             for name, (weight, columns) in parts.items()
         ],
     )
-    total = sum((F.col(name) for name in parts), F.lit(0))
-    return scored.withColumn("loan_score", total.cast("decimal(12,4)")).withColumn(
+    payment, default, financial = (F.col(name) for name in parts)
+    total = (payment + default + financial).cast("decimal(12,4)")
+    return scored.withColumn("loan_score", total).withColumn(
         "loan_final_grade", p.final_grade(F.col("loan_score"))
     )
 

@@ -139,15 +139,24 @@ def financial_points(keyed: DataFrame) -> DataFrame:
 
 
 def scores(keyed: DataFrame, *keep: str) -> DataFrame:
-    """Scores and grades; ``keep`` names cleaned columns to carry along."""
-    points = _kept_rows(
+    """Scores and grades; ``keep`` names cleaned columns to carry along.
+
+    Texts become points before the shuffle, so none but the ids move. Numbers
+    move as they are: their points are for the rows that remain.
+    """
+    kept = _kept_rows(
         keyed,
         SCORED,
         "loan_id",
         *keep,
+        *scoring.NUMBERS,
+        *scoring.text_point_columns(),
+    )
+    points = kept.select(
+        "*",
         *scoring.payment_point_columns(),
         *scoring.default_point_columns(),
-        *scoring.financial_point_columns(),
+        *scoring.limit_point_columns(),
     )
     return scoring.weighted_scores(points, *keep)
 
@@ -170,23 +179,25 @@ def hundred_financial(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
 
 def hundred_scores(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
     """Scores and grades of the 20-100 rules."""
-    columns = {
-        **hundred.payment_columns(profile),
-        **hundred.default_columns(),
-        **hundred.financial_columns(profile),
-    }
-    points = [c for names in hundred.POINT_COLUMNS.values() for c in names]
     kept = _kept_rows(
-        keyed, SCORED, "loan_id", *_named({c: columns[c] for c in points})
+        keyed, SCORED, "loan_id", *scoring.NUMBERS, *_named(hundred.text_columns())
+    )
+    points = kept.withColumns(
+        {
+            **hundred.payment_columns(profile),
+            **hundred.default_columns(),
+            **hundred.limit_columns(profile),
+        }
     )
-    return hundred.weighted_scores(kept.select("loan_id", "member_id", *points))
+    names = [name for group in hundred.POINT_COLUMNS.values() for name in group]
+    return hundred.weighted_scores(points.select("loan_id", "member_id", *names))
 
 
 def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     """Wide customer-loan rows of the borrowers that are not quarantined."""
     everyone = cleaning.unique_customers(ingest.split_customers(keyed))
     mean = cleaning.mean_emp_length(everyone)
-    kept = quarantine.single_rows(cleaned_rows(keyed)).filter("is_customer")
+    kept = cleaned_rows(quarantine.single_rows(keyed)).filter("is_customer")
     loan, payment = F.col("is_loan"), F.col("is_loan") & F.col("is_repayment")
 
     def where(condition: Column, value: Column, name: str) -> Column:

@@ -1,13 +1,13 @@
 """A wide raw loan table derived from the order tables.
 
 One raw row per order that has a customer: borrower attributes come from the
-customer, payments from the order's line items. The expressions are those of
+customer, payments from the order's line items. The values are those of
 FIXTURES.md.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,99 +37,98 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _unless_blank(expression: str) -> str:
-    return f"case when o_orderkey % 499 = 0 then null else {expression} end"
+_MONTH = "date_format(o_orderdate, 'MMM-yyyy')"
+_PRICE = "cast(o_totalprice as decimal(12,2))"
+_TERM = "if(o_orderkey % 3 = 0, 60, 36)"
+_INSTALLMENT = f"cast(cast({_PRICE} * 100 as bigint) div {_TERM} as decimal(12,2)) * 0.01"
+_GRADE = "substr('ABCDEFG', cast(1 + o_orderkey % 7 as int), 1)"
 
+# What depends on the customer alone is derived once per customer, before the
+# join. Choices are lookups in constant arrays and maps: they compile to little
+# code, and code that is too long is not compiled at run time.
+_CUSTOMER = {
+    "emp_title": "c_name",
+    "emp_length": "get(array(null, 'n/a', '< 1 year', '2 years', '3 years', "
+    "'4 years', '5 years', '6 years', '7 years', '8 years', '9 years', '10 years', "
+    "'10+ years'), cast(c_custkey % 13 as int))",
+    "home_ownership": "coalesce(element_at(map('BUILDING', 'OWN', 'AUTOMOBILE', "
+    "'RENT', 'FURNITURE', 'MORTGAGE', 'HOUSEHOLD', 'ANY'), c_mktsegment), 'OTHER')",
+    "annual_inc": "case when c_acctbal < 0 then null else "
+    "cast(floor(cast(c_acctbal as decimal(12,2)) * 10) as bigint) end",
+    "zip_code": "concat(lpad(cast(c_custkey % 1000 as string), 3, '0'), 'xx')",
+    "addr_state": "case c_nationkey % 10 "
+    "when 0 then concat('NATION_', cast(c_nationkey as string)) "
+    "when 1 then 'ca' when 2 then null else concat(chr(65 + c_nationkey), 'A') end",
+    "verification_status": "get(array('Verified', 'Source Verified', 'Not Verified'), "
+    "cast(c_custkey % 3 as int))",
+    "credit_limit": "cast(cast(abs(c_acctbal) as decimal(12,2)) * 100 "
+    "as decimal(14,4))",
+    "application_type": "if(c_custkey % 10 = 0, 'Joint App', 'Individual')",
+    "annual_inc_joint": "case when c_custkey % 10 = 0 and c_acctbal >= 0 then "
+    "cast(floor(cast(c_acctbal as decimal(12,2)) * 15) as decimal(14,4)) end",
+    "verification_status_joint": "if(c_custkey % 10 = 0, 'Not Verified', null)",
+}
 
-_PRICE = "cast(o_totalprice as decimal(12,2))"
-_TERM = "case when o_orderkey % 3 = 0 then 60 else 36 end"
-_INSTALLMENT = (
-    f"cast(cast({_PRICE} * 100 as bigint) div ({_TERM}) as decimal(12,2)) * 0.01"
+_BLANKED = (
+    "emp_title",
+    "emp_length",
+    "home_ownership",
+    "annual_inc",
+    "zip_code",
+    "addr_state",
+    "verification_status",
 )
-_MONTH = "date_format(o_orderdate, 'MMM-yyyy')"
 
-_COLUMNS = {
+_LOAN = {
     "id": "concat('L', cast(o_orderkey as string))",
-    "emp_title": _unless_blank("c_name"),
-    "emp_length": _unless_blank(
-        "case c_custkey % 13 when 0 then null when 1 then 'n/a' "
-        "when 2 then '< 1 year' when 12 then '10+ years' "
-        "else concat(cast(c_custkey % 13 - 1 as string), ' years') end"
-    ),
-    "home_ownership": _unless_blank(
-        "case c_mktsegment when 'BUILDING' then 'OWN' when 'AUTOMOBILE' then 'RENT' "
-        "when 'FURNITURE' then 'MORTGAGE' when 'HOUSEHOLD' then 'ANY' "
-        "else 'OTHER' end"
-    ),
-    "annual_inc": _unless_blank(
-        "case when c_acctbal < 0 then null else "
-        "cast(floor(cast(c_acctbal as decimal(12,2)) * 10) as bigint) end"
-    ),
-    "zip_code": _unless_blank(
-        "concat(lpad(cast(c_custkey % 1000 as string), 3, '0'), 'xx')"
-    ),
-    "addr_state": _unless_blank(
-        "case c_nationkey % 10 "
-        "when 0 then concat('NATION_', cast(c_nationkey as string)) "
-        "when 1 then 'ca' when 2 then null else concat(chr(65 + c_nationkey), 'A') end"
-    ),
-    "grade": _unless_blank("substr('ABCDEFG', cast(1 + o_orderkey % 7 as int), 1)"),
-    "sub_grade": _unless_blank(
-        "concat(substr('ABCDEFG', cast(1 + o_orderkey % 7 as int), 1), "
-        "cast(1 + (o_orderkey div 7) % 5 as string))"
-    ),
-    "verification_status": _unless_blank(
-        "case c_custkey % 3 when 0 then 'Verified' when 1 then 'Source Verified' "
-        "else 'Not Verified' end"
-    ),
-    "tot_hi_cred_lim": "cast(cast(abs(c_acctbal) as decimal(12,2)) * 100 "
-    "+ case when o_orderkey % 4 = 0 then 1000 else 0 end as decimal(14,4))",
-    "application_type": "case when c_custkey % 10 = 0 then 'Joint App' "
-    "else 'Individual' end",
-    "annual_inc_joint": "case when c_custkey % 10 = 0 and c_acctbal >= 0 then "
-    "cast(floor(cast(c_acctbal as decimal(12,2)) * 15) as decimal(14,4)) end",
-    "verification_status_joint": "case when c_custkey % 10 = 0 "
-    "then 'Not Verified' end",
-    "loan_amnt": f"case when o_orderkey % 97 = 0 then null "
-    f"else cast({_PRICE} as decimal(14,4)) end",
+    **{name: f"if(is_blank, null, {name})" for name in _BLANKED[:6]},
+    "grade": f"if(is_blank, null, {_GRADE})",
+    "sub_grade": f"if(is_blank, null, concat({_GRADE}, "
+    "cast(1 + (o_orderkey div 7) % 5 as string)))",
+    "verification_status": "if(is_blank, null, verification_status)",
+    "tot_hi_cred_lim": "cast(credit_limit + if(o_orderkey % 4 = 0, 1000, 0) "
+    "as decimal(14,4))",
+    "application_type": "application_type",
+    "annual_inc_joint": "annual_inc_joint",
+    "verification_status_joint": "verification_status_joint",
+    "loan_amnt": f"if(o_orderkey % 97 = 0, null, cast({_PRICE} as decimal(14,4)))",
     "funded_amnt": f"cast({_PRICE} as decimal(14,4))",
-    "term": f"concat(' ', cast({_TERM} as string), ' months')",
+    "term": "if(o_orderkey % 3 = 0, ' 60 months', ' 36 months')",
     "int_rate": "concat(cast(5 + o_orderkey % 20 as string), '.5%')",
     "installment": f"cast({_INSTALLMENT} as decimal(14,4))",
     "issue_d": _MONTH,
-    "loan_status": "case (o_orderkey div 3) % 7 when 0 then 'Fully Paid' "
-    "when 1 then 'Current' when 2 then 'In Grace Period' "
-    "when 3 then 'Late (16-30 days)' when 4 then 'Late (31-120 days)' "
-    "when 5 then 'Charged Off' else 'Default' end",
-    "purpose": "case o_orderkey % 9 when 0 then 'debt_consolidation' "
-    "when 1 then 'credit_card' when 2 then 'car' when 3 then 'house' "
-    "when 4 then 'medical' when 5 then 'wedding' when 6 then 'other' "
-    "when 7 then 'zzz free text' else o_orderpriority end",
+    "loan_status": "get(array('Fully Paid', 'Current', 'In Grace Period', "
+    "'Late (16-30 days)', 'Late (31-120 days)', 'Charged Off', 'Default'), "
+    "cast((o_orderkey div 3) % 7 as int))",
+    "purpose": "coalesce(get(array('debt_consolidation', 'credit_card', 'car', "
+    "'house', 'medical', 'wedding', 'other', 'zzz free text'), "
+    "cast(o_orderkey % 9 as int)), o_orderpriority)",
     "title": "concat('Loan ', o_orderpriority)",
     "total_rec_prncp": "principal",
     "total_rec_int": "interest",
     "total_rec_late_fee": "late_fee",
-    "total_pymnt": "cast(case when o_orderkey % 50 = 0 then 0 "
-    "else principal + interest + late_fee end as decimal(28,4))",
-    "last_pymnt_amnt": f"cast({_INSTALLMENT} * (case o_orderkey % 5 "
-    "when 0 then 0.25 when 1 then 0.75 when 2 then 1.00 when 3 then 1.25 "
-    "else 2.00 end) as decimal(14,4))",
-    "last_pymnt_d": f"case when o_orderkey % 17 = 0 then '0.0' else {_MONTH} end",
+    "total_pymnt": "cast(if(o_orderkey % 50 = 0, 0, principal + interest + late_fee) "
+    "as decimal(28,4))",
+    "last_pymnt_amnt": f"cast({_INSTALLMENT} * get(array(0.25, 0.75, 1.00, 1.25, "
+    "2.00), cast(o_orderkey % 5 as int)) as decimal(14,4))",
+    "last_pymnt_d": f"if(o_orderkey % 17 = 0, '0.0', {_MONTH})",
     "next_pymnt_d": "case when o_orderkey % 19 = 0 then '0.0' "
     f"when o_orderkey % 2 = 0 then null else {_MONTH} end",
-    "delinq_2yrs": "case when o_orderkey % 41 = 0 then 'n/a' else "
-    "concat(cast(greatest((o_orderkey div 2) % 12 - 5, 0) as string), '.0') end",
+    "delinq_2yrs": "if(o_orderkey % 41 = 0, 'n/a', "
+    "concat(cast(greatest((o_orderkey div 2) % 12 - 5, 0) as string), '.0'))",
     "delinq_amnt": "cast(o_orderkey % 4 * 100 as decimal(14,4))",
     "pub_rec": "greatest(o_orderkey % 11 - 4, 0)",
     "pub_rec_bankruptcies": "greatest((o_orderkey div 11) % 9 - 4, 0)",
     "inq_last_6mths": "greatest((o_orderkey div 13) % 10 - 3, 0)",
-    "mths_since_last_delinq": "case when o_orderkey % 6 = 0 "
-    "then 10 + o_orderkey % 50 end",
-    "mths_since_last_record": "case when o_orderkey % 8 = 0 "
-    "then 20 + o_orderkey % 50 end",
+    "mths_since_last_delinq": "if(o_orderkey % 6 = 0, 10 + o_orderkey % 50, null)",
+    "mths_since_last_record": "if(o_orderkey % 8 = 0, 20 + o_orderkey % 50, null)",
 }
 
 
+def _expressions(columns: dict[str, str]) -> list[Column]:
+    return [F.expr(text).alias(name) for name, text in columns.items()]
+
+
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide raw table.
 
@@ -138,10 +137,13 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     by the adaptive skew join.
     """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        "c_custkey", *_expressions(_CUSTOMER)
+    )
     payments = _payments(spark, sf_dir)
     return (
         orders.join(customers, orders.o_custkey == customers.c_custkey)
         .join(payments, orders.o_orderkey == payments.l_orderkey, "left")
-        .select(*[F.expr(e).alias(name) for name, e in _COLUMNS.items()])
+        .withColumn("is_blank", F.expr("o_orderkey % 499 = 0"))
+        .select(*_expressions(_LOAN))
     )
