@@ -606,6 +606,12 @@ ORACLES: dict[str, str] = {
         from scores group by rollup (loan_final_grade)""",
         5,
     ),
+    "raw_csv_keys": _sql(
+        """select id as loan_id, sha256(concat_ws('||', emp_title, emp_length, home_ownership,
+          cast(cast(annual_inc as double) as varchar), zip_code, addr_state, grade, sub_grade, verification_status)) as member_id
+        from raw""",
+        1,
+    ),
     "csv_roundtrip": _sql(
         "select * replace (cast(annual_inc as decimal(14,4)) as annual_inc) from split_customers",
         2,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmill.operators import cleaning, ingest, quarantine, reports, scoring
@@ -104,6 +104,19 @@ def quarantine_all(tables: CleanTables, folder: str) -> tuple[DataFrame, CleanTa
     return bad, CleanTables(**named)
 
 
+def load_kept(spark: SparkSession, folder: str) -> CleanTables:
+    """The tables without quarantined borrowers that ``run`` stored."""
+    paths = {
+        f.name: f"{folder}/cleaned_new/{f.name}_new"
+        if f.name in QUARANTINED_TABLES
+        else f"{folder}/cleaned/{f.name}_parquet"
+        for f in fields(CleanTables)
+    }
+    return CleanTables(
+        **{name: readers.read_parquet(spark, path) for name, path in paths.items()}
+    )
+
+
 def publish(
     database: str,
     tables: CleanTables,

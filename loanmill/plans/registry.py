@@ -595,6 +595,15 @@ def score_report_by_grade(spark, sf_dir):
 # Sinks and streams
 
 
+@query
+def raw_csv_keys(spark, sf_dir):
+    """Keys from the raw CSV, where the income is read as a double."""
+    path = writers.work_folder(spark, "raw_csv")
+    writers.write_csv(derived.raw_loans(spark, sf_dir), path)
+    keyed = ingest.with_member_id(readers.read_raw(spark, path))
+    return keyed.select(F.col("id").alias("loan_id"), "member_id")
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     """The CSV split, read back with its declared schema."""

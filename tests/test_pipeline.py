@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from loanmill.__main__ import main
 from loanmill.operators import ingest, quarantine, reports, scoring, serving
 from loanmill.plans import pipeline, single_pass
 from loanmill.sources import derived, writers
@@ -179,3 +180,19 @@ def test_stream_in_two_steps(spark, stored, tmp_path):
         assert scored.isStreaming
         streaming.write_stream(scored, out, checkpoint).awaitTermination()
     assert rows(spark.read.parquet(out)) == rows(pipeline.score_all(kept))
+
+
+def test_command_line(spark, sf_dir, tmp_path):
+    raw, folder = str(tmp_path / "raw"), str(tmp_path / "out")
+    writers.write_csv(derived.raw_loans(spark, sf_dir), raw)
+    main(["run", "--raw", raw, "--folder", folder, "--day", "2020-01-03"])
+    scores = spark.read.parquet(f"{folder}/loan_score/daily")
+    assert scores.count() == 589
+    for name in pipeline.COMPONENTS:
+        out = f"{tmp_path}/{name}"
+        main(["component", name, "--folder", folder, "--out", out])
+        assert spark.read.parquet(out).count() >= 589
+    main(["split", "--raw", raw, "--folder", f"{tmp_path}/split", "--single-file"])
+    assert len(list((tmp_path / "split" / "loans_data").glob("*.csv"))) == 1
+    with pytest.raises(SystemExit):
+        main(["component", "other", "--folder", folder, "--out", folder])

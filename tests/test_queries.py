@@ -74,3 +74,15 @@ def test_columns_are_pruned(spark, sf_dir):
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan.executedPlan().toString())
     assert any(s == "o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz" for s in scans)
     assert "c_custkey:bigint" in scans
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_generated_code_is_compiled_at_run_time(spark, sf_dir, name, capsys):
+    """Methods over 8000 bytes of code stay interpreted, many times slower."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        queries()[name](spark, sf_dir).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)
+    assert sizes and max(map(int, sizes)) < 8000
