@@ -129,20 +129,10 @@ def score_tables(
 ) -> DataFrame:
     """Score from the five stored tables.
 
-    Loans meet their repayments first. The three member tables, one row per
-    borrower, then join on the same key, so all of them share one partitioning.
+    The member tables, one row per borrower, meet the loans first: they share
+    one partitioning (none at all to build if stored in buckets of the borrower)
+    and leave only delinquent borrowers' loans to meet the repayments.
     """
-    ledger = loans.select(
-        "loan_id",
-        "member_id",
-        "funded_amount",
-        "monthly_installment",
-        "loan_status",
-        *keep,
-    ).join(
-        repayments.select("loan_id", "last_payment_amount", "total_payment_received"),
-        "loan_id",
-    )
     borrowers = (
         delinquencies.select("member_id", "delinq_2yrs")
         .join(detail, "member_id")
@@ -157,13 +147,36 @@ def score_tables(
             "member_id",
         )
     )
-    points = ledger.join(borrowers, "member_id").select(
+    ledger = (
+        loans.select(
+            "loan_id",
+            "member_id",
+            "funded_amount",
+            "monthly_installment",
+            "loan_status",
+            *keep,
+        )
+        .join(borrowers, "member_id")
+        .select(
+            "loan_id",
+            "member_id",
+            "funded_amount",
+            "monthly_installment",
+            *keep,
+            *default_point_columns(),
+            *financial_point_columns(),
+        )
+    )
+    payments = repayments.select(
+        "loan_id", "last_payment_amount", "total_payment_received"
+    )
+    points = payments.join(ledger, "loan_id").select(
         "loan_id",
         "member_id",
         *keep,
         *payment_point_columns(),
-        *default_point_columns(),
-        *financial_point_columns(),
+        *DEFAULT_POINTS,
+        *FINANCIAL_POINTS,
     )
     return weighted_scores(points, *keep)
 

@@ -512,6 +512,7 @@ ORACLES: dict[str, str] = {
     "financial_points": _sql("select * from financial_points", 5),
     "loan_score": _SCORE_ROWS,
     "loan_score_joined": _SCORE_ROWS,
+    "loan_score_bucketed": _SCORE_ROWS,
     "loan_score_stored": _sql(
         """select s.*, issue_date, 'registered' as run_id, date '2020-01-01' as score_date
         from scores s join loans l on l.loan_id = s.loan_id""",

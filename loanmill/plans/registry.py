@@ -383,6 +383,20 @@ def loan_score_stored(spark, sf_dir):
     return scores.drop("scored_at")
 
 
+@query
+def loan_score_bucketed(spark, sf_dir):
+    """The same scores from managed tables in buckets of the borrower."""
+    folder = writers.work_folder(spark, "bucketed")
+    database = "loanmill_" + folder.rsplit("-", 1)[-1]
+    catalog.create_database(spark, database, folder)
+    named = _stored_tables(spark, sf_dir).by_name()
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in pipeline.QUARANTINED_TABLES:
+        catalog.save_managed(named[name], database, name, "member_id", buckets)
+        named[name] = readers.read_table(spark, f"{database}.{name}")
+    return pipeline.score_all(pipeline.CleanTables(**named))
+
+
 @query
 def grade_distribution(spark, sf_dir):
     return reports.grade_distribution(single_pass.scores(_keyed(spark, sf_dir)))

@@ -44,6 +44,20 @@ def create_view(spark: SparkSession, database: str, view: str, query: str) -> No
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(database, view)} AS {query}")
 
 
-def save_managed(df: DataFrame, database: str, table: str) -> None:
-    """A managed table: as old as its last write, fast to read."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(quoted(database, table))
+def save_managed(
+    df: DataFrame,
+    database: str,
+    table: str,
+    bucket_by: str | None = None,
+    buckets: int = 0,
+) -> None:
+    """A managed table: as old as its last write, fast to read.
+
+    Tables in equally many buckets of a join's key join without a shuffle. Rows
+    are brought to their bucket before the write, so each bucket is one file.
+    """
+    writer = df.write
+    if bucket_by:
+        by_bucket = df.repartition(buckets, bucket_by)
+        writer = by_bucket.write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    writer.mode("overwrite").format("parquet").saveAsTable(quoted(database, table))

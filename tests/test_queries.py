@@ -40,7 +40,8 @@ def test_entry(spark):
     assert entry(spark).columns[-1] == "loan_final_grade"
 
 
-LAZY = [n for n in NAMES if not re.search("stored|joined|catalog|stream|saved|round|csv|of_tables|not_quar", n)]
+STORING = "stored|joined|bucketed|catalog|stream|saved|round|csv|of_tables|not_quar|_counts"
+LAZY = [n for n in NAMES if not re.search(STORING, n)]
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -56,6 +57,12 @@ def test_one_shuffle_by_borrower(spark, sf_dir, large_tables, name):
     assert len(re.findall(r"Exchange hashpartitioning\(member_id", plan)) == 1
 
 
+def test_buckets_need_no_shuffle_by_borrower(spark, sf_dir, large_tables):
+    plan = plan_of(queries()["loan_score_bucketed"](spark, sf_dir))
+    assert "Exchange hashpartitioning(member_id" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(loan_id", plan)) == 2
+
+
 @pytest.mark.parametrize("name", ["member_key", "split_loans", "quarantine_list", "detail_new"])
 def test_unused_tables_are_not_read(spark, sf_dir, large_tables, name):
     assert "lineitem" not in plan_of(queries()[name](spark, sf_dir))
