@@ -7,6 +7,7 @@ score NULL, which reports count as unscored.
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -158,14 +159,24 @@ def weighted(weight, *points: Column) -> Column:
 
 
 def final_grade(score: Column, cut: fixed.GradeCutoffs = CUTOFFS) -> Column:
-    """Letter grade; NULL stays NULL."""
-    return first_match(
-        [
-            (score > cut.very_good, "A"),
-            (score > cut.good, "B"),
-            (score > cut.bad, "C"),
-            (score > cut.very_bad, "D"),
-            (score > cut.unacceptable, "E"),
-            (score <= cut.unacceptable, "F"),
-        ]
+    """Letter grade: A above the highest cut-off, F up to the lowest; NULL stays.
+
+    All cut-offs are multiples of one step, so the grade is a lookup by bucket.
+    The score occurs in it once: a filter on the grade, which Spark moves below
+    the score, then copies the score's expression once and not per cut-off.
+    Buckets are closed below, cut-offs above, hence the negative signs.
+    """
+    lowest = dict(
+        B=cut.good, C=cut.bad, D=cut.very_bad, E=cut.unacceptable, F=-math.inf
+    )
+    top = cut.very_good
+    step = math.gcd(top, cut.good, cut.bad, cut.very_bad, cut.unacceptable)
+    uppers = range(top, 0, -step)
+    letters = [
+        next(grade for grade, low in lowest.items() if upper > low) for upper in uppers
+    ]
+    bucket = F.width_bucket(
+        -score.cast("double"), F.lit(-float(top)), F.lit(0.0), F.lit(len(letters))
     )
+    table = F.array(*[F.lit(letter) for letter in ("A", *letters, "F")])
+    return F.get(table, bucket.cast("int"))

@@ -404,7 +404,9 @@ def grade_distribution(spark, sf_dir):
 
 @query
 def grade_slice(spark, sf_dir):
-    return scoring.grade_slice(single_pass.scores(_keyed(spark, sf_dir)), "C")
+    """One grade of the stored scores; the filter is pushed to their files."""
+    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir)), "loan_score")
+    return scoring.grade_slice(scores, "C")
 
 
 @query

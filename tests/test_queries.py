@@ -40,7 +40,7 @@ def test_entry(spark):
     assert entry(spark).columns[-1] == "loan_final_grade"
 
 
-STORING = "stored|joined|bucketed|catalog|stream|saved|round|csv|of_tables|not_quar|_counts"
+STORING = "stored|joined|bucketed|catalog|stream|saved|round|csv|of_tables|not_quar|_counts|slice"
 LAZY = [n for n in NAMES if not re.search(STORING, n)]
 
 
@@ -76,6 +76,11 @@ def test_mean_reuses_the_distinct(spark, sf_dir, large_tables):
     assert "ReusedExchange" in plan_of(df)
 
 
+def test_slice_is_read_by_its_filter(spark, sf_dir):
+    plan = plan_of(queries()["grade_slice"](spark, sf_dir))
+    assert re.search(r"PushedFilters: \[[^]]*loan_final_grade", plan)
+
+
 def test_columns_are_pruned(spark, sf_dir):
     plan = queries()["date_sentinels"](spark, sf_dir)._jdf.queryExecution()
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan.executedPlan().toString())
