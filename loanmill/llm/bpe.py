@@ -19,13 +19,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmill.llm.common import ragged
+from loanmill.llm.common import ragged, text_blocks
 
 #: Pieces that are looked up at once, and pieces that a task remembers.
-PIECES, REMEMBERED = 200_000, 600_000
+PIECES, REMEMBERED = 100_000, 250_000
 #: Bytes of the widest matrix; longer pieces merge through a heap.
 WIDEST = 1024
 NEVER = np.int32(2**31 - 1)
+#: Rows that are decoded at once.
+ROWS = 500
 
 
 def read_ranks(path: str) -> bytes:
@@ -70,13 +72,16 @@ class PairTable:
         return out
 
 
+def parse_ranks(rank_file: bytes) -> dict[bytes, int]:
+    fields = (line.split() for line in rank_file.splitlines() if line)
+    return {base64.b64decode(token): int(rank) for token, rank in fields}
+
+
 class Vocabulary:
-    """Ids by bytes, bytes by id, and the ranks of all pairs that merge."""
+    """Ids by bytes, and the ranks of all pairs that merge."""
 
     def __init__(self, rank_file: bytes) -> None:
-        fields = (line.split() for line in rank_file.splitlines() if line)
-        self.ids = {base64.b64decode(token): int(rank) for token, rank in fields}
-        self.tokens = {rank: token for token, rank in self.ids.items()}
+        self.ids = parse_ranks(rank_file)
         keys, ranks = [], []
         for token, rank in self.ids.items():
             for cut in range(1, len(token)):
@@ -267,13 +272,14 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(rank_file, pattern)
         for batch in batches:
-            texts = batch.column(text).fill_null("").to_pylist()
-            packed = encoder.encode_all(texts)
-            sizes = [len(x) // 4 for x in packed]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(packed, pa.binary()), pa.array(sizes, pa.int64())],
-                names=[*batch.schema.names, out, "n_tokens"],
-            )
+            for lo, hi, _, _ in text_blocks(batch, text):
+                part = batch.slice(lo, hi - lo)
+                packed = encoder.encode_all(part.column(text).fill_null("").to_pylist())
+                sizes = [len(x) // 4 for x in packed]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(packed, pa.binary()), pa.array(sizes, pa.int64())],
+                    names=[*batch.schema.names, out, "n_tokens"],
+                )
 
     return documents.select(*keep).mapInArrow(run, schema)
 
@@ -289,16 +295,18 @@ def decode(
     schema = encoded.select(*keep).schema.add(out, "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Vocabulary(rank_file).tokens
+        tokens = {rank: token for token, rank in parse_ranks(rank_file).items()}
         for batch in batches:
-            texts = [
-                b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
-                for x in batch.column(ids).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())],
-                names=[*batch.schema.names, out],
-            )
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                texts = [
+                    b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
+                    for x in part.column(ids).to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.binary())],
+                    names=[*batch.schema.names, out],
+                )
 
     return encoded.select(*keep).mapInArrow(run, schema)
 

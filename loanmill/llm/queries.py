@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanmill.llm import bpe
+from loanmill.llm import anchors, bpe, decontam, neardup, suffix
 from loanmill.llm.common import table
 
 
@@ -19,5 +19,29 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op2_bpe": op2_bpe}
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.passages(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(
+        _documents(spark, sf_dir), neardup.Likeness(words=3, percent=85)
+    )
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.digests(_documents(spark, sf_dir))
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(_documents(spark, sf_dir))
+
+
+QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_bpe": op2_bpe,
+    "op5_near_dedup": op5_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
+}
 ORACLES: dict[str, str] = {}
