@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from loanmill.llm.common import ragged, text_blocks
 
@@ -322,7 +323,8 @@ def unpacked(encoded: DataFrame, ids: str = "ids", out: str = "token_ids") -> Da
                 names=[*batch.schema.names, out],
             )
 
-    return encoded.mapInArrow(run, encoded.schema.add(out, "array<int>"))
+    schema = encoded.select("*").schema.add(out, ArrayType(IntegerType()))
+    return encoded.mapInArrow(run, schema)
 
 
 def digests(documents: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:

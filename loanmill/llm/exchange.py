@@ -45,6 +45,7 @@ def pack(
         keys = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     new = np.ones(len(docs), bool)
     new[1:] = (docs[1:] != docs[:-1]) | (bucket[1:] != bucket[:-1])
+    new[1:] |= positions[1:] < positions[:-1]  # a repeated row
     gaps = positions.copy()
     gaps[1:] -= np.where(new[1:], 0, positions[:-1])
     short = np.minimum(gaps, 255).astype(np.uint8)
@@ -121,8 +122,10 @@ def hit_rows(docs: np.ndarray, positions: np.ndarray) -> pa.Table:
     """A row of packed positions for each document."""
     order = np.lexsort((positions, docs))
     docs, positions = docs[order], positions[order].astype("<u4")
-    cuts = np.flatnonzero(np.diff(docs, prepend=docs[0] - 1)) if len(docs) else np.zeros(0, int)
-    ends = np.append(cuts[1:], len(docs))
+    new = np.ones(len(docs), bool)
+    new[1:] = docs[1:] != docs[:-1]
+    cuts = np.flatnonzero(new)
+    ends = np.append(cuts, len(docs))[1:]
     blobs = [positions[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)]
     return pa.table({"doc_id": pa.array(docs[cuts], pa.int64()), "hits": pa.array(blobs, pa.binary())})
 
