@@ -29,6 +29,7 @@ from loanmill.llm import exchange
 from loanmill.llm.common import (
     EXACT,
     buckets,
+    ids_and_texts,
     prefix_sums,
     stretch_hashes,
     string_parts,
@@ -54,41 +55,29 @@ def rolling(
     return which, starts, stretch_hashes(sums, at, at + width)
 
 
-def _hits(bucket: pa.Table, block: int) -> pa.Table:
-    """Probes whose hash is a block's and occurs twice or more."""
-    docs, positions, keys = exchange.unpack(bucket, "u4")
+def _probe_hits(positions: np.ndarray, keys: np.ndarray, block: int) -> tuple[np.ndarray, ...]:
+    """Of probes: an order by hash, the groups in it, and whether each group is
+    a hit: two or more, a block's among them."""
     order = np.argsort(keys, kind="stable")
     firsts, group = exchange.groups(keys, order)
-    aligned = (positions[order] % block == 0).astype(np.int64)
     sizes = np.diff(np.append(firsts, len(keys)))
-    good = (sizes > 1) & (np.add.reduceat(aligned, firsts) > 0)
-    take = order[good[group]]
-    return exchange.hit_rows(docs[take], positions[take])
+    return order, firsts, group, (sizes > 1) & exchange.any_of(positions[order] % block == 0, firsts)
 
 
-def _repeats(bucket: pa.Table) -> pa.Table:
-    """Windows that are not the first of their hash by document and start."""
-    docs, positions, keys = exchange.unpack(bucket, "u8")
+def _window_repeats(
+    docs: np.ndarray, positions: np.ndarray, keys: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of each hash by document and start, and the later ones."""
     order = np.lexsort((positions, docs, keys))
     firsts, group = exchange.groups(keys, order)
-    docs, positions = docs[order], positions[order]
-    first = firsts[group]
-    later = (docs != docs[first]) | (positions != positions[first])
-    return exchange.hit_rows(docs[later], positions[later])
-
-
-def _positions(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    blobs = batch.column("hits")[row].as_py() or []
-    return np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
-
-
-def _per_document(hits: DataFrame) -> DataFrame:
-    return hits.groupBy("doc_id").agg(F.collect_list("hits").alias("hits"))
+    first = order[firsts[group]]
+    later = (docs[order] != docs[first]) | (positions[order] != positions[first])
+    return order[firsts], order[later]
 
 
 def repeated_windows(documents: DataFrame, window: int, block: int) -> DataFrame:
-    """Per document with repeats: ``hits``, arrays of packed starts, in words,
-    of the windows that also start earlier. Documents have ids."""
+    """Per document with repeats: ``hits``, packed starts, in words, of the
+    windows that also start earlier. Documents have ids."""
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block wherever it starts")
     n_buckets = buckets(text_bytes(documents), BUCKET_BYTES)
@@ -108,7 +97,7 @@ def repeated_windows(documents: DataFrame, window: int, block: int) -> DataFrame
             change = np.zeros(len(which) + 1, np.int64)
             for text, n in enumerate(counts):
                 if n:
-                    at = _positions(batch, lo + text)
+                    at = exchange.places(batch, lo + text)
                     # A block at word j lies in the windows that start from
                     # j - (window - block) to j.
                     np.add.at(change, first[text] + np.clip(at - (window - block), 0, n), 1)
@@ -116,14 +105,33 @@ def repeated_windows(documents: DataFrame, window: int, block: int) -> DataFrame
             near = np.flatnonzero(np.cumsum(change[:-1]) > 0)
             yield ids[lo + which[near]], starts[near], keys[near]
 
-    probing = exchange.send(documents, probes, n_buckets, "u4")
-    hits = probing.groupBy("bucket").applyInArrow(
-        lambda bucket: _hits(bucket, block), exchange.HITS_SCHEMA
-    )
-    candidates = documents.join(_per_document(hits), "doc_id")
-    extending = exchange.send(candidates, near_hits, n_buckets, "u8")
-    repeats = extending.groupBy("bucket").applyInArrow(_repeats, exchange.HITS_SCHEMA)
-    return _per_document(repeats)
+    def settle_probes(
+        docs: np.ndarray, positions: np.ndarray, keys: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        order, firsts, group, good = _probe_hits(positions, keys, block)
+        known = good[group]
+        # One block stands for all probes of a hash that are hits already.
+        stand = known & (positions[order] % block == 0)
+        at = np.flatnonzero(stand)
+        at = at[np.unique(group[at], return_index=True)[1]]
+        return order[np.append(np.flatnonzero(~known), at)], order[known]
+
+    def resolve_probes(bucket: pa.Table) -> pa.RecordBatch:
+        docs, positions, keys = exchange.unpack(bucket, "<u4")
+        order, _, group, good = _probe_hits(positions, keys, block)
+        take = order[good[group]]
+        return exchange.hits(docs[take], positions[take], n_buckets)
+
+    def resolve_windows(bucket: pa.Table) -> pa.RecordBatch:
+        docs, positions, keys = exchange.unpack(bucket, "<u8")
+        _, later = _window_repeats(docs, positions, keys)
+        return exchange.hits(docs[later], positions[later], n_buckets)
+
+    probing = exchange.send(documents, probes, n_buckets, "u4", settle_probes)
+    hits = exchange.by_document(exchange.meet(probing, resolve_probes))
+    candidates = documents.join(hits, "doc_id")
+    extending = exchange.send(candidates, near_hits, n_buckets, "u8", _window_repeats)
+    return exchange.by_document(exchange.meet(extending, resolve_windows))
 
 
 def remove_repeats(
@@ -137,9 +145,7 @@ def remove_repeats(
     no words. Rows that share an id and a text are one document and come out
     the same; a row without an id takes no part and keeps all its words.
     """
-    named = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")
-    )
+    named = ids_and_texts(documents, text)
     nameless = named.filter("doc_id is null")
     named = named.filter("doc_id is not null")
     repeats = repeated_windows(named, window, block)
@@ -151,7 +157,7 @@ def remove_repeats(
             n_words, n_removed, kept = [], [], []
             for row in range(batch.num_rows):
                 words = data[offs[row] : offs[row + 1]].split()
-                starts = _positions(batch, row)
+                starts = exchange.places(batch, row)
                 gone = 0
                 if len(starts):
                     change = np.zeros(len(words) + 1, np.int64)

@@ -30,6 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def ids_and_texts(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``doc_id`` as a long and ``text``, without a projection where there is
+    none to make: scans that look alike then share one shuffle."""
+    types = dict(documents.dtypes)
+    number, words = F.col("doc_id"), F.col(text)
+    if types["doc_id"] != "bigint":
+        number = number.cast("long").alias("doc_id")
+    return documents.select(number, words if text == "text" else words.alias("text"))
+
+
 def fold(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds

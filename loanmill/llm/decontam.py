@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanmill.llm.common import mix, ragged, staged, text_blocks, word_hashes, word_spans
+from loanmill.llm.common import ids_and_texts, mix, ragged, staged, text_blocks, word_hashes, word_spans
 
 #: Words are runs of ASCII letters and digits and of all bytes beyond ASCII.
 BREAKS = np.ones(256, bool)
@@ -237,7 +237,7 @@ def passages(
     are left out, since no row could name them.
     """
     search = search or Search()
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    documents = ids_and_texts(documents, text)
     items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
     item_type = items.schema["item_id"].dataType
     blocks = max(1, -(-items.count() // ITEMS_PER_SCAN))

@@ -6,6 +6,11 @@ gaps between positions (a byte, and the rare larger ones apart) and keys. That
 is 5 or 9 bytes a record instead of a row of 40, and one row per chunk of text
 and bucket. Buckets are sized by the bytes of all texts, so each one holds a
 bounded number of records at any size of the input.
+
+A key may stand in a third of all documents. Tasks therefore settle what they
+can before they send: places whose fate is known within the chunk go straight
+to their document's bucket, and one or two records of such a key go on for all
+of them. A bucket then gets a few records of a key from each chunk.
 """
 
 from __future__ import annotations
@@ -14,12 +19,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SCHEMA = (
-    "bucket int, docs binary, sizes binary, gaps binary, far binary, keys binary"
-)
-HITS_SCHEMA = "doc_id long, hits binary"
+from loanmill.llm.common import mix
+
+SCHEMA = "bucket int, docs binary, sizes binary, gaps binary, far binary, keys binary"
 #: Records that a task gathers before it sends them on.
 CHUNK = 1_500_000
 
@@ -30,19 +35,12 @@ def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
 
 
 def pack(
-    docs: np.ndarray, positions: np.ndarray, keys: np.ndarray, n_buckets: int, kind: str
+    bucket: np.ndarray, docs: np.ndarray, positions: np.ndarray, keys: np.ndarray
 ) -> pa.RecordBatch:
-    """Records as one row per bucket. Positions ascend within a document.
-
-    ``kind`` u4 keeps the lower half of the key: for filters only, since
-    another key of the bucket may share it. u8 keeps it all.
-    """
-    bucket = bucket_of(keys, n_buckets)
-    kind_of_bucket = np.uint16 if n_buckets < 1 << 16 else np.int64
-    order = np.argsort(bucket.astype(kind_of_bucket), kind="stable")
+    """Records as one row per bucket. Positions ascend within a document."""
+    small = 0 <= bucket.min(initial=0) and bucket.max(initial=0) < 1 << 16
+    order = np.argsort(bucket.astype(np.uint16) if small else bucket, kind="stable")
     bucket, docs, positions, keys = bucket[order], docs[order], positions[order], keys[order]
-    if kind == "u4":
-        keys = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     new = np.ones(len(docs), bool)
     new[1:] = (docs[1:] != docs[:-1]) | (bucket[1:] != bucket[:-1])
     new[1:] |= positions[1:] < positions[:-1]  # a repeated row
@@ -54,7 +52,9 @@ def pack(
     sizes = np.diff(np.append(firsts, len(docs))).astype(np.uint32)
     far = gaps[is_far].astype(np.uint32)
     far_before = np.concatenate([[0], np.cumsum(is_far)])
-    cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+    edge = np.ones(len(docs) + 1, bool)
+    edge[1:-1] = bucket[1:] != bucket[:-1]
+    cuts = np.flatnonzero(edge) if len(docs) else np.zeros(1, np.int64)
     rows = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         i, j = np.searchsorted(firsts, [a, b])
@@ -76,10 +76,10 @@ def pack(
     )
 
 
-def unpack(table: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpack(table: pa.Table, kind: str | np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Documents, positions and keys of all records of a bucket's rows."""
 
-    def column(name: str, dtype: str) -> np.ndarray:
+    def column(name: str, dtype: str | np.dtype) -> np.ndarray:
         parts = table.column(name).to_pylist()
         return np.frombuffer(b"".join(parts), dtype)
 
@@ -91,7 +91,7 @@ def unpack(table: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarr
     sums = np.cumsum(gaps)
     firsts = np.cumsum(sizes) - sizes
     positions = sums - np.repeat(sums[firsts] - gaps[firsts], sizes)
-    return docs, positions, column("keys", "<" + kind)
+    return docs, positions, column("keys", kind)
 
 
 def send(
@@ -99,9 +99,25 @@ def send(
     records: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]],
     n_buckets: int,
     kind: str,
+    settle: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
 ) -> DataFrame:
-    """Rows of records; ``records`` gives documents, positions and keys of
-    blocks of a batch."""
+    """Rows of records; ``records`` gives documents, positions and 64-bit keys
+    of blocks of a batch. ``settle`` tells, of a chunk, which records go to
+    their key's bucket and which places are hits already.
+
+    ``kind`` u4 keeps the lower half of the keys: for filters only, since
+    another key of the bucket may share it. u8 keeps them all.
+    """
+
+    def packed(held: list) -> Iterator[pa.RecordBatch]:
+        docs, positions, keys = map(np.concatenate, zip(*held, strict=True))
+        go, known = settle(docs, positions, keys)
+        yield passed(hits(docs[known], positions[known], n_buckets))
+        docs, positions, keys = docs[go], positions[go], keys[go]
+        bucket = bucket_of(keys, n_buckets)
+        if kind == "u4":
+            keys = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        yield pack(bucket, docs, positions, keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -110,24 +126,67 @@ def send(
                 held.append(block)
                 n += len(block[0])
                 if n >= CHUNK:
-                    yield pack(*map(np.concatenate, zip(*held, strict=True)), n_buckets, kind)
+                    yield from packed(held)
                     held, n = [], 0
         if n:
-            yield pack(*map(np.concatenate, zip(*held, strict=True)), n_buckets, kind)
+            yield from packed(held)
 
     return documents.mapInArrow(run, SCHEMA)
 
 
-def hit_rows(docs: np.ndarray, positions: np.ndarray) -> pa.Table:
-    """A row of packed positions for each document."""
+def passed(packed: pa.RecordBatch) -> pa.RecordBatch:
+    """Hits under a number below zero: they only pass through the next step."""
+    return packed.set_column(0, "bucket", pc.subtract(pa.scalar(-1, pa.int32()), packed.column(0)))
+
+
+def meet(sent: DataFrame, resolve: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
+    """``resolve`` the records of each bucket; hits that pass through get the
+    number of their document's bucket back."""
+
+    def run(bucket: pa.Table) -> pa.Table:
+        if bucket.column("bucket")[0].as_py() < 0:
+            back = pc.subtract(pa.scalar(-1, pa.int32()), bucket.column("bucket"))
+            return bucket.set_column(0, "bucket", back)
+        return pa.Table.from_batches([resolve(bucket)])
+
+    return sent.groupBy("bucket").applyInArrow(run, SCHEMA)
+
+
+def hits(docs: np.ndarray, positions: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+    """Places in documents, packed by the bucket of the document."""
     order = np.lexsort((positions, docs))
-    docs, positions = docs[order], positions[order].astype("<u4")
-    new = np.ones(len(docs), bool)
-    new[1:] = docs[1:] != docs[:-1]
-    cuts = np.flatnonzero(new)
-    ends = np.append(cuts, len(docs))[1:]
-    blobs = [positions[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)]
-    return pa.table({"doc_id": pa.array(docs[cuts], pa.int64()), "hits": pa.array(blobs, pa.binary())})
+    docs, positions = docs[order], positions[order]
+    bucket = bucket_of(mix(docs.astype(np.uint64)), n_buckets)
+    return pack(bucket, docs, positions, np.zeros(len(docs), np.uint8))
+
+
+def by_document(packed: DataFrame) -> DataFrame:
+    """Rows of ``hits`` as one row per document: ``doc_id`` and ``hits``, its
+    places as packed 32-bit integers, each once and in order."""
+
+    def run(bucket: pa.Table) -> pa.Table:
+        docs, positions, _ = unpack(bucket, "u1")
+        order = np.lexsort((positions, docs))
+        docs, positions = docs[order], positions[order].astype("<u4")
+        own = np.ones(len(docs), bool)
+        own[1:] = (docs[1:] != docs[:-1]) | (positions[1:] != positions[:-1])
+        docs, positions = docs[own], positions[own]
+        firsts, _ = groups(docs, np.arange(len(docs)))
+        ends = np.append(firsts, len(docs))[1:]
+        blobs = [positions[a:b].tobytes() for a, b in zip(firsts, ends, strict=True)]
+        return pa.table({"doc_id": pa.array(docs[firsts]), "hits": pa.array(blobs, pa.binary())})
+
+    return packed.groupBy("bucket").applyInArrow(run, "doc_id long, hits binary")
+
+
+def places(batch: pa.RecordBatch, row: int) -> np.ndarray:
+    """The places of a row that was joined with ``by_document``; none if NULL."""
+    return np.frombuffer(batch.column("hits")[row].as_py() or b"", "<u4").astype(np.int64)
+
+
+def any_of(mask: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Whether any place of each group has the mask."""
+    return np.add.reduceat(mask.astype(np.int64), firsts) > 0 if len(mask) else mask
 
 
 def groups(keys: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

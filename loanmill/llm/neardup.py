@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from loanmill.llm.common import (
     FOLDED,
+    ids_and_texts,
     mix,
     prefix_sums,
     staged,
@@ -264,7 +265,7 @@ def near_duplicates(documents: DataFrame, like: Likeness | None = None, text: st
     document. A row without an id has no links, no component and is kept.
     """
     like = like or Likeness()
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    documents = ids_and_texts(documents, text)
     signed = staged(signatures(documents, like), "signatures")
     same = ["set_a", "set_b", "n_shingles"]
     named = signed.filter("doc_id is not null and n_shingles > 0")

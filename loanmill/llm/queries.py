@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanmill.llm import anchors, bpe, decontam, neardup, suffix
-from loanmill.llm.common import table
+from loanmill.llm import anchors, bpe, decontam, langid, neardup, quality, secrets, suffix, topk
+from loanmill.llm.common import fold, table
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,16 +24,47 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.passages(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    model = quality.train(
+        documents, table(spark, sf_dir, "labels", "doc_id", "quality"), fold("doc_id", 5) != 0
+    )
+    return quality.score(documents, model).select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(
         _documents(spark, sf_dir), neardup.Likeness(words=3, percent=85)
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    return secrets.digests(documents, secrets.train(documents))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.digests(_documents(spark, sf_dir))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.train(documents, fold("doc_id", 5) != 0)
+    return langid.identify(documents.drop("lang"), model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "lang_spans"
+    )
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(_documents(spark, sf_dir))
 
@@ -40,8 +72,12 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
+    "op3_topk": op3_topk,
+    "op4_quality": op4_quality,
     "op5_near_dedup": op5_near_dedup,
+    "op6_secrets": op6_secrets,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_language": op9_language,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 ORACLES: dict[str, str] = {}

@@ -10,10 +10,14 @@
    follows, to 16, 32 and ``length`` bytes. Common prefixes of neighbours follow
    Kasai, in lanes: along the text they shrink by at most one a step. Suffixes
    that share ``length`` bytes are one class.
-3. Shards meet in buckets of their classes' hashes. Each shard's list is sorted
-   there and looked up by binary search in the merged list, which tells every
-   class the smallest document it stands in. A class is one record, so copies
-   within a shard are not sent.
+3. Shards are merged at the anchors. Strings in a row that share an anchor are
+   one piece, and a shard sends one record of each piece that holds the shard's
+   first string of a class. In a bucket of anchors the pieces are sorted, and
+   every record is looked up there by binary search, which tells it the
+   smallest document with the same piece: all strings of a later one repeat.
+4. Where an anchor has several pieces, their strings may still be equal in
+   part. The strings of the first document of each such piece meet once more,
+   each by its own hash.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +34,8 @@ from loanmill.llm import exchange
 from loanmill.llm.common import (
     EXACT,
     buckets,
+    ids_and_texts,
+    mix,
     prefix_sums,
     ragged,
     stretch_hashes,
@@ -38,9 +45,11 @@ from loanmill.llm.common import (
 )
 
 GRAM = 24
-BUCKET_BYTES = 48 << 20
-SHARD_BYTES, MERGE_BYTES = 4 << 20, 6 << 20
+BUCKET_BYTES, SHARD_BYTES = 32 << 20, 4 << 20
 LANE = 512
+#: Pieces of one anchor that a shard sends to be merged.
+MANY_PIECES = 8
+PIECE = np.dtype([("anchor", "<u8"), ("piece", "<u8"), ("strings", "u1")])
 
 
 def anchors(
@@ -69,15 +78,33 @@ def anchors(
     return starts, (low[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64), hashes
 
 
-def _shared(bucket: pa.Table) -> pa.Table:
-    """Anchors whose hash stands in two documents or more."""
-    docs, positions, keys = exchange.unpack(bucket, "u4")
-    order = np.argsort(keys, kind="stable")
+def _shared(docs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of anchors: an order by hash, the first of each group, each place's
+    group, and whether a group stands in two documents or more."""
+    order = np.lexsort((docs, keys))
     firsts, group = exchange.groups(keys, order)
-    ordered = docs[order]
-    good = np.minimum.reduceat(ordered, firsts) < np.maximum.reduceat(ordered, firsts)
-    take = order[good[group]]
-    return exchange.hit_rows(docs[take], positions[take])
+    lasts = np.append(firsts, len(keys))[1:] - 1
+    return order, firsts, group, docs[order[firsts]] < docs[order[lasts]]
+
+
+def _settle_anchors(
+    docs: np.ndarray, positions: np.ndarray, keys: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors in one document go on, two documents of each other anchor too."""
+    order, firsts, group, good = _shared(docs, keys)
+    lasts = np.append(firsts, len(keys))[1:] - 1
+    known = good[group]
+    return order[np.concatenate([np.flatnonzero(~known), firsts[good], lasts[good]])], order[known]
+
+
+def _settle_strings(
+    docs: np.ndarray, positions: np.ndarray, keys: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of the smallest document of their hash, and those of later ones."""
+    order = np.lexsort((docs, keys))
+    firsts, group = exchange.groups(keys, order)
+    later = docs[order] > docs[order[firsts[group]]]
+    return order[~later], order[later]
 
 
 # ------------------------------------------------------------------- one shard
@@ -204,55 +231,69 @@ def _of_shard(shard: pa.Table, length: int, n_buckets: int) -> pa.Table:
     smallest = np.minimum.reduceat(owner, firsts)
     sizes_of = np.diff(np.append(firsts, len(suffixes)))
     mine = owner == np.repeat(smallest, sizes_of)
-    sums = prefix_sums(EXACT[data])
-    send = np.sort(suffixes[mine])
-    keys = stretch_hashes(sums, send, send + length)
-    records = exchange.pack(doc[send], position[send], keys, n_buckets, "u8")
-    known = exchange.hit_rows(doc[suffixes[~mine]], position[suffixes[~mine]])
-    number = -1 - shard.column("shard")[0].as_py()
-    empty = pa.array([b""] * known.num_rows, pa.binary())
-    own = pa.RecordBatch.from_arrays(
-        [
-            pa.array([number] * known.num_rows, pa.int32()),
-            pa.array([x.to_bytes(8, "little", signed=True) for x in known["doc_id"].to_pylist()], pa.binary()),
-            empty,
-            empty,
-            known["hits"].combine_chunks(),
-            empty,
-        ],
-        names=records.schema.names,
+    known = exchange.hits(doc[suffixes[~mine]], position[suffixes[~mine]], n_buckets)
+
+    # Pieces: strings in a row with one anchor, of which any is the first.
+    is_mine = np.zeros(len(data), np.int64)
+    is_mine[suffixes[mine]] = 1
+    string, anchor, hashes = anchors(data, bounds, length)
+    new = np.ones(len(string), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (np.diff(string) > 1)
+    first = np.flatnonzero(new)
+    last = np.append(first, len(string))[1:] - 1
+    use = np.add.reduceat(is_mine[string], first) > 0
+    first, last = first[use], last[use]
+    begin, end = string[first], string[last]
+    keys = np.zeros(len(first), PIECE)
+    keys["anchor"] = hashes[anchor[first]]
+    keys["piece"] = stretch_hashes(prefix_sums(EXACT[data]), begin, end + length)
+    keys["piece"] ^= mix((anchor[first] - begin).astype(np.uint64))
+    keys["strings"] = end - begin + 1
+
+    # An anchor with many pieces in one shard needs no merging to be in doubt.
+    order = np.argsort(keys["anchor"], kind="stable")
+    firsts, group = exchange.groups(keys["anchor"], order)
+    many = np.diff(np.append(firsts, len(order)))[group] > MANY_PIECES
+    # Two of its pieces go on and put those of other shards in doubt.
+    stand = np.arange(len(order)) - firsts[group] < 2
+    doubtful, go = order[many & ~stand], np.sort(order[~many | stand])
+    records = exchange.pack(
+        exchange.bucket_of(keys["anchor"][go], n_buckets), doc[begin[go]], position[begin[go]], keys[go]
     )
-    return pa.Table.from_batches([records, own])
-
-
-def _merged(bucket: pa.Table) -> pa.Table:
-    """Places whose class stands in a smaller document of another shard."""
-    if bucket.column("bucket")[0].as_py() < 0:
-        docs = np.frombuffer(b"".join(bucket.column("docs").to_pylist()), "<i8")
-        return pa.table({"doc_id": pa.array(docs), "hits": bucket.column("far")})
-    docs, positions, keys = exchange.unpack(bucket, "u8")
-    classes, which = np.unique(keys, return_inverse=True)
-    order = np.argsort(which, kind="stable")
-    firsts, _ = exchange.groups(which, order)
-    smallest = np.minimum.reduceat(docs[order], firsts)
-    # Every shard's class is looked up in the merged list.
-    found = np.searchsorted(classes, keys)
-    later = docs > smallest[found]
-    return exchange.hit_rows(docs[later], positions[later])
+    places = ragged(begin[doubtful], keys["strings"][doubtful].astype(np.int64))
+    doubt = exchange.hits(doc[places], position[places], n_buckets)
+    doubt = doubt.set_column(0, "bucket", pc.add(doubt.column(0), pa.scalar(n_buckets, pa.int32())))
+    return pa.Table.from_batches([records, exchange.passed(known), exchange.passed(doubt)])
+
+
+def _merge(bucket: pa.Table, n_buckets: int) -> pa.RecordBatch:
+    """Strings of pieces that stand in a smaller document; and, numbered beyond
+    the buckets, strings in doubt."""
+    docs, positions, keys = exchange.unpack(bucket, PIECE)
+    order = np.lexsort((docs, keys["piece"], keys["anchor"]))
+    docs, positions, keys = docs[order], positions[order], keys[order]
+    pair = keys[["anchor", "piece"]]
+    new = np.ones(len(keys), bool)
+    new[1:] = pair[1:] != pair[:-1]
+    merged = np.flatnonzero(new)
+    # The place of each record's piece in the merged list.
+    found = np.searchsorted(merged, np.arange(len(keys)), "right") - 1
+    later = docs > docs[merged[found]]
+    firsts, group = exchange.groups(keys["anchor"], np.arange(len(keys)))
+    in_doubt = (np.add.reduceat(new.astype(np.int64), firsts) > 1)[group] & ~later
+    strings = keys["strings"].astype(np.int64)
+    out = []
+    for which, shift in ((later, 0), (in_doubt, n_buckets)):
+        own = np.repeat(docs[which], strings[which])
+        part = exchange.hits(own, ragged(positions[which], strings[which]), n_buckets)
+        number = pc.add(part.column(0), pa.scalar(shift, pa.int32()))
+        out.append(part.set_column(0, "bucket", number))
+    return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
 
 # ------------------------------------------------------------------ the operator
 
 
-def _positions(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    blobs = batch.column("hits")[row].as_py() or []
-    return np.unique(np.frombuffer(b"".join(blobs), "<u4")).astype(np.int64)
-
-
-def _per_document(hits: DataFrame) -> DataFrame:
-    return hits.groupBy("doc_id").agg(F.collect_list("hits").alias("hits"))
-
-
 def candidates(documents: DataFrame, length: int, n_bytes: int) -> DataFrame:
     """Per document with shared anchors: packed ``starts`` and ``sizes`` of the
     regions that their strings cover, and the regions' bytes as ``pieces``."""
@@ -272,7 +313,7 @@ def candidates(documents: DataFrame, length: int, n_bytes: int) -> DataFrame:
                 starts, anchor, _ = anchors(data, offs, length)
                 hit = np.zeros(len(data) + 1, bool)
                 for row in range(lo, hi):
-                    hit[offs[row - lo] + _positions(batch, row)] = True
+                    hit[offs[row - lo] + exchange.places(batch, row)] = True
                 starts = starts[hit[anchor]]
                 text = np.searchsorted(offs, starts, "right") - 1
                 new = np.ones(len(starts), bool)
@@ -294,30 +335,57 @@ def candidates(documents: DataFrame, length: int, n_bytes: int) -> DataFrame:
                 names=["doc_id", "starts", "sizes", "pieces"],
             )
 
-    probing = exchange.send(documents, probes, buckets(n_bytes, BUCKET_BYTES), "u4")
-    hits = probing.groupBy("bucket").applyInArrow(_shared, exchange.HITS_SCHEMA)
+    n_buckets = buckets(n_bytes, BUCKET_BYTES)
+
+    def resolve(bucket: pa.Table) -> pa.RecordBatch:
+        docs, positions, keys = exchange.unpack(bucket, "<u4")
+        order, _, group, good = _shared(docs, keys)
+        take = order[good[group]]
+        return exchange.hits(docs[take], positions[take], n_buckets)
+
+    hits = exchange.meet(exchange.send(documents, probes, n_buckets, "u4", _settle_anchors), resolve)
     return (
-        documents.join(_per_document(hits), "doc_id")
+        documents.join(exchange.by_document(hits), "doc_id")
         .mapInArrow(regions, "doc_id long, starts binary, sizes binary, pieces binary")
         .filter(F.length("starts") > 0)
     )
 
 
 def repeated_strings(documents: DataFrame, length: int) -> DataFrame:
-    """Per document with repeats: ``hits``, arrays of packed starts, in bytes,
-    of the strings that also start in a document with a smaller id."""
+    """Per document with repeats: ``hits``, packed starts, in bytes, of the
+    strings that also start in a document with a smaller id."""
     if length <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     n_bytes = text_bytes(documents)
-    n_shards, n_buckets = buckets(n_bytes, SHARD_BYTES), buckets(n_bytes, MERGE_BYTES)
+    n_shards, n_buckets = buckets(n_bytes, SHARD_BYTES), buckets(n_bytes, BUCKET_BYTES)
     shards = candidates(documents, length, n_bytes).withColumn(
         "shard", F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int")
     )
     sent = shards.groupBy("shard").applyInArrow(
         lambda shard: _of_shard(shard, length, n_buckets), exchange.SCHEMA
     )
-    merged = sent.groupBy("bucket").applyInArrow(_merged, exchange.HITS_SCHEMA)
-    return _per_document(merged)
+    merged = exchange.meet(sent, lambda bucket: _merge(bucket, n_buckets))
+    settled = merged.filter(F.col("bucket") < n_buckets)
+    in_doubt = merged.filter(F.col("bucket") >= n_buckets)
+
+    def strings(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        for lo, hi, data, offs in text_blocks(batch):
+            places = [exchange.places(batch, row) for row in range(lo, hi)]
+            text = np.repeat(np.arange(hi - lo), [len(x) for x in places])
+            position = np.concatenate(places)
+            at = offs[text] + position
+            sums = prefix_sums(EXACT[data])
+            yield ids[lo + text], position, stretch_hashes(sums, at, at + length)
+
+    def resolve(bucket: pa.Table) -> pa.RecordBatch:
+        docs, positions, keys = exchange.unpack(bucket, "<u8")
+        _, later = _settle_strings(docs, positions, keys)
+        return exchange.hits(docs[later], positions[later], n_buckets)
+
+    asked = documents.join(exchange.by_document(in_doubt), "doc_id")
+    again = exchange.send(asked, strings, n_buckets, "u8", _settle_strings)
+    return exchange.by_document(settled.unionByName(exchange.meet(again, resolve)))
 
 
 def remove_repeats(documents: DataFrame, length: int = 50, text: str = "text") -> DataFrame:
@@ -330,9 +398,7 @@ def remove_repeats(documents: DataFrame, length: int = 50, text: str = "text") -
     bytes. Rows that share an id are never compared with each other; a row
     without an id takes no part and keeps all its bytes.
     """
-    named = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")
-    )
+    named = ids_and_texts(documents, text)
     nameless = named.filter("doc_id is null")
     named = named.filter("doc_id is not null")
     repeats = repeated_strings(named, length)
@@ -344,7 +410,7 @@ def remove_repeats(documents: DataFrame, length: int = 50, text: str = "text") -
             kept = []
             for row in range(batch.num_rows):
                 raw = data[offs[row] : offs[row + 1]]
-                starts = _positions(batch, row)
+                starts = exchange.places(batch, row)
                 spans = gone = 0
                 left = raw.tobytes()
                 if len(starts):

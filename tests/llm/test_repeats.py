@@ -82,9 +82,19 @@ def test_bytes_of_given_documents(some_documents, given):
     assert got == want and any(r[1] for r in want.values())
 
 
+def test_words_in_several_chunks(edge_documents, edge_rows, monkeypatch):
+    monkeypatch.setattr(exchange, "CHUNK", 500)
+    monkeypatch.setattr(anchors, "BUCKET_BYTES", 2000)
+    want = words_by_force(edge_rows, 12)
+    for r in anchors.remove_repeats(edge_documents, 12, 6).collect():
+        if r.doc_id is not None:
+            assert (r.n_words, r.n_removed) == want[r.doc_id][:2]
+
+
 def test_bytes_in_several_shards(edge_documents, edge_rows, monkeypatch):
     monkeypatch.setattr(suffix, "SHARD_BYTES", 2000)
-    monkeypatch.setattr(suffix, "MERGE_BYTES", 3000)
+    monkeypatch.setattr(suffix, "MANY_PIECES", 2)
+    monkeypatch.setattr(exchange, "CHUNK", 500)
     want = bytes_by_force(edge_rows, 30)
     for r in suffix.remove_repeats(edge_documents, 30).collect():
         if r.doc_id is not None:
@@ -116,15 +126,16 @@ def test_packed_records(kind):
     docs = np.repeat([5, -3, 2**40], [700, 1, 300])
     positions = np.concatenate([np.cumsum(rng.integers(1, 900, n)) for n in (700, 1, 300)])
     keys = rng.integers(0, 2**63, len(docs), dtype=np.uint64) * np.uint64(2)
-    packed = exchange.pack(docs, positions, keys, 7, kind)
+    if kind == "u4":
+        keys = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    packed = exchange.pack(docs % 3, docs, positions, keys)
     import pyarrow as pa
 
     seen = []
     for row in range(packed.num_rows):
-        d, p, k = exchange.unpack(pa.Table.from_batches([packed.slice(row, 1)]), kind)
+        d, p, k = exchange.unpack(pa.Table.from_batches([packed.slice(row, 1)]), "<" + kind)
         seen += zip(d.tolist(), p.tolist(), k.tolist())
-    mask = 0xFFFFFFFF if kind == "u4" else 2**64 - 1
-    want = zip(docs.tolist(), positions.tolist(), (keys & np.uint64(mask)).tolist())
+    want = zip(docs.tolist(), positions.tolist(), keys.tolist())
     assert sorted(seen) == sorted(want)
 
 
