@@ -96,14 +96,15 @@ class ItemKeys:
         self.sizes, starts = sizes[use], firsts[use]
         growth = np.log(np.maximum(self.sizes, 1) / search.min_words) / math.log(1.5)
         classes = np.floor(growth + 1e-9).astype(np.int64)
-        random = np.random.default_rng(search.seed)
         self.tests: list[list[tuple]] = []
         for repetition in range(search.repetitions):
             bits = walk_bits(words, repetition, search.seed)
             tests = []
             for c in np.unique(classes):
                 items = np.flatnonzero(classes == c)
-                reach = min(STEPS, 2 * int(self.sizes[items].min()))
+                # The same steps for a class whatever other items there are.
+                random = np.random.default_rng([search.seed, repetition, c])
+                reach = min(STEPS, 2 * math.ceil(search.min_words * 1.5 ** int(c)))
                 rest = random.permutation(np.arange(1, reach))
                 first = int(random.integers(0, min(FIRST, reach)))
                 others = [int(x) for x in rest if x > first][: search.samples - 1]

@@ -24,58 +24,62 @@ from pyspark.sql import functions as F
 
 from loanmill.llm.common import EXACT, text_blocks, word_hashes, word_spans
 
-PAIRS = 1024
-SHAPES = 8
+#: Kinds of bytes: letters, capitals, digits, blanks, ends of lines, signs that
+#: prose uses or that markup and junk use, other signs, bytes beyond ASCII.
+KINDS = np.full(256, 19, np.int64)
+KINDS[97:123], KINDS[65:91], KINDS[48:58], KINDS[128:] = 0, 1, 2, 20
+for _kind, _signs in enumerate(
+    (b" \t", b"\n\r", b".", b",", b"'\"", b"()[]{}<>", b"|", b"!", b"?", b"-", b"_", b"/\\", b":;", b"*", b"#", b"$%&@+=~^"), 3
+):
+    KINDS[list(_signs)] = _kind
+N_KINDS = 21
+PAIRS = N_KINDS**2
+SHAPES = 4
 FEATURES = PAIRS + SHAPES
 
 
 @dataclass(frozen=True)
 class Sample:
     """Most positives and unlabelled texts that training looks at, chosen by a
-    hash of the id; steps of gradient descent and their size."""
+    hash of the id; steps of gradient descent, texts of each kind in a step, and
+    the size of a step."""
 
     positives: int = 4000
     unlabelled: int = 6000
-    steps: int = 400
-    rate: float = 0.05
-    decay: float = 1e-4
+    steps: int = 2500
+    batch: int = 500
+    rate: float = 0.1
+    decay: float = 1e-6
     seed: int = 11
 
 
 def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """A row per text: shares of hashed byte pairs, and eight shapes of the
-    text: capitals, digits, signs, white space, bytes beyond ASCII, length of
-    words, share of distinct words and of repeated neighbours."""
+    """A row per text: shares of pairs of kinds of neighbouring bytes, and the
+    length of the text and of its words, the share of distinct words and that
+    of words that repeat the one before."""
     n = len(offs) - 1
     sizes = np.diff(offs)
     row = np.repeat(np.arange(n), sizes)
-    low = np.where((data >= 65) & (data <= 90), data + 32, data)
-    pair = low[:-1].astype(np.uint32) << 8 | low[1:]
-    slot = ((pair * np.uint32(2654435761)) >> np.uint32(22)).astype(np.int64)
+    kind = KINDS[data]
     inside = row[:-1] == row[1:]
-    flat = np.bincount((row[:-1] * PAIRS + slot)[inside], minlength=n * PAIRS)
+    slot = row[:-1] * PAIRS + kind[:-1] * N_KINDS + kind[1:]
+    flat = np.bincount(slot[inside], minlength=n * PAIRS)
     out = np.zeros((n, FEATURES), np.float32)
-    length = np.maximum(sizes, 1)[:, None]
-    out[:, :PAIRS] = np.log1p(1000 * flat.reshape(n, PAIRS) / length)
-    is_digit = (data >= 48) & (data <= 57)
-    is_capital = (data >= 65) & (data <= 90)
-    is_space = data <= 32
-    is_sign = (data < 128) & ~is_digit & ~is_space & ((low < 97) | (low > 122))
-    for i, mask in enumerate((is_capital, is_digit, is_sign, is_space, data >= 128)):
-        out[:, PAIRS + i] = 5 * np.bincount(row[mask], minlength=n) / length[:, 0]
+    out[:, :PAIRS] = np.sqrt(flat.reshape(n, PAIRS) / np.maximum(sizes, 1)[:, None])
     begins, ends, bounds = word_spans(data, offs)
     words = np.maximum(np.diff(bounds), 1)
-    out[:, PAIRS + 5] = np.log1p(sizes / words)
     hashes = word_hashes(data, begins, ends, EXACT)
     of_word = np.repeat(np.arange(n), np.diff(bounds))
     own = np.sort(of_word.astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24))
     new = np.ones(len(own), bool)
     new[1:] = own[1:] != own[:-1]
     distinct = np.bincount((own[new] >> np.uint64(40)).astype(np.int64), minlength=n)
-    out[:, PAIRS + 6] = distinct / words
     same = np.zeros(len(hashes), bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (of_word[1:] == of_word[:-1])
-    out[:, PAIRS + 7] = 5 * np.bincount(of_word[same], minlength=n) / words
+    out[:, PAIRS] = np.log1p(sizes)
+    out[:, PAIRS + 1] = np.log1p(sizes / words)
+    out[:, PAIRS + 2] = distinct / words
+    out[:, PAIRS + 3] = np.sqrt(np.bincount(of_word[same], minlength=n) / words)
     return out
 
 
@@ -83,35 +87,31 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-class Adam:
-    """Steps of gradient descent with moments, over one array."""
-
-    def __init__(self, size: int, rate: float) -> None:
-        self.value, self.rate, self.t = np.zeros(size), rate, 0
-        self.first, self.second = np.zeros(size), np.zeros(size)
-
-    def step(self, gradient: np.ndarray) -> None:
-        self.t += 1
-        self.first += 0.1 * (gradient - self.first)
-        self.second += 0.01 * (gradient**2 - self.second)
-        mean = self.first / (1 - 0.9**self.t)
-        spread = np.sqrt(self.second / (1 - 0.99**self.t))
-        self.value -= self.rate * mean / (spread + 1e-8)
+def _loss(x: np.ndarray) -> np.ndarray:
+    return np.logaddexp(0, x)
 
 
 def fit_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float, sample: Sample) -> np.ndarray:
-    """Weights, with the bias last, that minimise the non-negative risk. Where
-    the risk of the negatives goes below zero, its gradient is turned."""
-    weights = Adam(positive.shape[1], sample.rate)
-    for _ in range(sample.steps):
-        p, u = _sigmoid(positive @ weights.value), _sigmoid(unlabelled @ weights.value)
-        good = prior * (positive.T @ (p - 1)) / len(p)
-        bad = unlabelled.T @ u / len(u) - prior * (positive.T @ p) / len(p)
-        loss_u = np.log1p(np.exp(np.clip(unlabelled @ weights.value, -30, 30))).mean()
-        loss_p = np.log1p(np.exp(np.clip(positive @ weights.value, -30, 30))).mean()
-        gradient = good + bad if loss_u - prior * loss_p >= 0 else -bad
-        weights.step(gradient + sample.decay * weights.value)
-    return weights.value
+    """Weights, with the bias last, that minimise the non-negative risk, by
+    Adam over small batches. Where the risk of the negatives goes below zero,
+    its gradient is turned. The weights of the last half are averaged."""
+    random = np.random.default_rng(sample.seed)
+    weights, first, second, mean = np.zeros((4, positive.shape[1]), np.float32)
+    for t in range(1, sample.steps + 1):
+        p = positive[random.integers(0, len(positive), sample.batch)]
+        u = unlabelled[random.integers(0, len(unlabelled), sample.batch)]
+        f_p, f_u = p @ weights, u @ weights
+        good = prior * (p.T @ (_sigmoid(f_p) - 1)) / len(p)
+        bad = u.T @ _sigmoid(f_u) / len(u) - prior * (p.T @ _sigmoid(f_p)) / len(p)
+        risk = _loss(f_u).mean() - prior * _loss(f_p).mean()
+        gradient = (good + bad if risk >= 0 else -bad) + sample.decay * weights
+        first += 0.1 * (gradient - first)
+        second += 0.01 * (gradient**2 - second)
+        step = first / (1 - 0.9**t) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+        weights = (weights - sample.rate * step).astype(np.float32)
+        if 2 * t > sample.steps:
+            mean += weights / (sample.steps - sample.steps // 2)
+    return mean
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, sample: Sample) -> float:
@@ -140,7 +140,7 @@ class Model:
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         x = (rows - self.center) / self.scale
-        return _sigmoid(x @ self.weights[:-1].astype(np.float32) + self.weights[-1])
+        return _sigmoid(x @ self.weights[:-1] + self.weights[-1])
 
 
 def _feature_rows(documents: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def train(
     positive, unlabelled = matrix(True), matrix(False)
     if len(positive) < 4 or len(unlabelled) < 4:
         zero, one = np.zeros(FEATURES, np.float32), np.ones(FEATURES, np.float32)
-        return Model(zero, one, np.zeros(FEATURES + 1), 0.5)
+        return Model(zero, one, np.zeros(FEATURES + 1, np.float32), 0.5)
     center = unlabelled.mean(0)
     scale = np.maximum(unlabelled.std(0), 1e-2)
 

@@ -45,7 +45,7 @@ def test_edges(spark, small_blocks):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(0, 1, 6).tolist()) for i in range(150)]
     rows += [(200 + i, [0.5] * 6) for i in range(90)]  # one vector many times
-    rows += [(400, None), (401, [0.5, None, 0, 0, 0, 0]), (402, [float("nan")] + [0.5] * 5)]
+    rows += [(400, None), (401, [0.5, None, 0.0, 0.0, 0.0, 0.0]), (402, [float("nan")] + [0.5] * 5)]
     rows += [(403, [float("inf")] + [0.5] * 5), (404, [0.1, 0.2]), (406, [0.3, 0.1]), (None, [0.5] * 6)]
     rows += [(408, []), (410, [0.0] * 6), rows[0], rows[0]]
     data = [(i, v, 1, 2) for i, v in rows]
