@@ -157,12 +157,12 @@ def remove_repeats(
             n_words, n_removed, kept = [], [], []
             for row in range(batch.num_rows):
                 words = data[offs[row] : offs[row + 1]].split()
-                starts = exchange.places(batch, row)
+                starts, counts = exchange.runs(batch, row)
                 gone = 0
                 if len(starts):
                     change = np.zeros(len(words) + 1, np.int64)
                     np.add.at(change, starts, 1)
-                    np.add.at(change, starts + window, -1)
+                    np.add.at(change, starts + counts - 1 + window, -1)
                     stays = np.cumsum(change[:-1]) == 0
                     gone = len(words) - int(stays.sum())
                     left = b" ".join(compress(words, stays.tolist()))

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from loanmill.llm.common import mix
+from loanmill.llm.common import mix, ragged
 
 SCHEMA = "bucket int, docs binary, sizes binary, gaps binary, far binary, keys binary"
 #: Records that a task gathers before it sends them on.
@@ -153,35 +153,48 @@ def meet(sent: DataFrame, resolve: Callable[[pa.Table], pa.RecordBatch]) -> Data
 
 
 def hits(docs: np.ndarray, positions: np.ndarray, n_buckets: int) -> pa.RecordBatch:
-    """Places in documents, packed by the bucket of the document."""
+    """Places in documents, packed by the bucket of the document: places in a
+    row are one record, whose key is their number."""
     order = np.lexsort((positions, docs))
     docs, positions = docs[order], positions[order]
+    new = np.ones(len(docs), bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (positions[1:] > positions[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first, len(docs))[1:] - 1
+    docs, starts, counts = docs[first], positions[first], positions[last] - positions[first] + 1
     bucket = bucket_of(mix(docs.astype(np.uint64)), n_buckets)
-    return pack(bucket, docs, positions, np.zeros(len(docs), np.uint8))
+    return pack(bucket, docs, starts, counts.astype("<u4"))
 
 
 def by_document(packed: DataFrame) -> DataFrame:
-    """Rows of ``hits`` as one row per document: ``doc_id`` and ``hits``, its
-    places as packed 32-bit integers, each once and in order."""
+    """Rows of ``hits`` as one row per document: ``doc_id`` and ``hits``, the
+    starts and numbers of its places in a row, as packed 32-bit integers."""
 
     def run(bucket: pa.Table) -> pa.Table:
-        docs, positions, _ = unpack(bucket, "u1")
-        order = np.lexsort((positions, docs))
-        docs, positions = docs[order], positions[order].astype("<u4")
-        own = np.ones(len(docs), bool)
-        own[1:] = (docs[1:] != docs[:-1]) | (positions[1:] != positions[:-1])
-        docs, positions = docs[own], positions[own]
+        docs, starts, counts = unpack(bucket, "<u4")
+        order = np.lexsort((starts, docs))
+        docs = docs[order]
+        runs = np.stack([starts[order], counts[order]], 1).astype("<u4")
         firsts, _ = groups(docs, np.arange(len(docs)))
         ends = np.append(firsts, len(docs))[1:]
-        blobs = [positions[a:b].tobytes() for a, b in zip(firsts, ends, strict=True)]
+        blobs = [runs[a:b].tobytes() for a, b in zip(firsts, ends, strict=True)]
         return pa.table({"doc_id": pa.array(docs[firsts]), "hits": pa.array(blobs, pa.binary())})
 
     return packed.groupBy("bucket").applyInArrow(run, "doc_id long, hits binary")
 
 
+def runs(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and numbers of the places in a row of a document that was joined
+    with ``by_document``; none if NULL. Runs are in order and may overlap."""
+    blob = batch.column("hits")[row].as_py() or b""
+    starts, counts = np.frombuffer(blob, "<u4").reshape(-1, 2).T.astype(np.int64)
+    return starts, counts
+
+
 def places(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    """The places of a row that was joined with ``by_document``; none if NULL."""
-    return np.frombuffer(batch.column("hits")[row].as_py() or b"", "<u4").astype(np.int64)
+    """The places of ``runs``, each once."""
+    starts, counts = runs(batch, row)
+    return np.unique(ragged(starts, counts))
 
 
 def any_of(mask: np.ndarray, firsts: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmill.llm import anchors, bpe, decontam, langid, neardup, quality, secrets, suffix, topk
+from loanmill.llm import anchors, bpe, decontam, katz, langid, neardup, quality, secrets, suffix, topk
 from loanmill.llm.common import fold, table
 
 
@@ -53,6 +53,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(documents, secrets.train(documents))
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_documents(spark, sf_dir), fold("doc_id", 7) != 2)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.digests(_documents(spark, sf_dir))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_near_dedup": op5_near_dedup,
     "op6_secrets": op6_secrets,
+    "op7_katz": op7_katz,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,

@@ -209,7 +209,7 @@ def shard_classes(
     return suffixes, np.flatnonzero(prefixes[suffixes] < length)
 
 
-def _of_shard(shard: pa.Table, length: int, n_buckets: int) -> pa.Table:
+def _of_shard(shard: pa.Table, length: int, n_buckets: int, many_pieces: int) -> pa.Table:
     """Records of the shard's classes, and repeats that it knows by itself."""
     ids = shard.column("doc_id").to_numpy()
     order = np.argsort(ids, kind="stable")
@@ -253,7 +253,7 @@ def _of_shard(shard: pa.Table, length: int, n_buckets: int) -> pa.Table:
     # An anchor with many pieces in one shard needs no merging to be in doubt.
     order = np.argsort(keys["anchor"], kind="stable")
     firsts, group = exchange.groups(keys["anchor"], order)
-    many = np.diff(np.append(firsts, len(order)))[group] > MANY_PIECES
+    many = np.diff(np.append(firsts, len(order)))[group] > many_pieces
     # Two of its pieces go on and put those of other shards in doubt.
     stand = np.arange(len(order)) - firsts[group] < 2
     doubtful, go = order[many & ~stand], np.sort(order[~many | stand])
@@ -362,7 +362,7 @@ def repeated_strings(documents: DataFrame, length: int) -> DataFrame:
         "shard", F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int")
     )
     sent = shards.groupBy("shard").applyInArrow(
-        lambda shard: _of_shard(shard, length, n_buckets), exchange.SCHEMA
+        lambda shard: _of_shard(shard, length, n_buckets, MANY_PIECES), exchange.SCHEMA
     )
     merged = exchange.meet(sent, lambda bucket: _merge(bucket, n_buckets))
     settled = merged.filter(F.col("bucket") < n_buckets)
@@ -410,13 +410,14 @@ def remove_repeats(documents: DataFrame, length: int = 50, text: str = "text") -
             kept = []
             for row in range(batch.num_rows):
                 raw = data[offs[row] : offs[row + 1]]
-                starts = exchange.places(batch, row)
+                starts, counts_in_row = exchange.runs(batch, row)
                 spans = gone = 0
                 left = raw.tobytes()
                 if len(starts):
-                    apart = np.flatnonzero(np.diff(starts) > length)
+                    ends = np.maximum.accumulate(starts + counts_in_row - 1 + length)
+                    apart = np.flatnonzero(starts[1:] > ends[:-1])
                     begin = starts[np.append(0, apart + 1)]
-                    end = starts[np.append(apart, len(starts) - 1)] + length
+                    end = ends[np.append(apart, len(starts) - 1)]
                     spans, gone = len(begin), int((end - begin).sum())
                     cuts = zip(np.append(0, end), np.append(begin, len(raw)), strict=True)
                     left = b"".join(left[a:b] for a, b in cuts)
