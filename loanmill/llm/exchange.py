@@ -113,6 +113,7 @@ def send(
         docs, positions, keys = map(np.concatenate, zip(*held, strict=True))
         go, known = settle(docs, positions, keys)
         yield passed(hits(docs[known], positions[known], n_buckets))
+        go = np.sort(go)
         docs, positions, keys = docs[go], positions[go], keys[go]
         bucket = bucket_of(keys, n_buckets)
         if kind == "u4":
