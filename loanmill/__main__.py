@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     chosen = arguments().parse_args(argv)
     spark = SparkSession.builder.appName("loanmill").getOrCreate()
     if chosen.job == "component":
-        kept = pipeline.load_kept(spark, chosen.folder)
+        kept = pipeline.without_quarantined(pipeline.load_clean(spark, chosen.folder))
         writers.write_parquet(pipeline.component(kept, chosen.name), chosen.out)
         return
     keyed = ingest.with_member_id(readers.read_raw(spark, chosen.raw))

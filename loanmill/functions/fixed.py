@@ -87,15 +87,6 @@ SUB_GRADE_SHARES = {
 
 
 # Points, cut-offs and bands of the 20-100 rules.
-@dataclass(frozen=True)
-class HundredPoints:
-    excellent: int = 100
-    very_good: int = 80
-    good: int = 60
-    bad: int = 40
-    very_bad: int = 20
-
-
 HUNDRED_CUTOFFS = {"A": 90, "B": 80, "C": 70, "D": 60, "E": 50}
 HUNDRED_WEIGHTS = {
     "payment_history": 0.20,
@@ -104,15 +95,10 @@ HUNDRED_WEIGHTS = {
 }
 PERCENT_BANDS = {100: 100, 80: 80, 60: 60, 40: 40, 20: 20}
 COUNT_BANDS = {0: 100, 1: 60, 2: 40, 3: 20}
-# Published with the rules but used by none of them.
-COUNT_LEVELS = {"excellent": 0, "good": 1, "fair": 2, "poor": 3, "very_poor": 4}
-UTILISATION_LEVELS = {
-    "excellent": 0.2,
-    "good": 0.4,
-    "fair": 0.6,
-    "poor": 0.8,
-    "very_poor": 1.0,
-}
+STATUS_POINTS = {"Fully Paid": 100, "Current": 80, "Late": 40}
+HOME_POINTS = {"OWN": 100, "MORTGAGE": 60, "RENT": 40}
+GRADE_POINTS = {"A": 100, "B": 80, "C": 60, "D": 40}
+OTHER_POINTS = 20
 
 # Accepted ranges of the data-quality presets.
 LOAN_CHECKS = {

@@ -7,7 +7,6 @@ score NULL, which reports count as unscored.
 
 from __future__ import annotations
 
-import math
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -26,14 +25,17 @@ ONE_AND_A_HALF = Decimal("1.5")
 def last_payment_points(
     payment: Column, installment: Column, pts: fixed.RatedPoints = POINTS
 ) -> Column:
-    """How the last payment compares with the installment."""
+    """How the last payment compares with the installment.
+
+    The published bands below and above half an installment have the same
+    points. What is left after the third is above it.
+    """
     return first_match(
         [
-            (payment < installment * HALF, pts.very_bad),
             (payment < installment, pts.very_bad),
             (payment == installment, pts.good),
             (payment <= installment * ONE_AND_A_HALF, pts.very_good),
-            (payment > installment * ONE_AND_A_HALF, pts.excellent),
+            (payment > installment, pts.excellent),
         ],
         default=pts.unacceptable,
     )
@@ -55,12 +57,14 @@ def total_payment_points(
 
 def count_points(count: Column, many: int, pts: fixed.RatedPoints = POINTS) -> Column:
     """Points of a count of records; ``many`` is for above 5 and for NULL."""
+    # From above, so that each band is one comparison; below zero is no count.
     return first_match(
         [
+            (count > 5, many),
+            (count >= 3, pts.very_bad),
+            (count >= 1, pts.bad),
             (count == 0, pts.excellent),
-            (count.between(1, 2), pts.bad),
-            (count.between(3, 5), pts.very_bad),
-            (count.isNull() | (count > 5), many),
+            (count.isNull(), many),
         ]
     )
 
@@ -159,24 +163,19 @@ def weighted(weight, *points: Column) -> Column:
 
 
 def final_grade(score: Column, cut: fixed.GradeCutoffs = CUTOFFS) -> Column:
-    """Letter grade: A above the highest cut-off, F up to the lowest; NULL stays.
+    """Letter grade: A above the highest cut-off, F up to the lowest; NULL stays."""
 
-    All cut-offs are multiples of one step, so the grade is a lookup by bucket.
-    The score occurs in it once: a filter on the grade, which Spark moves below
-    the score, then copies the score's expression once and not per cut-off.
-    Buckets are closed below, cut-offs above, hence the negative signs.
-    """
-    lowest = dict(
-        B=cut.good, C=cut.bad, D=cut.very_bad, E=cut.unacceptable, F=-math.inf
-    )
-    top = cut.very_good
-    step = math.gcd(top, cut.good, cut.bad, cut.very_bad, cut.unacceptable)
-    uppers = range(top, 0, -step)
-    letters = [
-        next(grade for grade, low in lowest.items() if upper > low) for upper in uppers
-    ]
-    bucket = F.width_bucket(
-        -score.cast("double"), F.lit(-float(top)), F.lit(0.0), F.lit(len(letters))
+    def at(cutoff: int) -> Column:
+        # The score's own type: nothing is cast in the comparisons.
+        return F.lit(cutoff).cast("decimal(12,4)")
+
+    return first_match(
+        [
+            (score > at(cut.very_good), "A"),
+            (score > at(cut.good), "B"),
+            (score > at(cut.bad), "C"),
+            (score > at(cut.very_bad), "D"),
+            (score > at(cut.unacceptable), "E"),
+            (score <= at(cut.unacceptable), "F"),
+        ]
     )
-    table = F.array(*[F.lit(letter) for letter in ("A", *letters, "F")])
-    return F.get(table, bucket.cast("int"))

@@ -13,7 +13,10 @@ from loanmill.sources import schemas
 
 
 def ingest_time(at: datetime | None) -> Column:
-    return F.current_timestamp() if at is None else F.lit(at)
+    """Now, or the given time in the session's time zone."""
+    if at is None:
+        return F.current_timestamp()
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
 
 
 def present(names: Sequence[str]) -> Column:
@@ -27,7 +30,8 @@ def named_customers(split: DataFrame) -> DataFrame:
     money = ("annual_income", "total_high_credit_limit", "join_annual_income")
     return (
         split.withColumnsRenamed(schemas.CUSTOMER_NAMES)
-        .withColumns({name: F.col(name).cast(schemas.MONEY) for name in money})
+        .filter(F.col("annual_income").isNotNull())  # reaches the file scan
+        .withColumns({name: F.col(name).try_cast(schemas.MONEY) for name in money})
         .filter(F.col("annual_income").isNotNull())
         .withColumn("emp_length", s.digits_to_int(F.col("emp_length")))
     )

@@ -14,7 +14,6 @@ from loanmill.functions import fixed
 from loanmill.functions import scalars as s
 from loanmill.sources.writers import write_parquet
 
-POINTS = fixed.HundredPoints()
 SAVED_COLUMNS = (
     "member_id",
     "payment_history_score",
@@ -91,33 +90,16 @@ def default_columns() -> dict[str, Column]:
 
 def text_columns() -> dict[str, Column]:
     """Points that depend on texts."""
-    status, home, grade = F.col("loan_status"), F.col("home_ownership"), F.col("grade")
+    rules = {
+        "loan_status_pts": ("loan_status", fixed.STATUS_POINTS),
+        "home_pts": ("home_ownership", fixed.HOME_POINTS),
+        "grade_pts": ("grade", fixed.GRADE_POINTS),
+    }
     return {
-        "loan_status_pts": s.first_match(
-            [
-                (status == "Fully Paid", POINTS.excellent),
-                (status == "Current", POINTS.very_good),
-                (status == "Late", POINTS.bad),
-            ],
-            POINTS.very_bad,
-        ),
-        "home_pts": s.first_match(
-            [
-                (home == "OWN", POINTS.excellent),
-                (home == "MORTGAGE", POINTS.good),
-                (home == "RENT", POINTS.bad),
-            ],
-            POINTS.very_bad,
-        ),
-        "grade_pts": s.first_match(
-            [
-                (grade == "A", POINTS.excellent),
-                (grade == "B", POINTS.very_good),
-                (grade == "C", POINTS.good),
-                (grade == "D", POINTS.bad),
-            ],
-            POINTS.very_bad,
-        ),
+        name: s.first_match(
+            [(F.col(column) == text, pts) for text, pts in points.items()], fixed.OTHER_POINTS
+        )
+        for name, (column, points) in rules.items()
     }
 
 

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanmill.functions import fixed
 
@@ -140,3 +141,14 @@ def outliers(df: DataFrame, id_col: str, columns: list[str], z: float = 3.0):
         .filter("is_far")
         .select(id_col, "column_name", "value")
     )
+
+
+def unparsed_values(texts: DataFrame, kinds: Mapping[str, T.DataType]) -> DataFrame:
+    """Per column of text the values that its declared type cannot hold, and
+    that a read with the type would turn into NULL."""
+    lost = {
+        name: F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull())
+        for name, kind in kinds.items()
+    }
+    counts = texts.agg(*[count.alias(name) for name, count in lost.items()])
+    return counts.unpivot([], list(kinds), "column_name", "n_unparsed")

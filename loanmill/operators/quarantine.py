@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.operators.ingest import member_counts
@@ -19,24 +19,35 @@ def duplicated_members(table: DataFrame) -> DataFrame:
     return member_counts(table).filter("total > 1").select("member_id")
 
 
-def quarantine_list(*tables: DataFrame) -> DataFrame:
-    """Borrowers with more than one row in any of the tables, each once.
+def repeated_in(**tables: DataFrame) -> DataFrame:
+    """Borrowers with more than one row in any of the tables, each once, and for
+    each table whether it is that one.
 
     The tables' rows are counted together in one aggregation: one shuffle of
     partial counts instead of one per table and another for the distinct.
     """
-    names = [f"in_table_{i}" for i in range(len(tables))]
     tagged = [
-        table.select(
-            "member_id",
-            *[F.lit(1 if i == j else 0).alias(name) for j, name in enumerate(names)],
-        )
-        for i, table in enumerate(tables)
+        table.select("member_id", *[F.lit(int(own == name)).alias(name) for name in tables])
+        for own, table in tables.items()
     ]
     rows = reduce(DataFrame.unionByName, tagged)
-    counts = rows.groupBy("member_id").agg(*[F.sum(n).alias(n) for n in names])
-    repeated = F.greatest(*[F.col(n) for n in names], F.lit(0)) > 1
-    return counts.filter(repeated).select("member_id")
+    counts = rows.groupBy("member_id").agg(*[(F.sum(n) > 1).alias(n) for n in tables])
+    return counts.filter(reduce(Column.__or__, [F.col(n) for n in tables]))
+
+
+def quarantine_list(*tables: DataFrame) -> DataFrame:
+    """Borrowers with more than one row in any of the tables, each once."""
+    return repeated_in(**{f"in_table_{i}": t for i, t in enumerate(tables)}).select("member_id")
+
+
+def flag_members(table: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """The rows with ``is_quarantined``: whether the borrower is on the list,
+    which names each borrower once."""
+    listed = quarantined.select("member_id", F.lit(True).alias("is_listed"))
+    flagged = table.join(listed, "member_id", "left").withColumn(
+        "is_quarantined", F.coalesce("is_listed", F.lit(False))
+    )
+    return flagged.select(*table.columns, "is_quarantined")
 
 
 def exclude_members(table: DataFrame, quarantined: DataFrame) -> DataFrame:
@@ -54,18 +65,7 @@ def single_rows(keyed: DataFrame) -> DataFrame:
 
     When all member tables come from one raw table this is the quarantine: the
     detail table keeps every raw row, so a borrower is repeated in some table
-    exactly if it has several raw rows. One shuffle takes the place of building
-    a list and joining with it, and rows of a repeated borrower are folded
-    together before that shuffle, so a hot borrower overloads no task. The
-    maximum over a single row is that row's value.
+    exactly if it has several raw rows. Only keys are counted; rows meet the
+    list of repeated borrowers, which is far shorter than the table.
     """
-    carried = [c for c in keyed.columns if c != "member_id"]
-    return (
-        keyed.groupBy("member_id")
-        .agg(
-            F.count("*").alias("rows_of_member"),
-            *[F.max(c).alias(c) for c in carried],
-        )
-        .filter("rows_of_member = 1")
-        .select(*keyed.columns)
-    )
+    return exclude_members(keyed, duplicated_members(keyed))

@@ -119,15 +119,14 @@ def weighted_scores(points: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def score_tables(
+def ledger(
     loans: DataFrame,
-    repayments: DataFrame,
     customers: DataFrame,
     delinquencies: DataFrame,
     detail: DataFrame,
     *keep: str,
 ) -> DataFrame:
-    """Score from the five stored tables.
+    """What is known of each loan that can be scored, apart from its payments.
 
     The member tables, one row per borrower, meet the loans first: they share
     one partitioning (none at all to build if stored in buckets of the borrower)
@@ -147,7 +146,7 @@ def score_tables(
             "member_id",
         )
     )
-    ledger = (
+    return (
         loans.select(
             "loan_id",
             "member_id",
@@ -167,10 +166,14 @@ def score_tables(
             *financial_point_columns(),
         )
     )
+
+
+def score_payments(repayments: DataFrame, known: DataFrame, *keep: str) -> DataFrame:
+    """Score the repayments' loans; ``known`` is a ledger. One join, no more."""
     payments = repayments.select(
         "loan_id", "last_payment_amount", "total_payment_received"
     )
-    points = payments.join(ledger, "loan_id").select(
+    points = payments.join(known, "loan_id").select(
         "loan_id",
         "member_id",
         *keep,
@@ -181,6 +184,19 @@ def score_tables(
     return weighted_scores(points, *keep)
 
 
+def score_tables(
+    loans: DataFrame,
+    repayments: DataFrame,
+    customers: DataFrame,
+    delinquencies: DataFrame,
+    detail: DataFrame,
+    *keep: str,
+) -> DataFrame:
+    """Score from the five stored tables."""
+    known = ledger(loans, customers, delinquencies, detail, *keep)
+    return score_payments(repayments, known, *keep)
+
+
 def combine_components(
     payment: DataFrame, default: DataFrame, financial: DataFrame
 ) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+# The wide rows' columns.
 CUSTOMER_COLUMNS = (
     "emp_title",
     "emp_length",
@@ -39,6 +41,13 @@ REPAYMENT_COLUMNS = (
 )
 DELINQUENCY_COLUMNS = ("delinq_2yrs", "delinq_amnt", "mths_since_last_delinq")
 DETAIL_COLUMNS = ("pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
+# What the rows of one borrower may disagree in: all else is in the key.
+CONFLICTING = (
+    "total_high_credit_limit",
+    "application_type",
+    "join_annual_income",
+    "verification_status_joint",
+)
 WIDE_COLUMNS = (
     "loan_id",
     "member_id",
@@ -47,6 +56,7 @@ WIDE_COLUMNS = (
     *REPAYMENT_COLUMNS,
     *DELINQUENCY_COLUMNS,
     *DETAIL_COLUMNS,
+    "is_quarantined",
 )
 
 
@@ -59,17 +69,32 @@ def wide_customer_loans(
 ) -> DataFrame:
     """Customers with their loans, repayments, delinquency and record counts.
 
-    Left joins throughout. Loans meet repayments before customers, so the three
-    joins on the borrower share one partitioning. Give it quarantined member
-    tables: a borrower with k rows in each would come out k * k * k times.
+    Left joins throughout over the cleaned tables, whose member tables have
+    ``is_quarantined``. Every loan comes out once: a quarantined borrower's
+    customer rows are folded to what they agree in, and the tables that they
+    disagree in do not meet them. Loans meet repayments before customers, so
+    the joins on the borrower share one partitioning.
     """
+    shared = [c for c in CUSTOMER_COLUMNS if c not in CONFLICTING]
+    types = dict(customers.dtypes)
+    single = customers.filter(~F.col("is_quarantined"))
+    folded = (
+        customers.filter("is_quarantined")
+        .select("member_id", "is_quarantined", *shared)
+        .distinct()
+        .withColumns({c: F.lit(None).cast(types[c]) for c in CONFLICTING})
+    )
+    people = single.select("member_id", "is_quarantined", *CUSTOMER_COLUMNS).unionByName(folded)
     ledger = loans.select("member_id", "loan_id", *LOAN_COLUMNS).join(
         repayments.select("loan_id", *REPAYMENT_COLUMNS), "loan_id", "left"
     )
+
+    def known(table: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+        return table.filter(~F.col("is_quarantined")).select("member_id", *columns)
+
     return (
-        customers.select("member_id", *CUSTOMER_COLUMNS)
-        .join(delinquencies.select("member_id", *DELINQUENCY_COLUMNS), "member_id", "left")
-        .join(detail.select("member_id", *DETAIL_COLUMNS), "member_id", "left")
+        people.join(known(delinquencies, DELINQUENCY_COLUMNS), "member_id", "left")
+        .join(known(detail, DETAIL_COLUMNS), "member_id", "left")
         .join(ledger, "member_id", "left")
         .select(*WIDE_COLUMNS)
     )
@@ -83,13 +108,17 @@ def wide_view_query(
     def listed(alias: str, columns: tuple[str, ...]) -> str:
         return ", ".join(f"{alias}.{column}" for column in columns)
 
+    folded = ", ".join(f"NULL AS {c}" if c in CONFLICTING else c for c in CUSTOMER_COLUMNS)
     return (
         f"SELECT l.loan_id, c.member_id, {listed('c', CUSTOMER_COLUMNS)}, "
         f"{listed('l', LOAN_COLUMNS)}, {listed('r', REPAYMENT_COLUMNS)}, "
-        f"{listed('d', DELINQUENCY_COLUMNS)}, {listed('e', DETAIL_COLUMNS)} "
-        f"FROM {customers} c "
+        f"{listed('d', DELINQUENCY_COLUMNS)}, {listed('e', DETAIL_COLUMNS)}, c.is_quarantined "
+        f"FROM (SELECT member_id, is_quarantined, {', '.join(CUSTOMER_COLUMNS)} "
+        f"FROM {customers} WHERE NOT is_quarantined UNION ALL "
+        f"SELECT DISTINCT member_id, is_quarantined, {folded} "
+        f"FROM {customers} WHERE is_quarantined) c "
         f"LEFT JOIN {loans} l ON l.member_id = c.member_id "
         f"LEFT JOIN {repayments} r ON r.loan_id = l.loan_id "
-        f"LEFT JOIN {delinquencies} d ON d.member_id = c.member_id "
-        f"LEFT JOIN {detail} e ON e.member_id = c.member_id"
+        f"LEFT JOIN {delinquencies} d ON d.member_id = c.member_id AND NOT d.is_quarantined "
+        f"LEFT JOIN {detail} e ON e.member_id = c.member_id AND NOT e.is_quarantined"
     )

@@ -1,6 +1,7 @@
 """The registered queries as SQL for DuckDB, over the same order tables.
 
 Written from the rules' text, with joins and NOT IN where the jobs aggregate.
+Points, cut-offs, weights, purposes and key attributes are fixed values.
 """
 
 from __future__ import annotations
@@ -37,15 +38,15 @@ raw as (
       cast(1 + (o_orderkey // 7) % 5 as varchar)) end as sub_grade,
     case when not blank then case c_custkey % 3 when 0 then 'Verified' when 1 then 'Source Verified'
       else 'Not Verified' end end as verification_status,
-    cast(cast(abs(c_acctbal) as decimal(12,2)) * 100 + case when o_orderkey % 4 = 0 then 1000 else 0 end as decimal(14,4)) as tot_hi_cred_lim,
+    cast(cast(abs(c_acctbal) as decimal(12,2)) * 100 + case when o_orderkey % 4 = 0 then 1000 else 0 end as decimal(28,4)) as tot_hi_cred_lim,
     case when c_custkey % 10 = 0 then 'Joint App' else 'Individual' end as application_type,
-    case when c_custkey % 10 = 0 and c_acctbal >= 0 then cast(floor(cast(c_acctbal as decimal(12,2)) * 15) as decimal(14,4)) end as annual_inc_joint,
+    case when c_custkey % 10 = 0 and c_acctbal >= 0 then cast(floor(cast(c_acctbal as decimal(12,2)) * 15) as decimal(28,4)) end as annual_inc_joint,
     case when c_custkey % 10 = 0 then 'Not Verified' end as verification_status_joint,
-    case when o_orderkey % 97 <> 0 then cast(price as decimal(14,4)) end as loan_amnt,
-    cast(price as decimal(14,4)) as funded_amnt,
+    case when o_orderkey % 97 <> 0 then cast(price as decimal(28,4)) end as loan_amnt,
+    cast(price as decimal(28,4)) as funded_amnt,
     concat(' ', cast(tm as varchar), ' months') as term,
     concat(cast(5 + o_orderkey % 20 as varchar), '.5%') as int_rate,
-    cast(cast(cast(price * 100 as bigint) // tm as decimal(12,2)) * 0.01 as decimal(14,4)) as installment,
+    cast(cast(cast(price * 100 as bigint) // tm as decimal(12,2)) * 0.01 as decimal(28,4)) as installment,
     mon as issue_d,
     case (o_orderkey // 3) % 7 when 0 then 'Fully Paid' when 1 then 'Current' when 2 then 'In Grace Period'
       when 3 then 'Late (16-30 days)' when 4 then 'Late (31-120 days)' when 5 then 'Charged Off' else 'Default' end as loan_status,
@@ -55,11 +56,11 @@ raw as (
     pr as total_rec_prncp, it as total_rec_int, lf as total_rec_late_fee,
     cast(case when o_orderkey % 50 = 0 then 0 else pr + it + lf end as decimal(28,4)) as total_pymnt,
     cast(cast(cast(price * 100 as bigint) // tm as decimal(12,2)) * 0.01 * (case o_orderkey % 5 when 0 then 0.25 when 1 then 0.75
-      when 2 then 1.00 when 3 then 1.25 else 2.00 end) as decimal(14,4)) as last_pymnt_amnt,
+      when 2 then 1.00 when 3 then 1.25 else 2.00 end) as decimal(28,4)) as last_pymnt_amnt,
     case when o_orderkey % 17 = 0 then '0.0' else mon end as last_pymnt_d,
     case when o_orderkey % 19 = 0 then '0.0' when o_orderkey % 2 = 0 then null else mon end as next_pymnt_d,
     case when o_orderkey % 41 = 0 then 'n/a' else concat(cast(greatest((o_orderkey // 2) % 12 - 5, 0) as varchar), '.0') end as delinq_2yrs,
-    cast(o_orderkey % 4 * 100 as decimal(14,4)) as delinq_amnt,
+    cast(o_orderkey % 4 * 100 as decimal(28,4)) as delinq_amnt,
     greatest(o_orderkey % 11 - 4, 0) as pub_rec,
     greatest((o_orderkey // 11) % 9 - 4, 0) as pub_rec_bankruptcies,
     greatest((o_orderkey // 13) % 10 - 3, 0) as inq_last_6mths,
@@ -96,7 +97,7 @@ split_defaulters as (
 _CLEAN = """
 parsed_customers as (
   select member_id, emp_title, try_cast(regexp_replace(emp_length, '\\D', '', 'g') as int) as emp_length, home_ownership,
-    cast(annual_inc as decimal(14,4)) as annual_income, addr_state, zip_code as address_zipcode, country as address_country,
+    cast(annual_inc as decimal(28,4)) as annual_income, addr_state, zip_code as address_zipcode, country as address_country,
     grade, sub_grade, verification_status, tot_hi_cred_lim as total_high_credit_limit, application_type,
     annual_inc_joint as join_annual_income, verification_status_joint
   from (select distinct * from split_customers) where annual_inc is not null
@@ -255,7 +256,7 @@ hundred_payment as (
   from (
     select l.loan_id, l.member_id, {_pct("last_payment_amount", "monthly_installment")} as last_payment_percentage,
       {_pct("total_payment_received", "funded_amount")} as total_payment_percentage
-    from repayments r join loans_new l on l.loan_id = r.loan_id)
+    from repayments r join loans l on l.loan_id = r.loan_id)
 ),
 hundred_defaulters as (
   select e.member_id, {_counted_100("delinq_2yrs")} as delinq_pts, {_counted_100("pub_rec")} as public_records_pts,
@@ -347,17 +348,28 @@ _DQ_LOANS = _quality(
     3,
 )
 
+# Every loan of a customer once. A quarantined borrower's customer rows agree in
+# the attributes of the key; what they may disagree in is not served.
 _WIDE = _sql(
     """select l.loan_id, c.member_id, emp_title, emp_length, home_ownership, annual_income, address_state, address_zipcode,
       address_country, grade, sub_grade, verification_status, total_high_credit_limit, application_type, join_annual_income,
       verification_status_joint, loan_amount, funded_amount, loan_term_years, interest_rate, monthly_installment, issue_date,
       loan_status, loan_purpose, total_principal_received, total_interest_received, total_late_fee_received,
       last_payment_date, next_payment_date, delinq_2yrs, delinq_amnt, mths_since_last_delinq,
-      pub_rec, pub_rec_bankruptcies, inq_last_6mths
-    from customers_new c left join loans l on c.member_id = l.member_id
+      pub_rec, pub_rec_bankruptcies, inq_last_6mths, is_quarantined
+    from (
+      select member_id, emp_title, emp_length, home_ownership, annual_income, address_state, address_zipcode, address_country,
+        grade, sub_grade, verification_status, total_high_credit_limit, application_type, join_annual_income,
+        verification_status_joint, false as is_quarantined
+      from customers where member_id not in (select member_id from bad)
+      union all
+      select distinct member_id, emp_title, emp_length, home_ownership, annual_income, address_state, address_zipcode,
+        address_country, grade, sub_grade, verification_status, null, null, null, null, true
+      from customers where member_id in (select member_id from bad)) c
+      left join loans l on c.member_id = l.member_id
       left join repayments r on l.loan_id = r.loan_id
-      left join delinq_new d on c.member_id = d.member_id
-      left join detail_new e on c.member_id = e.member_id""",
+      left join delinq d on c.member_id = d.member_id and not c.is_quarantined
+      left join detail e on c.member_id = e.member_id and not c.is_quarantined""",
     4,
 )
 
@@ -400,6 +412,49 @@ def _far(column: str) -> str:
     )
 
 
+_TYPES = {
+    "double": "annual_inc delinq_2yrs pub_rec pub_rec_bankruptcies inq_last_6mths mths_since_last_delinq mths_since_last_record",
+    "decimal(28,4)": "tot_hi_cred_lim annual_inc_joint loan_amnt funded_amnt installment total_rec_prncp total_rec_int "
+    "total_rec_late_fee total_pymnt last_pymnt_amnt delinq_amnt",
+}
+_UNPARSED = _sql(
+    " union all ".join(
+        f"select '{c}' as column_name, count(*) filter (where {c} is not null and "
+        f"try_cast(cast({c} as varchar) as {kind}) is null) as n_unparsed from raw"
+        for kind, columns in _TYPES.items()
+        for c in columns.split()
+    ),
+    1,
+)
+_MEMBER_TABLES = {
+    "customers": "customers",
+    "loans_defaulters_delinq": "delinq",
+    "loans_defaulters_detail_rec_enq": "detail",
+}
+_BAD_LISTS = _sql(
+    " union all ".join(
+        f"select 'bad_{name}' as list_name, member_id from {table} group by member_id having count(*) > 1"
+        for name, table in _MEMBER_TABLES.items()
+    )
+    + " union all select 'bad_customer_data_final', member_id from bad",
+    4,
+)
+_EXTERNAL = _sql(
+    " union all ".join(
+        f"select '{name}' as table_name, count(*) as n_rows from {table}"
+        for name, table in {
+            **_MEMBER_TABLES,
+            "loans": "loans",
+            "loans_repayments": "repayments",
+            "customers_new": "customers_new",
+            "loans_new": "loans_new",
+            "loans_defaulters_delinq_new": "delinq_new",
+            "loans_defaulters_detail_rec_enq_new": "detail_new",
+        }.items()
+    ),
+    4,
+)
+
 _SCORE_ROWS = _sql("select * from scores", 5)
 
 ORACLES: dict[str, str] = {
@@ -614,10 +669,33 @@ ORACLES: dict[str, str] = {
         1,
     ),
     "csv_roundtrip": _sql(
-        "select * replace (cast(annual_inc as decimal(14,4)) as annual_inc) from split_customers",
+        "select * replace (cast(annual_inc as decimal(28,4)) as annual_inc) from split_customers",
         2,
     ),
     "csv_pipeline": _COUNTS,
     "parquet_roundtrip": _sql("select * from loans", 3),
     "stream_scores": _SCORE_ROWS,
+    "unparsed_values": _UNPARSED,
+    "inferred_csv": _sql(
+        """select cast(delinq_amnt as double) as delinq_amnt, cast(pub_rec as integer) as pub_rec, count(*) as total
+        from split_defaulters group by 1, 2""",
+        2,
+    ),
+    "cleaned_csv": _sql(
+        "select *, member_id in (select member_id from bad) as is_quarantined from loans", 4
+    ),
+    "temp_view": _frequency("loan_status", "loans", 3),
+    "ingest_dates": _sql("select loan_id, '2020-01-31 12:30:00' as ingested from loans", 3),
+    "external_tables": _EXTERNAL,
+    "external_loans": _sql(
+        "select *, member_id in (select member_id from bad) as is_quarantined from loans", 4
+    ),
+    "member_freq_delinq": _frequency("member_id", "delinq", 3),
+    "member_freq_detail": _frequency("member_id", "detail", 3),
+    "member_inspect_customers": _sql(
+        "select member_id, total_high_credit_limit from customers where member_id like 'e4%'", 3
+    ),
+    "member_inspect_delinq": _sql("select * from delinq where member_id like 'e4%'", 3),
+    "member_inspect_detail": _sql("select * from detail where member_id like 'e4%'", 3),
+    "bad_member_lists": _BAD_LISTS,
 }

@@ -22,6 +22,7 @@ MEMBER_TABLES = (
     "loans_defaulters_detail_rec_enq",
 )
 QUARANTINED_TABLES = (*MEMBER_TABLES, "loans")
+FINAL_LIST = "bad_customer_data_final"
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,23 @@ def clean_tables(
     )
 
 
+def store_bad_members(tables: CleanTables, folder: str) -> DataFrame:
+    """Store who is repeated in which member table, and the lists made of it:
+    one for each table and the final one, as Parquet and as CSV."""
+    named = tables.by_name()
+    repeated = _stored(
+        quarantine.repeated_in(**{name: named[name] for name in MEMBER_TABLES}),
+        f"{folder}/repeated_members",
+    )
+    lists = {f"bad_{name}": repeated.filter(name) for name in MEMBER_TABLES}
+    lists[FINAL_LIST] = repeated
+    for name, members in lists.items():
+        members = members.select("member_id")
+        writers.write_parquet(members, f"{folder}/{name}")
+        writers.write_csv(members, f"{folder}/{name}_csv")
+    return readers.read_parquet(repeated.sparkSession, f"{folder}/{FINAL_LIST}")
+
+
 def clean_all_data(
     split: dict[str, DataFrame],
     folder: str,
@@ -70,11 +88,16 @@ def clean_all_data(
 ) -> CleanTables:
     """Clean the splits and store them as Parquet, and as CSV if asked to.
 
-    CSV files are written from the stored Parquet, not computed a second time.
+    Tables with a borrower get ``is_quarantined`` as they are written, so the
+    quarantine is a filter and not a second copy. CSV files are written from
+    the stored Parquet, not computed a second time.
     """
-    lazy = clean_tables(split, at, state_mode)
+    named = clean_tables(split, at, state_mode).by_name()
+    bad = store_bad_members(CleanTables(**named), f"{folder}/bad_members")
+    for name in QUARANTINED_TABLES:
+        named[name] = quarantine.flag_members(named[name], bad)
     stored = CleanTables(
-        *[_stored(df, f"{folder}/{name}_parquet") for name, df in lazy.by_name().items()]
+        **{name: _stored(df, f"{folder}/{name}_parquet") for name, df in named.items()}
     )
     _stored(
         cleaning.credit_issue_members(cleaning.clean_defaulters(split["defaulters"])),
@@ -86,45 +109,29 @@ def clean_all_data(
     return stored
 
 
-def quarantine_all(tables: CleanTables, folder: str) -> tuple[DataFrame, CleanTables]:
-    """Store the quarantine list and the tables without its borrowers.
+def without_quarantined(tables: CleanTables) -> CleanTables:
+    """The cleaned tables without the borrowers that are quarantined.
 
     Loans are filtered too: whatever joins them later is then free of the
     borrowers that have very many.
     """
     named = tables.by_name()
-    bad = _stored(
-        quarantine.quarantine_list(*[named[m] for m in MEMBER_TABLES]),
-        f"{folder}/bad_customer_data_final",
-    )
     for name in QUARANTINED_TABLES:
-        named[name] = _stored(
-            quarantine.exclude_members(named[name], bad), f"{folder}/{name}_new"
-        )
-    return bad, CleanTables(**named)
+        named[name] = named[name].filter("not is_quarantined").drop("is_quarantined")
+    return CleanTables(**named)
 
 
-def load_kept(spark: SparkSession, folder: str) -> CleanTables:
-    """The tables without quarantined borrowers that ``run`` stored."""
-    paths = {
-        f.name: f"{folder}/cleaned_new/{f.name}_new"
-        if f.name in QUARANTINED_TABLES
-        else f"{folder}/cleaned/{f.name}_parquet"
-        for f in fields(CleanTables)
-    }
+def load_clean(spark: SparkSession, folder: str) -> CleanTables:
+    """The cleaned tables that ``run`` stored."""
+    names = [f.name for f in fields(CleanTables)]
     return CleanTables(
-        **{name: readers.read_parquet(spark, path) for name, path in paths.items()}
+        **{n: readers.read_parquet(spark, f"{folder}/cleaned/{n}_parquet") for n in names}
     )
 
 
-def publish(
-    database: str,
-    tables: CleanTables,
-    folder: str,
-    kept: CleanTables,
-    kept_folder: str,
-) -> None:
-    """External tables over what ``clean_all_data`` and ``quarantine_all`` wrote."""
+def publish(database: str, tables: CleanTables, folder: str) -> None:
+    """External tables over what ``clean_all_data`` wrote, and the same without
+    quarantined borrowers as views, named ``_new``."""
     spark = tables.customers.sparkSession
     for name, table in tables.by_name().items():
         catalog.create_external_table(
@@ -135,12 +142,13 @@ def publish(
             catalog.column_ddl(table),
         )
     for name in QUARANTINED_TABLES:
-        catalog.create_external_table(
+        columns = [c for c in tables.by_name()[name].columns if c != "is_quarantined"]
+        catalog.create_view(
             spark,
             database,
             f"{name}_new",
-            f"{kept_folder}/{name}_new",
-            catalog.column_ddl(kept.by_name()[name]),
+            f"SELECT {', '.join(map(catalog.quoted, columns))} "
+            f"FROM {catalog.quoted(database, name)} WHERE NOT is_quarantined",
         )
 
 
@@ -176,7 +184,7 @@ def run(
     # Stored first: all splits are then column-pruned scans of one table.
     keyed = _stored(keyed, f"{folder}/raw_keyed")
     tables = clean_all_data(ingest.split(keyed), f"{folder}/cleaned", at)
-    _, kept = quarantine_all(tables, f"{folder}/cleaned_new")
+    kept = without_quarantined(tables)
     scores = reports.full_score_rows(score_all(kept, "issue_date"), run_id, at)
     daily = f"{folder}/loan_score/daily"
     writers.write_dated(scores, daily, day)

@@ -5,11 +5,14 @@ All read the order tables through ``derived.raw_loans`` and run over all rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanmill.functions import fixed
 from loanmill.functions import scalars as s
@@ -29,11 +32,17 @@ from loanmill.streaming import scores as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+LOANS_PER_BUCKET = 1_000_000
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with writers.job(function.__name__):
+            return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,16 +53,21 @@ def _tables(spark: SparkSession, sf_dir: str) -> pipeline.CleanTables:
     return pipeline.clean_tables(ingest.split(_keyed(spark, sf_dir)))
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table with keys, stored: jobs that read it twice prune each scan."""
+    return writers.stage(_keyed(spark, sf_dir), "raw_keyed")
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four splits as scans of the stored raw table."""
-    return ingest.split(writers.stage(_keyed(spark, sf_dir), "raw_keyed"))
+    return ingest.split(_stored(spark, sf_dir))
 
 
 def _stored_tables(spark: SparkSession, sf_dir: str) -> pipeline.CleanTables:
-    """Cleaned tables without quarantined borrowers, each stored."""
-    folder = writers.work_folder(spark, "tables")
-    tables = pipeline.clean_all_data(_staged(spark, sf_dir), f"{folder}/cleaned")
-    return pipeline.quarantine_all(tables, f"{folder}/cleaned_new")[1]
+    """Cleaned tables, stored once, without quarantined borrowers."""
+    folder = writers.work_folder(spark, "cleaned")
+    tables = pipeline.clean_all_data(_staged(spark, sf_dir), folder)
+    return pipeline.without_quarantined(tables)
 
 
 def _defaulters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,6 +288,50 @@ def member_freq_customers(spark, sf_dir):
     return reports.frequencies(_tables(spark, sf_dir).customers, "member_id")
 
 
+@query
+def member_freq_delinq(spark, sf_dir):
+    table = _tables(spark, sf_dir).loans_defaulters_delinq
+    return reports.frequencies(table, "member_id")
+
+
+@query
+def member_freq_detail(spark, sf_dir):
+    table = _tables(spark, sf_dir).loans_defaulters_detail_rec_enq
+    return reports.frequencies(table, "member_id")
+
+
+@query
+def member_inspect_customers(spark, sf_dir):
+    """Cleaned customers under a key prefix, whose limits may disagree."""
+    table = ingest.members_like(_tables(spark, sf_dir).customers, "e4")
+    return table.select("member_id", "total_high_credit_limit")
+
+
+@query
+def member_inspect_delinq(spark, sf_dir):
+    return ingest.members_like(_tables(spark, sf_dir).loans_defaulters_delinq, "e4")
+
+
+@query
+def member_inspect_detail(spark, sf_dir):
+    return ingest.members_like(_tables(spark, sf_dir).loans_defaulters_detail_rec_enq, "e4")
+
+
+@query
+def bad_member_lists(spark, sf_dir):
+    """The stored lists of repeated borrowers, read back from their CSV."""
+    folder = writers.work_folder(spark, "bad_members")
+    pipeline.store_bad_members(pipeline.clean_tables(_staged(spark, sf_dir)), folder)
+    names = [*[f"bad_{n}" for n in pipeline.MEMBER_TABLES], pipeline.FINAL_LIST]
+    lists = [
+        readers.read_csv(spark, f"{folder}/{name}_csv", "member_id string").select(
+            F.lit(name).alias("list_name"), "member_id"
+        )
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, lists)
+
+
 @query
 def dup_members_customers(spark, sf_dir):
     return quarantine.duplicated_members(_tables(spark, sf_dir).customers)
@@ -312,17 +370,17 @@ def quarantine_list_of_tables(spark, sf_dir):
 
 @query
 def customers_new(spark, sf_dir):
-    return _without_time(single_pass.customers_new(_keyed(spark, sf_dir)))
+    return _without_time(single_pass.customers_new(_stored(spark, sf_dir)))
 
 
 @query
 def delinq_new(spark, sf_dir):
-    return single_pass.delinquencies_new(_keyed(spark, sf_dir))
+    return single_pass.delinquencies_new(_stored(spark, sf_dir))
 
 
 @query
 def detail_new(spark, sf_dir):
-    return single_pass.detail_new(_keyed(spark, sf_dir))
+    return single_pass.detail_new(_stored(spark, sf_dir))
 
 
 @query
@@ -335,7 +393,7 @@ def loans_not_quarantined(spark, sf_dir):
 
 @query
 def member_freq_customers_new(spark, sf_dir):
-    kept = single_pass.customers_new(_keyed(spark, sf_dir))
+    kept = single_pass.customers_new(_stored(spark, sf_dir))
     return reports.frequencies(kept, "member_id")
 
 
@@ -344,22 +402,22 @@ def member_freq_customers_new(spark, sf_dir):
 
 @query
 def payment_points(spark, sf_dir):
-    return single_pass.payment_points(_keyed(spark, sf_dir))
+    return single_pass.payment_points(_stored(spark, sf_dir))
 
 
 @query
 def default_points(spark, sf_dir):
-    return single_pass.default_points(_keyed(spark, sf_dir))
+    return single_pass.default_points(_stored(spark, sf_dir))
 
 
 @query
 def financial_points(spark, sf_dir):
-    return single_pass.financial_points(_keyed(spark, sf_dir))
+    return single_pass.financial_points(_stored(spark, sf_dir))
 
 
 @query
 def loan_score(spark, sf_dir):
-    return single_pass.scores(_keyed(spark, sf_dir))
+    return single_pass.scores(_stored(spark, sf_dir))
 
 
 @query
@@ -376,7 +434,7 @@ def loan_score_stored(spark, sf_dir):
     """The whole job in stored stages, read back from the day's partition."""
     scores = pipeline.run(
         _keyed(spark, sf_dir),
-        writers.work_folder(spark, "scores"),
+        writers.work_folder(spark, "run"),
         date(2020, 1, 1),
         "registered",
     )
@@ -387,10 +445,10 @@ def loan_score_stored(spark, sf_dir):
 def loan_score_bucketed(spark, sf_dir):
     """The same scores from managed tables in buckets of the borrower."""
     folder = writers.work_folder(spark, "bucketed")
-    database = "loanmill_" + folder.rsplit("-", 1)[-1]
-    catalog.create_database(spark, database, folder)
+    database = "loanmill_bucketed"
+    catalog.create_database(spark, database, folder, fresh=True)
     named = _stored_tables(spark, sf_dir).by_name()
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 8 + named["loans"].count() // LOANS_PER_BUCKET
     for name in pipeline.QUARANTINED_TABLES:
         catalog.save_managed(named[name], database, name, "member_id", buckets)
         named[name] = readers.read_table(spark, f"{database}.{name}")
@@ -399,19 +457,22 @@ def loan_score_bucketed(spark, sf_dir):
 
 @query
 def grade_distribution(spark, sf_dir):
-    return reports.grade_distribution(single_pass.scores(_keyed(spark, sf_dir)))
+    return reports.grade_distribution(single_pass.scores(_stored(spark, sf_dir)))
 
 
 @query
 def grade_slice(spark, sf_dir):
-    """One grade of the stored scores; the filter is pushed to their files."""
-    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir)), "loan_score")
-    return scoring.grade_slice(scores, "C")
+    """One grade of the scores that a run has stored; the filter is pushed to
+    their files."""
+    folder = writers.work_folder(spark, "run")
+    stored = pipeline.run(_keyed(spark, sf_dir), folder, date(2020, 1, 1), "registered")
+    extra = ("issue_date", "run_id", "scored_at", "score_date")
+    return scoring.grade_slice(stored, "C").drop(*extra)
 
 
 @query
 def scored_count(spark, sf_dir):
-    return reports.row_counts(loan_score=single_pass.scores(_keyed(spark, sf_dir)))
+    return reports.row_counts(loan_score=single_pass.scores(_stored(spark, sf_dir)))
 
 
 # The 20-100 rules
@@ -452,17 +513,17 @@ def hundred_payment_as_written(spark, sf_dir):
 
 @query
 def hundred_defaulters(spark, sf_dir):
-    return single_pass.hundred_defaulters(_keyed(spark, sf_dir))
+    return single_pass.hundred_defaulters(_stored(spark, sf_dir))
 
 
 @query
 def hundred_financial(spark, sf_dir):
-    return single_pass.hundred_financial(_keyed(spark, sf_dir))
+    return single_pass.hundred_financial(_stored(spark, sf_dir))
 
 
 @query
 def hundred_final(spark, sf_dir):
-    return single_pass.hundred_scores(_keyed(spark, sf_dir))
+    return single_pass.hundred_scores(_stored(spark, sf_dir))
 
 
 @query
@@ -482,7 +543,7 @@ def hundred_final_joined(spark, sf_dir):
 def hundred_saved(spark, sf_dir):
     """The six saved columns, written and read back."""
     path = writers.work_folder(spark, "hundred_scores")
-    hundred.save_loan_scores(single_pass.hundred_scores(_keyed(spark, sf_dir)), path)
+    hundred.save_loan_scores(single_pass.hundred_scores(_stored(spark, sf_dir)), path)
     return readers.read_parquet(spark, path)
 
 
@@ -538,33 +599,31 @@ def outliers(spark, sf_dir):
 
 @query
 def wide_view(spark, sf_dir):
-    return single_pass.wide_rows(_keyed(spark, sf_dir))
+    return single_pass.wide_rows(_stored(spark, sf_dir))
 
 
-def _published(spark: SparkSession, sf_dir: str) -> str:
-    """A database of external tables: the cleaned and the quarantined ones."""
+def _published(spark: SparkSession, sf_dir: str, database: str) -> None:
+    """A database of external tables, and views without quarantined borrowers."""
     folder = writers.work_folder(spark, "published")
-    database = "loanmill_" + folder.rsplit("-", 1)[-1]
     tables = pipeline.clean_all_data(_staged(spark, sf_dir), f"{folder}/cleaned")
-    _, kept = pipeline.quarantine_all(tables, f"{folder}/cleaned_new")
-    catalog.create_database(spark, database, f"{folder}/database")
-    pipeline.publish(database, tables, f"{folder}/cleaned", kept, f"{folder}/cleaned_new")
-    return database
+    catalog.create_database(spark, database, f"{folder}/database", fresh=True)
+    pipeline.publish(database, tables, f"{folder}/cleaned")
 
 
 _SERVED = (
-    "customers_new",
-    "loans_new",
+    "customers",
+    "loans",
     "loans_repayments",
-    "loans_defaulters_delinq_new",
-    "loans_defaulters_detail_rec_enq_new",
+    "loans_defaulters_delinq",
+    "loans_defaulters_detail_rec_enq",
 )
 
 
 @query
 def wide_view_catalog(spark, sf_dir):
     """The five-way join as a catalog view over external tables."""
-    database = _published(spark, sf_dir)
+    database = "loanmill_wide_view"
+    _published(spark, sf_dir, database)
     names = [catalog.quoted(database, name) for name in _SERVED]
     catalog.create_view(
         spark, database, "customers_loan_view", serving.wide_view_query(*names)
@@ -575,23 +634,42 @@ def wide_view_catalog(spark, sf_dir):
 @query
 def wide_table_catalog(spark, sf_dir):
     """The five-way join written as a managed table."""
-    database = _published(spark, sf_dir)
+    database = "loanmill_wide_table"
+    _published(spark, sf_dir, database)
     tables = [readers.read_table(spark, f"{database}.{name}") for name in _SERVED]
     wide = serving.wide_customer_loans(*tables)
     catalog.save_managed(wide, database, "customers_loan_table")
     return readers.read_table(spark, f"{database}.customers_loan_table")
 
 
+@query
+def external_tables(spark, sf_dir):
+    """Rows of the five cleaned external tables and the four views on them."""
+    database = "loanmill_external"
+    _published(spark, sf_dir, database)
+    names = [*_SERVED, *[f"{name}_new" for name in pipeline.QUARANTINED_TABLES]]
+    return reports.row_counts(
+        **{name: readers.read_table(spark, f"{database}.{name}") for name in names}
+    )
+
+
+@query
+def external_loans(spark, sf_dir):
+    """The cleaned loans, read back from their external table."""
+    _published(spark, sf_dir, "loanmill_loans")
+    return _without_time(readers.read_table(spark, "loanmill_loans.loans"))
+
+
 @query
 def monthly_scores(spark, sf_dir):
     return reports.monthly_scores(
-        single_pass.scores(_keyed(spark, sf_dir), "issue_date")
+        single_pass.scores(_stored(spark, sf_dir), "issue_date")
     )
 
 
 @query
 def score_report(spark, sf_dir):
-    scores = single_pass.scores(_keyed(spark, sf_dir), "loan_purpose", "address_state")
+    scores = single_pass.scores(_stored(spark, sf_dir), "loan_purpose", "address_state")
     cleaned = scores.withColumns(
         {
             "loan_purpose": s.purpose_bucket(F.col("loan_purpose")),
@@ -604,7 +682,7 @@ def score_report(spark, sf_dir):
 @query
 def score_report_by_grade(spark, sf_dir):
     return reports.score_report(
-        single_pass.scores(_keyed(spark, sf_dir)), "loan_final_grade"
+        single_pass.scores(_stored(spark, sf_dir)), "loan_final_grade"
     )
 
 
@@ -651,20 +729,70 @@ def parquet_roundtrip(spark, sf_dir):
 def stream_scores(spark, sf_dir):
     """Scores of a stream of repayments; equal to the batch scores."""
     folder = writers.work_folder(spark, "stream")
-    keyed = writers.stage(quarantine.single_rows(_keyed(spark, sf_dir)), "kept")
-    tables = pipeline.clean_tables(ingest.split(keyed))
-    repayments = f"{folder}/repayments"
-    writers.write_parquet(tables.loans_repayments, repayments)
-    stream = streaming.repayment_stream(
-        spark, repayments, tables.loans_repayments.schema
+    kept = _stored_tables(spark, sf_dir)
+    known = writers.stage(
+        scoring.ledger(
+            kept.loans,
+            kept.customers,
+            kept.loans_defaulters_delinq,
+            kept.loans_defaulters_detail_rec_enq,
+        ),
+        "ledger",
     )
-    scores = streaming.score_stream(
-        stream,
-        tables.loans,
-        tables.customers,
-        tables.loans_defaulters_delinq,
-        tables.loans_defaulters_detail_rec_enq,
+    repayments = f"{folder}/repayments"
+    writers.write_parquet(kept.loans_repayments, repayments)
+    # A new stream each time: the old one's results and progress go.
+    scored = f"{folder}/scores-{uuid.uuid4().hex}"
+    stream = streaming.repayment_stream(spark, repayments, kept.loans_repayments.schema)
+    job = streaming.write_stream(
+        streaming.score_stream(stream, known), scored, f"{scored}-checkpoint"
     )
-    job = streaming.write_stream(scores, f"{folder}/scores", f"{folder}/checkpoint")
     job.awaitTermination()
-    return readers.read_parquet(spark, f"{folder}/scores")
+    return readers.read_parquet(spark, scored)
+
+
+@query
+def unparsed_values(spark, sf_dir):
+    """Texts of the raw CSV that the declared types cannot hold."""
+    path = writers.work_folder(spark, "raw_csv")
+    writers.write_csv(derived.raw_loans(spark, sf_dir), path)
+    kinds = {f.name: f.dataType for f in schemas.RAW if f.dataType != T.StringType()}
+    kinds["delinq_2yrs"] = T.DoubleType()  # a number that is written as text
+    return quality.unparsed_values(readers.read_raw_text(spark, path), kinds)
+
+
+@query
+def inferred_csv(spark, sf_dir):
+    """The defaulters' CSV with inferred types: records by amount and count."""
+    path = writers.work_folder(spark, "defaulters_csv")
+    writers.write_csv(ingest.split_defaulters(_keyed(spark, sf_dir)), path)
+    inferred = readers.read_csv(spark, path)
+    return inferred.groupBy("delinq_amnt", "pub_rec").agg(F.count("*").alias("total"))
+
+
+@query
+def cleaned_csv(spark, sf_dir):
+    """The cleaned loans' CSV, read back with the table's schema."""
+    folder = writers.work_folder(spark, "cleaned")
+    tables = pipeline.clean_all_data(_staged(spark, sf_dir), folder, csv=True)
+    back = readers.read_csv(spark, f"{folder}/loans_csv", tables.loans.schema)
+    return _without_time(back)
+
+
+@query
+def temp_view(spark, sf_dir):
+    """SQL over a registered view."""
+    readers.register_views({"cleaned_loans": _tables(spark, sf_dir).loans})
+    return spark.sql(
+        "SELECT loan_status, count(*) AS total FROM cleaned_loans GROUP BY loan_status"
+    )
+
+
+@query
+def ingest_dates(spark, sf_dir):
+    """Cleaned loans of a replay: all with the given time."""
+    split = ingest.split_loans(_keyed(spark, sf_dir))
+    loans = cleaning.clean_loans(split, datetime(2020, 1, 31, 12, 30))
+    return loans.select(
+        "loan_id", F.date_format("ingest_date", "yyyy-MM-dd HH:mm:ss").alias("ingested")
+    )

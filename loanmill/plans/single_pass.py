@@ -1,11 +1,13 @@
 """Quarantined tables, wide rows and scores straight from the raw table.
 
 A raw row holds everything about its loan, and only borrowers with a single
-raw row are scored. So each job here is one scan, one shuffle by borrower (see
-``quarantine.single_rows``) and projections around it: points are computed
-before the shuffle, so rows are narrow when they move. The loan id is taken to
-be the raw table's primary key, which the loan checks report on; for tables
-that were stored apart use ``scoring.score_tables``, which joins.
+raw row are scored. So each job here counts the borrowers' rows, filters rows
+by what their tables would keep, turns texts into points and drops the rows of
+repeated borrowers by an anti join: rows that no score needs never move. The
+raw table is read twice, once for a single column, so give these jobs a stored
+one. The loan id is taken to be the raw table's primary key, which the loan
+checks report on; for tables that were stored apart use
+``scoring.score_tables``, which joins.
 """
 
 from __future__ import annotations
@@ -77,7 +79,7 @@ def cleaned_rows(keyed: DataFrame) -> DataFrame:
                 "pub_rec": s.whole_or_zero(F.col("pub_rec")),
                 "pub_rec_bankruptcies": s.whole_or_zero(F.col("pub_rec_bankruptcies")),
                 "inq_last_6mths": s.whole_or_zero(F.col("inq_last_6mths")),
-                "annual_income": F.col("annual_income").cast(schemas.MONEY),
+                "annual_income": F.col("annual_income").try_cast(schemas.MONEY),
             }
         )
         .withColumns(
@@ -96,17 +98,22 @@ def cleaned_rows(keyed: DataFrame) -> DataFrame:
     )
 
 
-def _kept_rows(
+def _with_flags(
     keyed: DataFrame, flags: tuple[str, ...], *columns: Column | str
 ) -> DataFrame:
-    """Columns of the rows with all flags set, of borrowers with a single raw row.
-
-    The flags are carried through the aggregation, since rows without them
-    count as rows of the borrower too.
-    """
+    """Columns of the rows with all flags set."""
     is_kept = reduce(Column.__and__, [F.col(flag) for flag in flags])
-    rows = cleaned_rows(keyed).select("member_id", is_kept.alias("is_kept"), *columns)
-    return quarantine.single_rows(rows).filter("is_kept").drop("is_kept")
+    return cleaned_rows(keyed).filter(is_kept).select("member_id", *columns)
+
+
+def _kept_rows(
+    keyed: DataFrame, flags: tuple[str, ...], *columns: Column | str
+) -> DataFrame:
+    """Columns of the rows with all flags set, of borrowers with a single raw
+    row. Rows without the flags count as rows of the borrower too."""
+    return quarantine.exclude_members(
+        _with_flags(keyed, flags, *columns), quarantine_list(keyed)
+    )
 
 
 def _named(columns: dict[str, Column]) -> list[Column]:
@@ -141,19 +148,16 @@ def financial_points(keyed: DataFrame) -> DataFrame:
 def scores(keyed: DataFrame, *keep: str) -> DataFrame:
     """Scores and grades; ``keep`` names cleaned columns to carry along.
 
-    Texts become points before the shuffle, so none but the ids move. Numbers
-    move as they are: their points are for the rows that remain.
+    Long texts become points before rows move.
     """
+    status, home, grade = scoring.text_point_columns()
+    carried = [c for c in ("grade", "sub_grade") if c not in keep]
     kept = _kept_rows(
-        keyed,
-        SCORED,
-        "loan_id",
-        *keep,
-        *scoring.NUMBERS,
-        *scoring.text_point_columns(),
+        keyed, SCORED, "loan_id", *keep, *scoring.NUMBERS, *carried, status, home
     )
     points = kept.select(
         "*",
+        grade,
         *scoring.payment_point_columns(),
         *scoring.default_point_columns(),
         *scoring.limit_point_columns(),
@@ -162,7 +166,8 @@ def scores(keyed: DataFrame, *keep: str) -> DataFrame:
 
 
 def hundred_payment(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
-    return _kept_rows(
+    """Points of all loans with repayments, quarantined borrowers' too."""
+    return _with_flags(
         keyed, PAYMENT, "loan_id", *_named(hundred.payment_columns(profile))
     )
 
@@ -194,11 +199,23 @@ def hundred_scores(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
 
 
 def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
-    """Wide customer-loan rows of the borrowers that are not quarantined."""
+    """Every loan whose borrower is a customer, once, in a wide row; and one row
+    without a loan for a customer who has none that is complete.
+
+    The records of a quarantined borrower disagree, so the columns that they
+    disagree in are NULL there; the loan's own columns are not.
+    """
     everyone = cleaning.unique_customers(ingest.split_customers(keyed))
     mean = cleaning.mean_emp_length(everyone)
-    kept = cleaned_rows(quarantine.single_rows(keyed)).filter("is_customer")
+    rows = cleaned_rows(keyed).filter("is_customer")
+    repeated = (
+        rows.groupBy("member_id")
+        .agg(F.count("*").alias("total"), F.count_if("is_loan").alias("n_loans"))
+        .filter("total > 1")
+        .select("member_id", "n_loans")
+    )
     loan, payment = F.col("is_loan"), F.col("is_loan") & F.col("is_repayment")
+    single = ~F.col("is_quarantined")
 
     def where(condition: Column, value: Column, name: str) -> Column:
         return F.when(condition, value).alias(name)
@@ -207,8 +224,8 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
         "emp_length": F.coalesce(s.digits_to_int(F.col("emp_length")), mean),
         "address_state": s.state_code(F.col("address_state"), state_mode),
         "address_country": F.lit(fixed.COUNTRY),
-        "total_high_credit_limit": F.col("total_high_credit_limit").cast(schemas.MONEY),
-        "join_annual_income": F.col("join_annual_income").cast(schemas.MONEY),
+        "total_high_credit_limit": F.col("total_high_credit_limit").try_cast(schemas.MONEY),
+        "join_annual_income": F.col("join_annual_income").try_cast(schemas.MONEY),
         "loan_term_years": s.term_years(F.col("loan_term_months")),
         "interest_rate": s.percent_to_number(F.col("interest_rate")),
         "loan_purpose": s.purpose_bucket(F.col("loan_purpose")),
@@ -220,15 +237,23 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     def value(name: str) -> Column:
         return cleaned[name] if name in cleaned else F.col(name)
 
-    return kept.select(
+    def own(name: str) -> Column:
+        return where(single, value(name), name) if name in serving.CONFLICTING else value(name).alias(name)
+
+    marked = rows.join(repeated, "member_id", "left").withColumn(
+        "is_quarantined", F.col("n_loans").isNotNull()
+    )
+    wide = (
         where(loan, F.col("loan_id"), "loan_id"),
         "member_id",
-        *[value(c).alias(c) for c in serving.CUSTOMER_COLUMNS],
+        *[own(c) for c in serving.CUSTOMER_COLUMNS],
         *[where(loan, value(c), c) for c in serving.LOAN_COLUMNS],
         *[where(payment, value(c), c) for c in serving.REPAYMENT_COLUMNS],
-        *[
-            where(F.col("is_delinquent"), value(c), c)
-            for c in serving.DELINQUENCY_COLUMNS
-        ],
-        *serving.DETAIL_COLUMNS,
+        *[where(single & F.col("is_delinquent"), value(c), c) for c in serving.DELINQUENCY_COLUMNS],
+        *[where(single, F.col(c), c) for c in serving.DETAIL_COLUMNS],
+        "is_quarantined",
     )
+    with_loans = marked.filter(single | loan).select(*wide)
+    # The rows of such a borrower agree in all that is left of them.
+    without = marked.filter("n_loans = 0").select(*wide).distinct()
+    return with_loans.unionByName(without)

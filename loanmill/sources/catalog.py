@@ -14,8 +14,11 @@ def path_text(path: str) -> str:
 
 
 def create_database(
-    spark: SparkSession, database: str, location: str | None = None
+    spark: SparkSession, database: str, location: str | None = None, fresh: bool = False
 ) -> None:
+    """Make a database; ``fresh`` drops one of that name, and its tables, first."""
+    if fresh:
+        spark.sql(f"DROP DATABASE IF EXISTS {quoted(database)} CASCADE")
     where = f" LOCATION {path_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{where}")
 
@@ -54,8 +57,12 @@ def save_managed(
     """A managed table: as old as its last write, fast to read.
 
     Tables in equally many buckets of a join's key join without a shuffle. Rows
-    are brought to their bucket before the write, so each bucket is one file.
+    are brought to their bucket before the write, so each bucket is one file:
+    for tables with few rows per key. Choose ``buckets`` by the size of the
+    table, the same for all that are to join; it is part of the layout.
     """
+    if bucket_by and buckets < 1:
+        raise ValueError("say how many buckets")
     writer = df.write
     if bucket_by:
         by_bucket = df.repartition(buckets, bucket_by)

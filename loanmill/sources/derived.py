@@ -62,10 +62,10 @@ _CUSTOMER = {
     "verification_status": "get(array('Verified', 'Source Verified', 'Not Verified'), "
     "cast(c_custkey % 3 as int))",
     "credit_limit": "cast(cast(abs(c_acctbal) as decimal(12,2)) * 100 "
-    "as decimal(14,4))",
+    "as decimal(28,4))",
     "application_type": "if(c_custkey % 10 = 0, 'Joint App', 'Individual')",
     "annual_inc_joint": "case when c_custkey % 10 = 0 and c_acctbal >= 0 then "
-    "cast(floor(cast(c_acctbal as decimal(12,2)) * 15) as decimal(14,4)) end",
+    "cast(floor(cast(c_acctbal as decimal(12,2)) * 15) as decimal(28,4)) end",
     "verification_status_joint": "if(c_custkey % 10 = 0, 'Not Verified', null)",
 }
 
@@ -87,15 +87,15 @@ _LOAN = {
     "cast(1 + (o_orderkey div 7) % 5 as string)))",
     "verification_status": "if(is_blank, null, verification_status)",
     "tot_hi_cred_lim": "cast(credit_limit + if(o_orderkey % 4 = 0, 1000, 0) "
-    "as decimal(14,4))",
+    "as decimal(28,4))",
     "application_type": "application_type",
     "annual_inc_joint": "annual_inc_joint",
     "verification_status_joint": "verification_status_joint",
-    "loan_amnt": f"if(o_orderkey % 97 = 0, null, cast({_PRICE} as decimal(14,4)))",
-    "funded_amnt": f"cast({_PRICE} as decimal(14,4))",
+    "loan_amnt": f"if(o_orderkey % 97 = 0, null, cast({_PRICE} as decimal(28,4)))",
+    "funded_amnt": f"cast({_PRICE} as decimal(28,4))",
     "term": "if(o_orderkey % 3 = 0, ' 60 months', ' 36 months')",
     "int_rate": "concat(cast(5 + o_orderkey % 20 as string), '.5%')",
-    "installment": f"cast({_INSTALLMENT} as decimal(14,4))",
+    "installment": f"cast({_INSTALLMENT} as decimal(28,4))",
     "issue_d": _MONTH,
     "loan_status": "get(array('Fully Paid', 'Current', 'In Grace Period', "
     "'Late (16-30 days)', 'Late (31-120 days)', 'Charged Off', 'Default'), "
@@ -110,13 +110,13 @@ _LOAN = {
     "total_pymnt": "cast(if(o_orderkey % 50 = 0, 0, principal + interest + late_fee) "
     "as decimal(28,4))",
     "last_pymnt_amnt": f"cast({_INSTALLMENT} * get(array(0.25, 0.75, 1.00, 1.25, "
-    "2.00), cast(o_orderkey % 5 as int)) as decimal(14,4))",
+    "2.00), cast(o_orderkey % 5 as int)) as decimal(28,4))",
     "last_pymnt_d": f"if(o_orderkey % 17 = 0, '0.0', {_MONTH})",
     "next_pymnt_d": "case when o_orderkey % 19 = 0 then '0.0' "
     f"when o_orderkey % 2 = 0 then null else {_MONTH} end",
     "delinq_2yrs": "if(o_orderkey % 41 = 0, 'n/a', "
     "concat(cast(greatest((o_orderkey div 2) % 12 - 5, 0) as string), '.0'))",
-    "delinq_amnt": "cast(o_orderkey % 4 * 100 as decimal(14,4))",
+    "delinq_amnt": "cast(o_orderkey % 4 * 100 as decimal(28,4))",
     "pub_rec": "greatest(o_orderkey % 11 - 4, 0)",
     "pub_rec_bankruptcies": "greatest((o_orderkey div 11) % 9 - 4, 0)",
     "inq_last_6mths": "greatest((o_orderkey div 13) % 10 - 3, 0)",

@@ -31,19 +31,24 @@ def read_csv(
         raise
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The wide raw CSV by column name, with the declared types.
-
-    Names, not positions: the raw file has many columns that are not used. Text
-    that does not fit the declared type becomes NULL.
-    """
-    header = spark.read.option("header", True)
+def read_raw_text(spark: SparkSession, path: str) -> DataFrame:
+    """The wide raw CSV as it is written: all columns as text."""
     try:
-        wide = header.csv(path)
+        return spark.read.option("header", True).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no data at {path}") from error
         raise
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """The wide raw CSV by column name, with the declared types.
+
+    Names, not positions: the raw file has many columns that are not used. Text
+    that does not fit the declared type becomes NULL; ``quality.unparsed_values``
+    counts such text.
+    """
+    wide = read_raw_text(spark, path)
     return wide.select(
         *[wide[f.name].try_cast(f.dataType).alias(f.name) for f in schemas.RAW]
     )

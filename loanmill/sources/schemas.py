@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(14, 4)
-# Totals over a loan's many payments need more digits than one amount does.
-TOTAL = T.DecimalType(28, 4)
+# No amount of a loan comes near this width, and totals over a loan's many
+# payments have the same: a value is never lost for its size.
+MONEY = TOTAL = T.DecimalType(28, 4)
 _TEXT = T.StringType()
 _COUNT = T.DoubleType()
 

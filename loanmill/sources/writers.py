@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,22 +36,32 @@ def write_dated(df: DataFrame, path: str, day: date, column: str = "score_date")
     )
 
 
+_JOB = ContextVar("job", default="job")
+
+
+@contextmanager
+def job(name: str) -> Iterator[None]:
+    """Work folders of what runs inside belong to this job."""
+    token = _JOB.set(name)
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors can reach.
+    """The folder of that name of the application's current job.
 
-    It lies in the folder named by ``spark.checkpoint.dir``. Only a local
-    session may go without that setting; it gets a folder of its own.
+    It lies in the folder named by ``spark.checkpoint.dir`` and, where that is
+    unset, in the warehouse: executors reach both. Names are fixed, so running a
+    job again replaces what it left, and all of an application's work is in one
+    folder that can be deleted when its results have been read.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="loanmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/loanmill/{application}/{_JOB.get()}/{name}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

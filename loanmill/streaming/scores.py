@@ -1,9 +1,10 @@
 """Scores over a stream of cleaned repayments.
 
-The stream meets the stored loan and member tables in stream-static inner
-joins. Points depend on one row only, so the query keeps no state, and a file
-sink with a checkpoint writes every row once. The member tables are a
-quarantined snapshot: who is repeated shows only over a whole table.
+The stream meets a stored ledger of the loans (``scoring.ledger``) in one
+stream-static inner join: what does not depend on payments is worked out once
+and read by every micro-batch. Points depend on one row only, so the query
+keeps no state, and a file sink with a checkpoint writes every row once. The
+ledger is a quarantined snapshot: who is repeated shows only over a whole table.
 """
 
 from __future__ import annotations
@@ -20,14 +21,9 @@ def repayment_stream(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return spark.readStream.schema(schema).parquet(path)
 
 
-def score_stream(
-    repayments: DataFrame,
-    loans: DataFrame,
-    customers: DataFrame,
-    delinquencies: DataFrame,
-    detail: DataFrame,
-) -> DataFrame:
-    return scoring.score_tables(loans, repayments, customers, delinquencies, detail)
+def score_stream(repayments: DataFrame, known: DataFrame) -> DataFrame:
+    """``known`` is a ledger that was stored."""
+    return scoring.score_payments(repayments, known)
 
 
 def write_stream(scores: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

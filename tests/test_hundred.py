@@ -19,27 +19,25 @@ def components(loans, repayments, customers, defaulters):
 
 def test_percentage(any_mode):
     df = any_mode.createDataFrame(
-        [(100.0, 200.0), (75.0, 100.0), (50.0, 200.0), (1.0, 0.0)],
-        "numerator double, denominator double",
+        [(7.0, 28.0), (3.3, 3.0), (0.0, 9.0), (4.0, 0.0), (None, 2.0)], "part double, whole double"
     )
-    got = hundred.calculate_percentage(df, "numerator", "denominator", "percentage")
-    assert [r.percentage for r in got.collect()] == [50.0, 75.0, 25.0, None]
+    got = hundred.calculate_percentage(df, "part", "whole", "share")
+    want = [25.0, pytest.approx(110.0), 0.0, None, None]
+    assert [r.share for r in got.collect()] == want
 
 
 def test_thresholds(any_mode):
-    df = any_mode.createDataFrame([(0.9,), (0.6,), (0.3,), (0.1,), (None,)], "value double")
-    thresholds = {0.8: 800, 0.6: 600, 0.4: 400, 0.2: 200}
-    got = hundred.assign_score_based_on_threshold(df, "value", thresholds, "score")
-    assert [r.score for r in got.collect()] == [800, 600, 200, 0, 0]
+    values = [12.0, 11.99, 5.0, 4.0, -3.0, None]
+    df = any_mode.createDataFrame([(v,) for v in values], "level double")
+    steps = {5.0: 30, 12.0: 70}
+    got = hundred.assign_score_based_on_threshold(df, "level", steps, "pts")
+    assert [r.pts for r in got.collect()] == [70, 30, 30, 0, 0, 0]
 
 
 def test_string_map(spark):
-    homes = ["RENT", "MORTGAGE", "OWN", "OTHER"]
-    df = spark.createDataFrame([(h,) for h in [*homes, "X", None]], "home string")
-    same = hundred.clean_string_column(df, "home", {h: h for h in homes})
-    assert [r.home for r in same.collect()] == [*homes, "X", None]
-    changed = hundred.clean_string_column(df, "home", {"X": "OTHER"})
-    assert [r.home for r in changed.collect()] == [*homes, "OTHER", None]
+    df = spark.createDataFrame([("flat",), ("Flat",), ("boat",), (None,)], "home string")
+    changed = hundred.clean_string_column(df, "home", {"flat": "house", "boat": "boat"})
+    assert [r.home for r in changed.collect()] == ["house", "Flat", "boat", None]
 
 
 def test_schema_check(spark):
@@ -52,10 +50,9 @@ def test_schema_check(spark):
 
 
 def test_payment(components):
-    rows = by_member(components[0])
-    assert (rows["M1"].last_payment_pts, rows["M1"].total_payment_pts) == (100, 100)
-    assert (rows["M2"].last_payment_pts, rows["M2"].total_payment_pts) == (100, 60)
-    assert (rows["M3"].last_payment_pts, rows["M3"].total_payment_pts) == (0, 0)
+    got = {m: (r.last_payment_pts, r.total_payment_pts) for m, r in by_member(components[0]).items()}
+    # 80 and 100 %; 60 and 60 %; 20 and 60 %; no installment, nothing paid.
+    assert got == {"kim": (80, 100), "lee": (60, 60), "max": (20, 60), "noa": (0, 0)}
 
 
 def test_payment_as_written(loans, repayments):
@@ -67,9 +64,10 @@ def test_payment_as_written(loans, repayments):
 
 def test_defaulters(components, defaulters):
     want = {
-        "M1": (100, 100, 100, 100),
-        "M2": (60, 60, 100, 60),
-        "M3": (40, 40, 60, 40),
+        "kim": (20, 100, 60, 20),
+        "lee": (100, 40, 100, 40),
+        "max": (60, 60, 20, 100),
+        "noa": (0, 100, 0, 60),
     }
     assert {m: tuple(r)[1:] for m, r in by_member(components[1]).items()} == want
     apart = hundred.calculate_defaulters_history_score(
@@ -94,15 +92,16 @@ def test_financial(components):
         for m, r in rows.items()
     }
     assert got == {
-        "M1": (100, 100, 100, 20),
-        "M2": (80, 60, 80, 20),
-        "M3": (40, 40, 60, 100),
+        "kim": (100, 40, 100, 100),
+        "lee": (20, 20, 40, 40),
+        "max": (40, 100, 80, 80),
+        "noa": (20, 20, 20, 0),
     }
 
 
 def test_final(components):
     rows = hundred.calculate_final_loan_score(*components).collect()
-    assert len(rows) == 3
+    assert len(rows) == 4
     w = fixed.HUNDRED_WEIGHTS
     for r in rows:
         assert r.payment_history_score == (
@@ -138,9 +137,9 @@ def test_missing_points_grade_f(components):
 def test_several_loans_stay_apart(spark, repayments, customers, defaulters, loans):
     """A borrower with two loans gets two rows, not four."""
     more = spark.createDataFrame(
-        [("L4", "M1", "Current", "B", 100.0, 10.0)], loans.schema
+        [("e2", "kim", "Current", "B", 100.0, 10.0)], loans.schema
     ).unionByName(loans)
-    paid = spark.createDataFrame([("L4", 10.0, 100.0)], repayments.schema).unionByName(
+    paid = spark.createDataFrame([("e2", 10.0, 100.0)], repayments.schema).unionByName(
         repayments
     )
     got = hundred.calculate_final_loan_score(
@@ -148,7 +147,7 @@ def test_several_loans_stay_apart(spark, repayments, customers, defaulters, loan
         hundred.calculate_defaulters_history_score(defaulters),
         hundred.calculate_financial_health_score(more, customers),
     )
-    assert sorted(r.loan_id for r in got.collect()) == ["L1", "L2", "L3", "L4"]
+    assert sorted(r.loan_id for r in got.collect()) == ["a7", "b1", "c9", "d4", "e2"]
 
 
 def test_save(spark, components, tmp_path):

@@ -19,12 +19,16 @@ def keyed(spark, sf_dir):
     )
 
 
+def spark_table(tables, path):
+    return tables.customers.sparkSession.read.parquet(path)
+
+
 @pytest.fixture(scope="module")
 def stored(keyed, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("pipeline"))
     tables = pipeline.clean_all_data(ingest.split(keyed), folder, AT, csv=True)
-    bad, kept = pipeline.quarantine_all(tables, f"{folder}/new")
-    return folder, tables, bad, kept
+    bad = spark_table(tables, f"{folder}/bad_members/{pipeline.FINAL_LIST}")
+    return folder, tables, bad, pipeline.without_quarantined(tables)
 
 
 def rows(df):
@@ -67,10 +71,10 @@ def test_single_pass_equals_stored_tables(keyed, stored):
     ):
         assert rows(fused) == rows(pipeline.component(kept, name))
     assert rows(single_pass.scores(keyed)) == rows(pipeline.score_all(kept))
-    wide = serving.wide_customer_loans(*kept.by_name().values())
+    wide = serving.wide_customer_loans(*stored[1].by_name().values())
     assert rows(single_pass.wide_rows(keyed)) == rows(wide)
     assert single_pass.wide_rows(keyed).columns == wide.columns
-    assert len(wide.columns) == 35
+    assert len(wide.columns) == 36
 
 
 def test_unknown_component(stored):
@@ -108,23 +112,53 @@ def test_split_to_csv(spark, keyed, tmp_path):
         assert len(list((tmp_path / f"{name}_data").glob("*.csv"))) == 1
 
 
-def test_wide_rows_multiply_without_quarantine(spark):
-    """Unquarantined tables give every combination of a borrower's rows."""
+def test_wide_rows_hold_every_loan_once(spark):
+    """Rows of a quarantined borrower do not multiply and do not go."""
 
     def table(columns, *records):
-        filled = [f"cast(null as string) as {c}" for c in columns]
-        ids = spark.createDataFrame(list(records), "member_id string, loan_id string")
-        return ids.selectExpr("member_id", "loan_id", *filled)
-
-    customers = table(serving.CUSTOMER_COLUMNS, ("M", ""), ("M", ""), ("N", "")).drop("loan_id")
-    loans = table(serving.LOAN_COLUMNS, ("M", "L1"), ("M", "L2"))
-    repayments = table(serving.REPAYMENT_COLUMNS, ("", "L1")).drop("member_id")
-    delinq = table(serving.DELINQUENCY_COLUMNS, ("M", "")).drop("loan_id")
-    detail = table(serving.DETAIL_COLUMNS, ("M", ""), ("M", "")).drop("loan_id")
+        filled = [f"cast('{c}' as string) as {c}" for c in columns]
+        ids = spark.createDataFrame(
+            list(records), "member_id string, loan_id string, is_quarantined boolean"
+        )
+        return ids.selectExpr("member_id", "loan_id", "is_quarantined", *filled)
+
+    bad, good = ("Q", "", True), ("S", "", False)
+    customers = table(serving.CUSTOMER_COLUMNS, bad, bad, good, ("T", "", False)).drop("loan_id")
+    loans = table(serving.LOAN_COLUMNS, ("Q", "L1", True), ("Q", "L2", True), ("S", "L3", False))
+    repayments = table(serving.REPAYMENT_COLUMNS, ("", "L1", False)).drop("member_id", "is_quarantined")
+    delinq = table(serving.DELINQUENCY_COLUMNS, bad, bad, good).drop("loan_id")
+    detail = table(serving.DETAIL_COLUMNS, bad, bad, good).drop("loan_id")
     wide = serving.wide_customer_loans(customers, loans, repayments, delinq, detail)
-    # M: 2 customers x 2 loans x 1 x 2 detail rows; N once, without a loan.
-    assert wide.count() == 9
-    assert wide.filter("loan_id is null").count() == 1
+    got = {(r.member_id, r.loan_id): r for r in wide.collect()}
+    assert wide.count() == 4
+    assert set(got) == {("Q", "L1"), ("Q", "L2"), ("S", "L3"), ("T", None)}
+    first = got["Q", "L1"]
+    assert first.loan_amount and first.last_payment_date and first.is_quarantined
+    assert first.total_high_credit_limit is first.pub_rec is first.delinq_2yrs is None
+    assert got["S", "L3"].pub_rec and got["S", "L3"].total_high_credit_limit
+
+
+def test_money_of_any_size_is_kept(any_mode):
+    """No value is too large for its column."""
+    from loanmill.operators import cleaning
+    from loanmill.sources import schemas
+
+    spark, huge = any_mode, "20000000000.5"
+    texts = {f.name: "x" for f in schemas.RAW}
+    money = [f.name for f in schemas.RAW if f.dataType == schemas.MONEY]
+    texts |= {name: huge for name in [*money, "annual_inc"]}
+    texts |= {"term": "36 months", "issue_d": "Jan-2020", "delinq_2yrs": "1"}
+    raw = spark.createDataFrame([texts]).select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.RAW]
+    )
+    split = ingest.split(ingest.with_member_id(raw))
+    customer = cleaning.named_customers(split["customers"]).first()
+    assert float(customer.annual_income) == float(customer.total_high_credit_limit) == 20000000000.5
+    assert float(cleaning.clean_loans(split["loans"]).first().funded_amount) == 20000000000.5
+    paid = cleaning.clean_repayments(split["repayments"]).first()
+    assert float(paid.total_payment_received) == 20000000000.5
+    flags = single_pass.cleaned_rows(ingest.with_member_id(raw)).first()
+    assert flags.is_customer and flags.is_loan and flags.is_repayment
 
 
 def test_several_loans_score_apart(spark, stored):
@@ -166,17 +200,23 @@ def test_stream_in_two_steps(spark, stored, tmp_path):
     kept = stored[3]
     folder = str(tmp_path / "repayments")
     halves = kept.loans_repayments.randomSplit([0.5, 0.5], seed=7)
-    out, checkpoint = str(tmp_path / "scores"), str(tmp_path / "checkpoint")
-    for half in halves:
-        half.write.mode("append").parquet(folder)
-        stream = streaming.repayment_stream(spark, folder, half.schema)
-        scored = streaming.score_stream(
-            stream,
+    known = writers.stage(
+        scoring.ledger(
             kept.loans,
             kept.customers,
             kept.loans_defaulters_delinq,
             kept.loans_defaulters_detail_rec_enq,
-        )
+        ),
+        "test_ledger",
+    )
+    plan = streaming.score_stream(kept.loans_repayments, known)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join Inner") == 1 and "Aggregate" not in text
+    out, checkpoint = str(tmp_path / "scores"), str(tmp_path / "checkpoint")
+    for half in halves:
+        half.write.mode("append").parquet(folder)
+        stream = streaming.repayment_stream(spark, folder, half.schema)
+        scored = streaming.score_stream(stream, known)
         assert scored.isStreaming
         streaming.write_stream(scored, out, checkpoint).awaitTermination()
     assert rows(spark.read.parquet(out)) == rows(pipeline.score_all(kept))

@@ -37,7 +37,7 @@ def test_csv_declared_binds_by_position(any_mode, tmp_path):
     """Other header names do not matter; malformed values become NULL."""
     (tmp_path / "a.csv").write_text("loan_id,loan_amnt\nL1,5.25\nL2,bad\nL3,\n")
     declared = readers.read_csv(
-        any_mode, str(tmp_path / "a.csv"), "loan_id string, loan_amount decimal(14,4)"
+        any_mode, str(tmp_path / "a.csv"), "loan_id string, loan_amount decimal(28,4)"
     )
     assert [tuple(r) for r in declared.collect()] == [
         ("L1", D("5.2500")),
@@ -99,7 +99,7 @@ def test_views(spark):
 
 
 def test_catalog(spark, tmp_path):
-    df = spark.createDataFrame([("L1", D("1.5"))], "loan_id string, amount decimal(14,4)")
+    df = spark.createDataFrame([("L1", D("1.5"))], "loan_id string, amount decimal(28,4)")
     writers.write_parquet(df, str(tmp_path / "it's loans"))
     catalog.create_database(spark, "test_db", str(tmp_path / "db"))
     catalog.create_database(spark, "test_db")
@@ -119,8 +119,16 @@ def test_catalog(spark, tmp_path):
 
 def test_work_folder_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
-    one, two = (writers.work_folder(spark, "x") for _ in range(2))
+    one = writers.work_folder(spark, "x")
+    with writers.job("other"):
+        two = writers.work_folder(spark, "x")
     assert one.startswith(shared) and two.startswith(shared) and one != two
+    assert one == writers.work_folder(spark, "x")
+
+
+def test_bucketed_tables_need_a_number(spark):
+    with pytest.raises(ValueError):
+        catalog.save_managed(spark.range(1), "default", "t", "id")
 
 
 def test_derived_raw_has_the_raw_columns(spark, sf_dir):
