@@ -26,7 +26,7 @@ from loanmill.llm.common import mix, ragged
 
 SCHEMA = "bucket int, docs binary, sizes binary, gaps binary, far binary, keys binary"
 #: Records that a task gathers before it sends them on.
-CHUNK = 1_500_000
+CHUNK = 800_000
 
 
 def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:

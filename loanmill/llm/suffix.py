@@ -45,7 +45,9 @@ from loanmill.llm.common import (
 )
 
 GRAM = 24
-BUCKET_BYTES, SHARD_BYTES = 32 << 20, 4 << 20
+BUCKET_BYTES, SHARD_BYTES = 16 << 20, 4 << 20
+#: Bytes of text whose anchors are found at once.
+BLOCK = 256 << 10
 LANE = 512
 #: Pieces of one anchor that a shard sends to be merged.
 MANY_PIECES = 8
@@ -300,7 +302,7 @@ def candidates(documents: DataFrame, length: int, n_bytes: int) -> DataFrame:
 
     def probes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for lo, _, data, offs in text_blocks(batch):
+        for lo, _, data, offs in text_blocks(batch, size=BLOCK):
             _, anchor, hashes = anchors(data, offs, length)
             places = np.unique(anchor)
             text = np.searchsorted(offs, places, "right") - 1
@@ -309,7 +311,7 @@ def candidates(documents: DataFrame, length: int, n_bytes: int) -> DataFrame:
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[bytes]] = [[b""] * batch.num_rows for _ in range(3)]
-            for lo, hi, data, offs in text_blocks(batch):
+            for lo, hi, data, offs in text_blocks(batch, size=BLOCK):
                 starts, anchor, _ = anchors(data, offs, length)
                 hit = np.zeros(len(data) + 1, bool)
                 for row in range(lo, hi):
@@ -370,7 +372,7 @@ def repeated_strings(documents: DataFrame, length: int) -> DataFrame:
 
     def strings(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for lo, hi, data, offs in text_blocks(batch):
+        for lo, hi, data, offs in text_blocks(batch, size=BLOCK):
             places = [exchange.places(batch, row) for row in range(lo, hi)]
             text = np.repeat(np.arange(hi - lo), [len(x) for x in places])
             position = np.concatenate(places)
