@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loanmill.llm import anchors, bpe, decontam, katz, langid, neardup, quality, secrets, suffix, topk
 from loanmill.llm.common import fold, table
+from loanmill.llm.oracles import ORACLES
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +86,5 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
