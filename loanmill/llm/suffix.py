@@ -166,21 +166,30 @@ def suffix_ranks(key: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
 
 
 def common_prefixes(
-    data: np.ndarray, key: np.ndarray, before: np.ndarray, length: int
+    data: np.ndarray, key: np.ndarray, before: np.ndarray, place: np.ndarray, length: int
 ) -> np.ndarray:
     """Bytes, up to ``length``, that each suffix shares with the one before it
-    in order (``before``; -1: none). Lanes of places run side by side, each in
-    text order, where a prefix is at most one shorter than the last."""
+    in order (``before``; -1: none). ``place`` is a suffix's place in the order,
+    -1 for what is none, with one more at the end.
+
+    Lanes of places run side by side, each in text order. Where the suffix after
+    the last one's neighbour also stands before this one, the prefix is at most
+    one shorter than the last; at the ends of regions, and among strings that
+    are equal as far as they are sorted, it may not, and counting starts anew.
+    """
     n = len(before)
     out = np.zeros(n, np.int64)
     lanes = np.arange(0, n, LANE)
-    h = np.zeros(len(lanes), np.int64)
+    h, last = np.zeros(len(lanes), np.int64), np.full(len(lanes), -1, np.int64)
     for step in range(min(LANE, n)):
         p = lanes + step
         if p[-1] >= n:
-            p, lanes, h = p[:-1], lanes[:-1], h[:-1]
+            p, lanes, h, last = p[:-1], lanes[:-1], h[:-1], last[:-1]
         q = before[p]
-        h = np.where(q >= 0, np.maximum(h - 1, 0), 0)
+        ahead = np.where(last >= 0, place[last + 1], -1)
+        carry = (q >= 0) & (ahead >= 0) & (ahead < place[p])
+        h = np.where(carry, np.maximum(h - 1, 0), 0)
+        last = q
         go = np.flatnonzero((q >= 0) & (h + 8 <= length))
         while len(go):
             go = go[key[p[go] + h[go]] == key[q[go] + h[go]]]
@@ -207,7 +216,9 @@ def shard_classes(
     suffixes = places[np.argsort(rank[places], kind="stable")]
     before = np.full(len(data), -1, np.int64)
     before[suffixes[1:]] = suffixes[:-1]
-    prefixes = common_prefixes(data, key, before, length)
+    place = np.full(len(data) + 1, -1, np.int64)
+    place[suffixes] = np.arange(len(suffixes))
+    prefixes = common_prefixes(data, key, before, place, length)
     return suffixes, np.flatnonzero(prefixes[suffixes] < length)
 
 

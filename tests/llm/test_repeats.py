@@ -120,6 +120,29 @@ def test_suffix_classes():
     assert firsts.tolist() == starts
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_classes_of_texts_with_many_repeats(seed):
+    """Regions that are pieces of each other, with edits: neighbours in order
+    that are equal, that end, or that part just beyond the length."""
+    rng = np.random.default_rng(seed)
+    source = rng.integers(97, 97 + int(rng.integers(2, 6)), 300).astype(np.uint8)
+    parts = []
+    for _ in range(int(rng.integers(5, 40))):
+        at = int(rng.integers(0, 240))
+        part = source[at : at + int(rng.integers(30, 60))].copy()
+        if rng.random() < 0.6:
+            part[rng.integers(0, len(part))] = 97
+        parts.append(part)
+    data = np.concatenate(parts)
+    bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    suffixes, firsts = suffix.shard_classes(data, bounds, 30)
+    raw = data.tobytes()
+    strings = [raw[s : s + 30] for s in suffixes]
+    assert strings == sorted(strings)
+    assert len(strings) == sum(len(p) - 29 for p in parts)
+    assert firsts.tolist() == [i for i in range(len(strings)) if i == 0 or strings[i] != strings[i - 1]]
+
+
 @pytest.mark.parametrize("kind", ["u4", "u8"])
 def test_packed_records(kind):
     rng = np.random.default_rng(1)
