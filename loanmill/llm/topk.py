@@ -163,17 +163,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                dim = max(batch.column("file_dim")[row].as_py(), 1)
-
                 def read(name: str, dtype: str, at: int = row) -> np.ndarray:
                     return np.frombuffer(batch.column(name)[at].as_py(), dtype)
 
+                asked, ids = read("asked_ids", "<i8"), read("file_ids", "<i8")
                 found = block_best(
-                    read("asked_ids", "<i8"),
-                    read("asked_exact", "<f8").reshape(-1, dim),
-                    read("file_ids", "<i8"),
-                    read("file_cells", "u1").reshape(-1, dim),
-                    read("file_exact", "<f8").reshape(-1, dim),
+                    asked,
+                    read("asked_exact", "<f8").reshape(len(asked), -1),
+                    ids,
+                    read("file_cells", "u1").reshape(len(ids), -1),
+                    read("file_exact", "<f8").reshape(len(ids), -1),
                     low,
                     width,
                     k,
