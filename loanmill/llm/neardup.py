@@ -9,9 +9,9 @@ chance of ``MISSED`` at most.
 Documents with the same shingles are one class from the start. Within a bucket
 of a band only star-shaped pairs are made: every class with one center. Pairs
 are confirmed on their full sets, and buckets whose classes are then all in one
-component are done. The others try a second center, the class with the most
-links, and what is still apart after that is paired between components. So
-copies cost one pair each, and no link between different texts that share a
+component are done. The others get some more stars, around classes picked by
+hash, and what is still apart after that is paired between components. So
+copies cost a few pairs each, and no link between different texts that share a
 bucket is lost.
 
 Components are found by large-star and small-star rounds over tables. Nothing
@@ -43,6 +43,8 @@ from loanmill.llm.common import (
 )
 
 BAND = 4
+#: Centers that a bucket gets whose first star has left it apart.
+STARS = 8
 MISSED = 1e-5
 
 
@@ -166,6 +168,14 @@ def _linked(common: Column, n_a: Column, n_b: Column, like: Likeness) -> Column:
     return 100 * common >= like.percent * (n_a + n_b - common)
 
 
+def _similar(n_a: str, n_b: str, like: Likeness) -> Column:
+    """Whether the sizes and the signatures bins_a and bins_b allow a link."""
+    equal = F.zip_with("bins_a", "bins_b", lambda x, y: (x == y).cast("int"))
+    agreement = F.aggregate(equal, F.lit(0), lambda total, x: total + x)
+    smaller = F.least(F.col(n_a), F.col(n_b))
+    return _linked(smaller, F.col(n_a), F.col(n_b), like) & (agreement >= like.least_agreement)
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, like: Likeness) -> DataFrame:
     """Those of the pairs (a, b) that are links, by size, signature and sets."""
     side = {
@@ -174,13 +184,10 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, like:
         )
         for x in "ab"
     }
-    equal = F.zip_with("bins_a", "bins_b", lambda x, y: (x == y).cast("int"))
-    agreement = F.aggregate(equal, F.lit(0), lambda total, x: total + x)
     near = staged(
         pairs.join(side["a"], "a")
         .join(side["b"], "b")
-        .filter(_linked(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"), like))
-        .filter(agreement >= like.least_agreement)
+        .filter(_similar("n_a", "n_b", like))
         .select("a", "b", "n_a", "n_b"),
         "near",
     )
@@ -247,6 +254,19 @@ def _open_buckets(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(ends.filter("low <> high").select("band"), "band")
 
 
+def _any_centers(open_: DataFrame) -> DataFrame:
+    """STARS classes of each bucket, by hashes of their ids."""
+    picks = [
+        F.struct(
+            F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))).alias("center"),
+            F.min_by("root", F.xxhash64("doc_id", F.lit(i))).alias("center_root"),
+        )
+        for i in range(STARS)
+    ]
+    picked = open_.groupBy("band").agg(F.array_distinct(F.array(*picks)).alias("picked"))
+    return picked.select("band", F.inline("picked"))
+
+
 def _star(open_: DataFrame, center: DataFrame) -> DataFrame:
     """Pairs of every member with its bucket's center in another component."""
     pairs = open_.join(center, "band").filter("root <> center_root")
@@ -294,23 +314,23 @@ def near_duplicates(documents: DataFrame, like: Likeness | None = None, text: st
     found = [staged(_confirmed(_star(open_, center.withColumn("center_root", F.col("center"))), classes, heads_only, like), "links")]
     roots = components(found[0])
 
-    # Second star: the class with the most links.
-    degree = found[0].select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").count()
+    # More stars in the buckets that are still apart, around any of their classes.
     open_ = staged(_open_buckets(buckets, roots), "open")
-    center = (
-        open_.join(degree, "doc_id", "left")
-        .groupBy("band")
-        .agg(F.max(F.struct(F.coalesce("count", F.lit(0)), -F.col("doc_id"), "root")).alias("hub"))
-        .select("band", (-F.col("hub")["col2"]).alias("center"), F.col("hub")["root"].alias("center_root"))
-    )
-    found.append(staged(_confirmed(_star(open_, center), classes, heads_only, like), "links"))
+    found.append(staged(_confirmed(_star(open_, _any_centers(open_)), classes, heads_only, like), "links"))
     roots = components(reduce(DataFrame.unionByName, found))
 
-    # What is still apart in a bucket is paired between components.
-    open_ = _open_buckets(open_.drop("root"), roots)
-    left = open_.select("band", F.col("doc_id").alias("a"), F.col("root").alias("root_a"))
-    right = open_.select("band", F.col("doc_id").alias("b"), F.col("root").alias("root_b"))
-    rest = left.join(right, "band").filter("a < b and root_a <> root_b").select("a", "b").distinct()
+    # What no star has joined is paired between components, by signature first.
+    signed_heads = classes.select("doc_id", "n_shingles", "bins")
+    open_ = staged(_open_buckets(open_.drop("root"), roots).join(signed_heads, "doc_id"), "open")
+    left = open_.select("band", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "root", "n_shingles", "bins")])
+    right = open_.select("band", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "root", "n_shingles", "bins")])
+    apart = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("root_a") != F.col("root_b"))
+    rest = (
+        left.join(right, ["band"])
+        .filter(apart & _similar("n_shingles_a", "n_shingles_b", like))
+        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+        .distinct()
+    )
     found.append(staged(_confirmed(rest, classes, heads_only, like), "links"))
     roots = components(reduce(DataFrame.unionByName, found))
 
