@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
+#: Rows of an Arrow batch: a task holds a few batches of whole texts at a time.
+BATCH_ROWS = "1000"
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -24,8 +26,14 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get batches of BATCH_ROWS rows from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one of the given tables."""
+    small_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
@@ -57,6 +65,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them back: a cut of the
     lineage that a lost executor does not undo."""
+    small_batches(df.sparkSession)
     path = work_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
