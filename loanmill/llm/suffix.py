@@ -258,7 +258,7 @@ def _of_shard(shard: pa.Table, length: int, n_buckets: int, many_pieces: int) ->
     first, last = first[use], last[use]
     begin, end = string[first], string[last]
     keys = np.zeros(len(first), PIECE)
-    keys["anchor"] = hashes[anchor[first]]
+    keys["anchor"] = mix(hashes[anchor[first]])
     keys["piece"] = stretch_hashes(prefix_sums(EXACT[data]), begin, end + length)
     keys["piece"] ^= mix((anchor[first] - begin).astype(np.uint64))
     keys["strings"] = end - begin + 1
@@ -317,7 +317,8 @@ def candidates(documents: DataFrame, length: int, n_bytes: int) -> DataFrame:
             _, anchor, hashes = anchors(data, offs, length)
             places = np.unique(anchor)
             text = np.searchsorted(offs, places, "right") - 1
-            yield ids[lo + text], places - offs[text], hashes[places]
+            # Anchors are smallest hashes; mixed again they spread over all buckets.
+            yield ids[lo + text], places - offs[text], mix(hashes[places])
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
