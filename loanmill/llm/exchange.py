@@ -2,8 +2,8 @@
 
 A record is a document, a position in it and a 64-bit key. Records of one
 bucket travel together as packed columns: ids of documents, records of each,
-gaps between positions (a byte, and the rare larger ones apart) and keys. That
-is 5 or 9 bytes a record instead of a row of 40, and one row per chunk of text
+gaps between positions (two bytes, and the rare larger ones apart) and keys. That
+is 6 or 10 bytes a record instead of a row of 40, and one row per chunk of text
 and bucket. Buckets are sized by the bytes of all texts, so each one holds a
 bounded number of records at any size of the input.
 
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from loanmill.llm.common import mix, ragged
 
 SCHEMA = "bucket int, docs binary, sizes binary, gaps binary, far binary, keys binary"
+#: Gaps from here on are kept apart.
+FAR = 65535
 #: Records that a task gathers before it sends them on.
 CHUNK = 800_000
 
@@ -46,8 +48,8 @@ def pack(
     new[1:] |= positions[1:] < positions[:-1]  # a repeated row
     gaps = positions.copy()
     gaps[1:] -= np.where(new[1:], 0, positions[:-1])
-    short = np.minimum(gaps, 255).astype(np.uint8)
-    is_far = gaps >= 255
+    short = np.minimum(gaps, FAR).astype("<u2")
+    is_far = gaps >= FAR
     firsts = np.flatnonzero(new)
     sizes = np.diff(np.append(firsts, len(docs))).astype(np.uint32)
     far = gaps[is_far].astype(np.uint32)
@@ -85,9 +87,9 @@ def unpack(table: pa.Table, kind: str | np.dtype) -> tuple[np.ndarray, np.ndarra
 
     sizes = column("sizes", "<u4").astype(np.int64)
     docs = np.repeat(column("docs", "<i8"), sizes)
-    short = column("gaps", "u1")
+    short = column("gaps", "<u2")
     gaps = short.astype(np.int64)
-    gaps[short == 255] = column("far", "<u4")
+    gaps[short == FAR] = column("far", "<u4")
     sums = np.cumsum(gaps)
     firsts = np.cumsum(sizes) - sizes
     positions = sums - np.repeat(sums[firsts] - gaps[firsts], sizes)

@@ -147,7 +147,7 @@ def test_classes_of_texts_with_many_repeats(seed):
 def test_packed_records(kind):
     rng = np.random.default_rng(1)
     docs = np.repeat([5, -3, 2**40], [700, 1, 300])
-    positions = np.concatenate([np.cumsum(rng.integers(1, 900, n)) for n in (700, 1, 300)])
+    positions = np.concatenate([np.cumsum(rng.integers(1, 200_000, n)) for n in (700, 1, 300)])
     keys = rng.integers(0, 2**63, len(docs), dtype=np.uint64) * np.uint64(2)
     if kind == "u4":
         keys = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
