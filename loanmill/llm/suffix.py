@@ -15,9 +15,9 @@
    first string of a class. In a bucket of anchors the pieces are sorted, and
    every record is looked up there by binary search, which tells it the
    smallest document with the same piece: all strings of a later one repeat.
-4. Where an anchor has several pieces, their strings may still be equal in
-   part. The strings of the first document of each such piece meet once more,
-   each by its own hash.
+4. Where an anchor has several pieces, or many in one shard, their strings may
+   still be equal in part. The strings of the first document of each such piece
+   meet once more, each by its own hash.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ BUCKET_BYTES, SHARD_BYTES = 16 << 20, 4 << 20
 #: Bytes of text whose anchors are found at once.
 BLOCK = 256 << 10
 LANE = 512
-#: Pieces of one anchor that a shard sends to be merged.
+#: Pieces of one anchor that a shard sends to be merged; of more, none.
 MANY_PIECES = 8
 PIECE = np.dtype([("anchor", "<u8"), ("piece", "<u8"), ("strings", "u1")])
 
@@ -263,15 +263,18 @@ def _of_shard(shard: pa.Table, length: int, n_buckets: int, many_pieces: int) ->
     keys["piece"] ^= mix((anchor[first] - begin).astype(np.uint64))
     keys["strings"] = end - begin + 1
 
-    # An anchor with many pieces in one shard needs no merging to be in doubt.
+    # Of an anchor with many pieces in one shard all strings are in doubt. One
+    # record without strings goes on and puts those of other shards in doubt,
+    # also where the many are one and the same piece of a document.
     order = np.argsort(keys["anchor"], kind="stable")
     firsts, group = exchange.groups(keys["anchor"], order)
     many = np.diff(np.append(firsts, len(order)))[group] > many_pieces
-    # Two of its pieces go on and put those of other shards in doubt.
-    stand = np.arange(len(order)) - firsts[group] < 2
-    doubtful, go = order[many & ~stand], np.sort(order[~many | stand])
+    leads = np.arange(len(order)) == firsts[group]
+    doubtful, go = order[many], np.sort(order[~many | leads])
+    sent = keys.copy()
+    sent["strings"][doubtful] = sent["piece"][doubtful] = 0
     records = exchange.pack(
-        exchange.bucket_of(keys["anchor"][go], n_buckets), doc[begin[go]], position[begin[go]], keys[go]
+        exchange.bucket_of(keys["anchor"][go], n_buckets), doc[begin[go]], position[begin[go]], sent[go]
     )
     places = ragged(begin[doubtful], keys["strings"][doubtful].astype(np.int64))
     doubt = exchange.hits(doc[places], position[places], n_buckets)
@@ -293,8 +296,10 @@ def _merge(bucket: pa.Table, n_buckets: int) -> pa.RecordBatch:
     found = np.searchsorted(merged, np.arange(len(keys)), "right") - 1
     later = docs > docs[merged[found]]
     firsts, group = exchange.groups(keys["anchor"], np.arange(len(keys)))
-    in_doubt = (np.add.reduceat(new.astype(np.int64), firsts) > 1)[group] & ~later
     strings = keys["strings"].astype(np.int64)
+    several = np.add.reduceat(new.astype(np.int64), firsts) > 1
+    several |= np.minimum.reduceat(strings, firsts) == 0
+    in_doubt = several[group] & ~later
     out = []
     for which, shift in ((later, 0), (in_doubt, n_buckets)):
         own = np.repeat(docs[which], strings[which])

@@ -101,6 +101,20 @@ def test_bytes_in_several_shards(edge_documents, edge_rows, monkeypatch):
             assert (r.n_bytes, r.n_removed, r.n_spans) == want[r.doc_id][:3]
 
 
+def test_bytes_many_times_in_a_late_document(spark, monkeypatch):
+    """A passage 20 times in a late document, once or twice in early ones."""
+    monkeypatch.setattr(suffix, "SHARD_BYTES", 500)
+    rows = []
+    for i in range(12):
+        passage = " ".join(hashlib.sha256(f"{i} {j}".encode()).hexdigest() for j in range(2))
+        rows.append((i, f"early {i} {passage} end" + (f" {i} again {passage}" if i % 3 == 0 else "")))
+        rows.append((100 + i, "".join(f"{chr(97 + j) * 60}{passage}" for j in range(20))))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    want = bytes_by_force(rows, 50)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix.digests(documents).collect()}
+    assert got == want and all(want[100 + i][1] >= 20 * 129 for i in range(12))
+
+
 def test_no_rows(no_documents):
     assert anchors.digests(no_documents).count() == 0
     assert suffix.digests(no_documents).count() == 0
