@@ -1,14 +1,11 @@
 """Passages of a benchmark in documents, found through edit distance.
 
-An item's words and the window of a document that starts at a word are embedded
-by the random walk of Chakraborty, Goldenberg and Koucky: at each step the
-current word is put out and a random bit of step and word says whether to move
-on, so texts at a small edit distance fall into step again and are at a small
-Hamming distance. Bit-sampling then takes the words at a few random steps as a
-key. Windows of each item's size start at every word; keys are compared one
-sample at a time, so nearly all windows drop out after a sample or two. Windows
-that share a whole key with an item in one of the repetitions are checked by
-their exact edit distance in words.
+An item of which at most k words may be edited is cut into k + 1 pieces of words
+in a row: whatever the edits are and wherever they fall, one piece at least has
+none and stands in the passage word by word, at most k words off its place. So
+hashes of the words in a row at every place of a document are looked up among
+the pieces of all items, and around each hit the item is aligned by exact edit
+distance in words. No passage is missed.
 
 Documents are only scanned: no shuffle and nothing but matches comes out. Items
 are read by blocks of a bounded number, one scan for each block.
@@ -16,7 +13,6 @@ are read by blocks of a bounded number, one scan for each block.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,133 +28,164 @@ from loanmill.llm.common import ids_and_texts, mix, ragged, staged, text_blocks,
 BREAKS = np.ones(256, bool)
 BREAKS[48:58] = BREAKS[65:91] = BREAKS[97:123] = BREAKS[128:] = False
 
-#: Steps of the walk that keys are drawn from: one bit of a word's hash each.
-STEPS = 64
-#: First samples come from so many steps.
-FIRST = 4
+#: Words of a piece that are looked up at most, and zeros after each text.
+LONGEST = 8
+#: Bits of a piece's hash that the first look is by.
+FILTER_BITS = 20
+#: Hits that are expanded, and words of texts that are aligned, at once.
+HITS, CELLS = 1 << 18, 1 << 19
 ITEMS_PER_SCAN = 20_000
 
 
 @dataclass(frozen=True)
 class Search:
-    """``edits`` is the share of an item's words that may differ; ``agreement``
-    the share of steps on which a passage is then expected to agree with it,
-    which with ``samples`` sets the repetitions that reach ``recall``. Items of
-    fewer than ``min_words`` words are no passages."""
+    """``edits`` is the share of an item's words that may differ. Items of fewer
+    than ``min_words`` words are no passages."""
 
     edits: float = 0.2
-    samples: int = 4
-    agreement: float = 0.8
-    recall: float = 0.99
     min_words: int = 5
-    seed: int = 7
 
-    @property
-    def repetitions(self) -> int:
-        hit = self.agreement**self.samples
-        return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - hit)))
+    def __post_init__(self) -> None:
+        if not 0 <= self.edits < 1:
+            raise ValueError("edits must be a share of the words below 1")
 
 
 def padded_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of words with STEPS zeros after each text, the first word of each
+    """Hashes of words with LONGEST zeros after each text, the first word of each
     text among them, and the places of the words."""
     begins, ends, bounds = word_spans(data, offs, BREAKS)
     hashes = word_hashes(data, begins, ends)
     hashes[hashes == 0] = 1
     counts = np.diff(bounds)
-    firsts = bounds[:-1] + STEPS * np.arange(len(counts))
+    firsts = bounds[:-1] + LONGEST * np.arange(len(counts))
     places = ragged(firsts, counts)
-    out = np.zeros(len(hashes) + STEPS * len(counts), np.uint64)
+    out = np.zeros(len(hashes) + LONGEST * len(counts), np.uint64)
     out[places] = hashes
     return out, np.append(firsts, len(out)), places
 
 
-def walk_bits(words: np.ndarray, repetition: int, seed: int) -> np.ndarray:
-    return mix(words ^ mix(np.array([seed * 1000 + repetition], np.uint64)))
-
-
 def next_key(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mix(key * np.uint64(0x9E3779B97F4A7C15) + symbol)
 
 
-class ItemKeys:
-    """The keys of a block of items, by repetition and class of length."""
+def slot(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+class ItemPieces:
+    """A block of items and their pieces, by the words that are looked up."""
 
     def __init__(self, ids: list, texts: list[str], search: Search) -> None:
-        self.search = search
         raw = [x.encode() for x in texts]
         offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-        words, firsts, places = padded_words(np.frombuffer(b"".join(raw), np.uint8), offs)
-        sizes = np.diff(firsts) - STEPS
-        use = np.flatnonzero(sizes >= search.min_words)
+        self.words, firsts, _ = padded_words(np.frombuffer(b"".join(raw), np.uint8), offs)
+        sizes = np.diff(firsts) - LONGEST
+        use = np.flatnonzero(sizes >= max(search.min_words, 1))
         self.ids = [ids[i] for i in use]
-        self.words = [words[firsts[i] : firsts[i] + sizes[i]] for i in use]
-        self.sizes, starts = sizes[use], firsts[use]
-        growth = np.log(np.maximum(self.sizes, 1) / search.min_words) / math.log(1.5)
-        classes = np.floor(growth + 1e-9).astype(np.int64)
-        self.tests: list[list[tuple]] = []
-        for repetition in range(search.repetitions):
-            bits = walk_bits(words, repetition, search.seed)
-            tests = []
-            for c in np.unique(classes):
-                items = np.flatnonzero(classes == c)
-                # The same steps for a class whatever other items there are.
-                random = np.random.default_rng([search.seed, repetition, c])
-                reach = min(STEPS, 2 * math.ceil(search.min_words * 1.5 ** int(c)))
-                rest = random.permutation(np.arange(1, reach))
-                first = int(random.integers(0, min(FIRST, reach)))
-                others = [int(x) for x in rest if x > first][: search.samples - 1]
-                steps = [first, *sorted(others)]
-                at, keys, levels = starts[items].copy(), np.zeros(len(items), np.uint64), []
-                for step in range(steps[-1] + 1):
-                    if step in steps:
-                        keys = next_key(keys, words[at])
-                        levels.append(np.unique(keys))
-                    at += ((bits[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
-                filter_ = np.zeros(1 << 16, bool)
-                symbols = self._symbols(words, bits, starts[items], first)
-                filter_[(symbols & np.uint64(0xFFFF)).astype(np.int64)] = True
-                order = np.argsort(keys, kind="stable")
-                tests.append((steps, filter_, levels, keys[order], items[order]))
-            self.tests.append(tests)
-
-    @staticmethod
-    def _symbols(words: np.ndarray, bits: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
-        at = at.copy()
-        for s in range(step):
-            at += ((bits[at] >> np.uint64(s)) & np.uint64(1)).astype(np.int64)
-        return words[at]
-
-    def candidates(self, words: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Pairs of a window's place and an item that share a key, each once."""
-        found = []
-        for repetition, tests in enumerate(self.tests):
-            bits = walk_bits(words, repetition, self.search.seed)
-            at, begun = places.copy(), []
-            for step in range(max((t[0][0] for t in tests), default=-1) + 1):
-                symbols = words[at]
-                low = (symbols & np.uint64(0xFFFF)).astype(np.int64)
-                for test in tests:
-                    if test[0][0] == step:
-                        some = np.flatnonzero(test[1][low])
-                        begun.append((test, some, at[some]))
-                at += ((bits[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
-            for (steps, _, levels, keys, items), some, at in begun:
-                key, level = np.zeros(len(some), np.uint64), 0
-                for step in range(steps[0], steps[-1] + 1):
-                    if step == steps[level]:
-                        key = next_key(key, words[at])
-                        known = levels[level]
-                        near = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                        stay = known[near] == key
-                        some, at, key = some[stay], at[stay], key[stay]
-                        level += 1
-                    at = at + ((bits[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
-                a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                which = items[ragged(a, b - a)]
-                found.append(np.stack([np.repeat(places[some], b - a), which], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return np.unique(pairs, axis=0)
+        self.sizes, self.firsts = sizes[use], firsts[use]
+        self.most = (search.edits * self.sizes).astype(np.int64)
+        parts = self.most + 1
+        item = np.repeat(np.arange(len(use)), parts)
+        number = ragged(np.zeros(len(use), np.int64), parts)
+        begin = number * self.sizes[item] // parts[item]
+        length = np.minimum((number + 1) * self.sizes[item] // parts[item] - begin, LONGEST)
+        self.pieces: dict[int, tuple] = {}
+        for q in np.unique(length).tolist():
+            these = np.flatnonzero(length == q)
+            keys = np.zeros(len(these), np.uint64)
+            for step in range(q):
+                keys = next_key(keys, self.words[self.firsts[item[these]] + begin[these] + step])
+            filter_ = np.zeros(1 << FILTER_BITS, bool)
+            filter_[slot(keys)] = True
+            order = np.argsort(keys, kind="stable")
+            self.pieces[q] = (filter_, keys[order], item[these[order]], begin[these[order]])
+
+    def item(self, which: int) -> np.ndarray:
+        return self.words[self.firsts[which] : self.firsts[which] + self.sizes[which]]
+
+    def hits(self, words: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Places where a piece stands, its item, and where the item would start."""
+        key = np.zeros(len(places), np.uint64)
+        for q in range(1, max(self.pieces, default=0) + 1):
+            key = next_key(key, words[places + q - 1])
+            if q not in self.pieces:
+                continue
+            filter_, known, items, begins = self.pieces[q]
+            some = np.flatnonzero(filter_[slot(key)])
+            a = np.searchsorted(known, key[some], "left")
+            counts = np.searchsorted(known, key[some], "right") - a
+            some, a, counts = some[counts > 0], a[counts > 0], counts[counts > 0]
+            sums, lo = np.cumsum(counts), 0
+            while lo < len(some):
+                before = sums[lo] - counts[lo]
+                hi = max(lo + 1, int(np.searchsorted(sums, before + HITS, "right")))
+                which = ragged(a[lo:hi], counts[lo:hi])
+                place = np.repeat(places[some[lo:hi]], counts[lo:hi])
+                yield place, items[which], place - begins[which]
+                lo = hi
+
+    def align(
+        self, words: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Fewest edits that turn each item into words in a row between begin
+        and end, and the first place where such words start."""
+        edits, starts = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
+        order = np.argsort(self.sizes[item], kind="stable")
+        widths = np.maximum.accumulate((end - begin)[order])
+        lo = 0
+        while lo < len(order):
+            fits = widths[lo:] * np.arange(1, len(order) - lo + 1) <= CELLS
+            hi = lo + max(1, int(fits.sum()))
+            some = order[lo:hi]
+            edits[some], starts[some] = self._align(words, item[some], begin[some], end[some])
+            lo = hi
+        return edits, starts
+
+    def _align(
+        self, words: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        # Items of ascending sizes. Both are read from their ends, so that the
+        # last row holds the fewest edits by start.
+        n, width = self.sizes[item], end - begin
+        steps = np.arange(int(width.max()) + 1)
+        at = end[:, None] - 1 - steps[:-1]
+        text = np.where(steps[:-1] < width[:, None], words[np.maximum(at, 0)], np.uint64(0))
+        row = np.zeros((len(item), len(steps)), np.int64)
+        edits, starts = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
+        lo = 0
+        for i in range(int(n[-1])):
+            symbol = self.words[self.firsts[item[lo:]] + n[lo:] - 1 - i]
+            best = np.full_like(row, i + 1)
+            best[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (text != symbol[:, None]))
+            row = np.minimum.accumulate(best - steps, axis=1) + steps
+            hi = int(np.searchsorted(n, i + 1, "right"))
+            if hi > lo:
+                ends = row[: hi - lo]
+                ends = np.where(steps <= width[lo:hi, None], ends, i + 2)
+                edits[lo:hi] = ends.min(1)
+                last = steps[-1] - (ends == edits[lo:hi, None])[:, ::-1].argmax(1)
+                starts[lo:hi] = end[lo:hi] - last
+                row, text, lo = row[hi - lo :], text[hi - lo :], hi
+        return edits, starts
+
+    def passages(
+        self, words: np.ndarray, firsts: np.ndarray, places: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
+        """Texts and items with a passage, and of its place with the fewest
+        edits, of ties the first, the edits and the start."""
+        found = [np.zeros((0, 4), np.int64)]
+        for place, item, start in self.hits(words, places):
+            text = np.searchsorted(firsts, place, "right") - 1
+            text, item, start = np.unique(np.stack([text, item, start], 1), axis=0).T
+            most = self.most[item]
+            begin = np.maximum(start - most, firsts[text])
+            end = np.minimum(start + self.sizes[item] + most, firsts[text + 1] - LONGEST)
+            edits, start = self.align(words, item, begin, end)
+            found.append(np.stack([text, item, edits, start], 1)[edits <= most])
+        rows = np.unique(np.concatenate(found), axis=0)
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
+        return tuple(rows[new].T)
 
 
 def edit_distance(item: np.ndarray, window: np.ndarray, most: int) -> tuple[int, int]:
@@ -182,8 +209,7 @@ def edit_distance(item: np.ndarray, window: np.ndarray, most: int) -> tuple[int,
     return (int(row[end]), end) if row[end] <= most else (most + 1, 0)
 
 
-def _scan(documents: DataFrame, keys: ItemKeys, item_type: T.DataType) -> DataFrame:
-    search = keys.search
+def _scan(documents: DataFrame, items: ItemPieces, item_type: T.DataType) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("doc_id", T.LongType()),
@@ -200,21 +226,14 @@ def _scan(documents: DataFrame, keys: ItemKeys, item_type: T.DataType) -> DataFr
             ids = batch.column("doc_id").to_pylist()
             for lo, _, data, offs in text_blocks(batch):
                 words, firsts, places = padded_words(data, offs)
-                best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                for place, item in keys.candidates(words, places).tolist():
-                    text = int(np.searchsorted(firsts, place, "right")) - 1
-                    n = int(keys.sizes[item])
-                    most = int(search.edits * n)
-                    end = min(place + n + most, int(firsts[text + 1]) - STEPS)
-                    edits, length = edit_distance(keys.words[item], words[place:end], most)
+                rows = []
+                found = np.stack(items.passages(words, firsts, places), 1)
+                for text, item, _, place in found.tolist():
+                    n, most = int(items.sizes[item]), int(items.most[item])
+                    end = min(place + n + most, int(firsts[text + 1]) - LONGEST)
+                    edits, length = edit_distance(items.item(item), words[place:end], most)
                     start = place - int(firsts[text])
-                    if edits <= most:
-                        found = (edits, start, start + length)
-                        best[text, item] = min(best.get((text, item), found), found)
-                rows = [
-                    (ids[lo + text], keys.ids[item], start, end, int(keys.sizes[item]), edits)
-                    for (text, item), (edits, start, end) in sorted(best.items())
-                ]
+                    rows.append((ids[lo + text], items.ids[item], start, start + length, n, edits))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), names, strict=True)],
@@ -246,8 +265,8 @@ def passages(
     for block in range(blocks):
         some = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
         some = sorted(some, key=lambda r: r.item_id)
-        keys = ItemKeys([r.item_id for r in some], [r.text for r in some], search)
-        scan = _scan(documents, keys, item_type)
+        pieces = ItemPieces([r.item_id for r in some], [r.text for r in some], search)
+        scan = _scan(documents, pieces, item_type)
         found.append(scan if blocks == 1 else staged(scan, "passages"))
     out = found[0]
     for more in found[1:]:

@@ -78,6 +78,54 @@ def test_edit_distance():
                 assert edits == most + 1
 
 
+def edited(rng, words, at):
+    """The words with an edit at each of the places."""
+    out = list(words)
+    for i in sorted(at, reverse=True):
+        what = rng.random()
+        if what < 0.5:
+            out[i] = f"edit{rng.randrange(1000)}"
+        elif what < 0.75:
+            out.insert(i, f"more{rng.randrange(1000)}")
+        else:
+            del out[i]
+    return out
+
+
+def test_edits_at_every_place(spark):
+    """A fifth of the words edited: at random, at the front, at the end, evenly
+    and in each stretch of the item, against edit distance by force."""
+    rng = random.Random(3)
+    items, rows, own = [], [], {}
+    for n in (5, 9, 12, 20, 40, 80, 130):
+        item = [f"u{rng.randrange(10**6)}" for _ in range(n)]
+        items.append(item)
+        k = n // 5
+        places = [range(k), range(n - k, n), range(0, 5 * k, 5), range(4, 5 * k, 5)]
+        places += [range(s, s + k) for s in range(0, n - k, max(1, n // 8))]
+        places += [rng.sample(range(n), k) for _ in range(12)]
+        for at in places:
+            before = [f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(6))]
+            after = [f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(6))]
+            own[len(rows)] = len(items) - 1
+            rows.append((len(rows), before + edited(rng, item, at) + after))
+    documents = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    benchmark = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"
+    )
+    want = set()
+    for doc, words in rows:
+        item = items[own[doc]]
+        n, k = len(item), len(item) // 5
+        best = (k + 1, 0, 0)
+        for start in range(min(len(words), 12 + k)):
+            ends = distance_by_force(item, words[start : start + n + k])
+            best = min(best, (min(ends), start, start + ends.index(min(ends))))
+        assert best[0] <= k
+        want.add((doc, own[doc], best[1], best[2], n, best[0]))
+    assert {tuple(r) for r in decontam.passages(documents, benchmark).collect()} == want
+
+
 def test_clean_documents(planted):
     documents, benchmark, _ = planted
     found = {r.doc_id for r in decontam.passages(documents, benchmark).collect()}
