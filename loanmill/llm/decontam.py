@@ -243,6 +243,19 @@ def _scan(documents: DataFrame, items: ItemPieces, item_type: T.DataType) -> Dat
     return documents.mapInArrow(run, schema)
 
 
+def _blocks(benchmark: DataFrame, search: Search) -> tuple[int, Iterator[ItemPieces]]:
+    """The number of blocks of items, and each when it is asked for."""
+    items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
+    blocks = max(1, -(-items.count() // ITEMS_PER_SCAN))
+
+    def block(number: int) -> ItemPieces:
+        some = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).collect()
+        some = sorted(some, key=lambda r: r.item_id)
+        return ItemPieces([r.item_id for r in some], [r.text for r in some], search)
+
+    return blocks, map(block, range(blocks))
+
+
 def passages(
     documents: DataFrame, benchmark: DataFrame, search: Search | None = None, text: str = "text"
 ) -> DataFrame:
@@ -256,16 +269,11 @@ def passages(
     documents come out each, items of the same text too. Items without an id
     are left out, since no row could name them.
     """
-    search = search or Search()
     documents = ids_and_texts(documents, text)
-    items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
-    item_type = items.schema["item_id"].dataType
-    blocks = max(1, -(-items.count() // ITEMS_PER_SCAN))
+    item_type = benchmark.schema["item_id"].dataType
+    blocks, parts = _blocks(benchmark, search or Search())
     found = []
-    for block in range(blocks):
-        some = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
-        some = sorted(some, key=lambda r: r.item_id)
-        pieces = ItemPieces([r.item_id for r in some], [r.text for r in some], search)
+    for pieces in parts:
         scan = _scan(documents, pieces, item_type)
         found.append(scan if blocks == 1 else staged(scan, "passages"))
     out = found[0]
@@ -274,11 +282,24 @@ def passages(
     return out
 
 
-def clean_documents(documents: DataFrame, benchmark: DataFrame, search: Search | None = None) -> DataFrame:
-    """Documents without any passage of the benchmark, all columns as they are.
+def _without(documents: DataFrame, items: ItemPieces) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for lo, _, data, offs in text_blocks(batch):
+                keep[lo + items.passages(*padded_words(data, offs))[0]] = False
+            yield batch.filter(pa.array(keep))
 
-    A row without an id is scanned like any other, but no match can name it, so
-    it is dropped with every match that has no doc_id.
-    """
-    found = passages(documents, benchmark, search).select("doc_id").distinct()
-    return documents.join(found, documents["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    return documents.mapInArrow(run, documents.schema)
+
+
+def clean_documents(documents: DataFrame, benchmark: DataFrame, search: Search | None = None) -> DataFrame:
+    """Rows whose text holds no passage of the benchmark, all columns as they
+    are. Each row is judged by its own text, whatever its id is and whoever
+    shares it; items without an id are left out as in ``passages``."""
+    blocks, parts = _blocks(benchmark, search or Search())
+    for number, pieces in enumerate(parts, 1):
+        documents = _without(documents, pieces)
+        if number < blocks:
+            documents = staged(documents, "without-passages")
+    return documents

@@ -135,6 +135,18 @@ def test_clean_documents(planted):
     assert left == {r.doc_id for r in documents.collect()} - found
 
 
+def test_clean_rows_stay_whatever_their_id(planted, spark, monkeypatch):
+    _, benchmark, _ = planted
+    leak = benchmark.filter("item_id = 7").first().text
+    rows = [(None, f"so {leak} on", 1), (None, "clean", 2), (None, None, 3)]
+    rows += [(4, "clean too", 4), (4, leak, 5), (5, leak + " end", 6), (6, "", 7)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    for items in (20_000, 15):
+        monkeypatch.setattr(decontam, "ITEMS_PER_SCAN", items)
+        kept = decontam.clean_documents(documents, benchmark).collect()
+        assert sorted(map(tuple, kept), key=lambda r: r[2]) == [r for r in rows if r[2] in (2, 3, 4, 7)]
+
+
 def test_several_scans(planted, monkeypatch):
     documents, benchmark, _ = planted
     whole = {tuple(r) for r in decontam.passages(documents, benchmark).collect()}
