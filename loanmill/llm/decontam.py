@@ -34,7 +34,8 @@ LONGEST = 8
 FILTER_BITS = 20
 #: Hits that are expanded, and words of texts that are aligned, at once.
 HITS, CELLS = 1 << 18, 1 << 19
-ITEMS_PER_SCAN = 20_000
+#: Items of a block, and bytes of their texts.
+ITEMS_PER_SCAN, ITEM_BYTES = 20_000, 16 << 20
 
 
 @dataclass(frozen=True)
@@ -244,13 +245,15 @@ def _scan(documents: DataFrame, items: ItemPieces, item_type: T.DataType) -> Dat
 
 
 def _blocks(benchmark: DataFrame, search: Search) -> tuple[int, Iterator[ItemPieces]]:
-    """The number of blocks of items, and each when it is asked for."""
-    items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
-    blocks = max(1, -(-items.count() // ITEMS_PER_SCAN))
+    """The number of blocks of items, and each when it is asked for. Repeated
+    rows are one item; blocks go by id and text, so that no id fills one."""
+    items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null").distinct()
+    rows, n_bytes = items.select(F.count("*"), F.sum(F.octet_length("text").cast("long"))).first()
+    blocks = max(1, -(-rows // ITEMS_PER_SCAN), -(-(n_bytes or 0) // ITEM_BYTES))
 
     def block(number: int) -> ItemPieces:
-        some = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).collect()
-        some = sorted(some, key=lambda r: r.item_id)
+        some = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
+        some = sorted(some, key=lambda r: (r.item_id, r.text))
         return ItemPieces([r.item_id for r in some], [r.text for r in some], search)
 
     return blocks, map(block, range(blocks))
@@ -266,8 +269,9 @@ def passages(
 
     Words are compared without punctuation and without regard to the case of
     A-Z. NULL and empty texts and items have no words and no matches. Repeated
-    documents come out each, items of the same text too. Items without an id
-    are left out, since no row could name them.
+    documents come out each, items of the same text too, an item that is repeated
+    with its id and text once. Items without an id are left out, since no row
+    could name them.
     """
     documents = ids_and_texts(documents, text)
     item_type = benchmark.schema["item_id"].dataType

@@ -156,6 +156,20 @@ def test_several_scans(planted, monkeypatch):
     }
 
 
+def test_blocks_of_one_id(planted, spark, monkeypatch):
+    """Many texts under one id, and rows that are repeated."""
+    _, benchmark, _ = planted
+    texts = [r.text for r in benchmark.filter("item_id < 40").collect()]
+    rows = [(1, t) for t in texts] + [(2, texts[0])] * 60
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    monkeypatch.setattr(decontam, "ITEMS_PER_SCAN", 10)
+    blocks, parts = decontam._blocks(items, decontam.Search())
+    sizes = [len(p.ids) for p in parts]
+    assert blocks == 5 and sum(sizes) == 41 and max(sizes) <= 20
+    monkeypatch.setattr(decontam, "ITEM_BYTES", 1000)
+    assert decontam._blocks(items, decontam.Search())[0] > 5
+
+
 def test_given_documents(some_documents, spark):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     want = {
