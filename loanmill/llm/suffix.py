@@ -12,9 +12,9 @@
    that share ``length`` bytes are one class.
 3. Shards are merged at the anchors. Strings in a row that share an anchor are
    one piece, and a shard sends one record of each piece that holds the shard's
-   first string of a class. In a bucket of anchors the pieces are sorted, and
-   every record is looked up there by binary search, which tells it the
-   smallest document with the same piece: all strings of a later one repeat.
+   first string of a class. In a bucket of anchors the records are grouped by
+   the pieces' hashes, which tells each the smallest document with the same
+   piece: all strings of a later one repeat.
 4. Where an anchor has several pieces, or many in one shard, their strings may
    still be equal in part. The strings of the first document of each such piece
    meet once more, each by its own hash.
