@@ -101,9 +101,64 @@ select doc_id, length(h) // 2 as n_bytes, coalesce(n, 0)::bigint as n_removed, c
 from bytes join kept using (doc_id) left join counts using (doc_id)
 """
 
+
+def _lloyd(rounds: int = 4) -> str:
+    """Codebooks of 256 entries for four parts; doubles hold all numbers here
+    exactly."""
+    steps = [
+        """
+kept as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as materialized (
+  select vec_id, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] as p from kept, range(4) as t(part)
+),
+book0 as materialized (
+  select part, row_number() over (partition by part order by vec_id) - 1 as entry, p as e
+  from parts where vec_id in (select vec_id from kept order by vec_id limit 256)
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""
+code{r} as materialized (
+  select vec_id, part, any_value(p) as p, min({{'dist': list_dot_product(p, p) + list_dot_product(e, e)
+    - 2 * list_dot_product(p, e), 'entry': entry}}) as best
+  from parts join book{r} using (part) group by 1, 2
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""
+mean{r} as (
+  select part, entry, list(m order by place) as e from (
+    select part, best.entry as entry, place, floor(sum(x) / count(*)) as m
+    from (select part, best, unnest(p) as x, unnest(range(len(p))) as place from code{r}) group by 1, 2, 3)
+  group by 1, 2
+),
+book{r + 1} as materialized (
+  select part, entry, coalesce(m.e, b.e) as e from book{r} b left join mean{r} m using (part, entry)
+)"""
+            )
+    return (
+        "with"
+        + ",".join(steps)
+        + f""",
+coded as (
+  select vec_id, string_agg(printf('%02x', best.entry), '' order by part) as code, sum(best.dist)::bigint as error
+  from code{rounds} group by 1
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(array_to_string(e::bigint[], ','), ',' order by part, entry)) from book{rounds}) as codebooks_sha256
+from coded join kept using (vec_id)"""
+    )
+
+
 ORACLES: dict[str, str] = {
     "op3_topk": TOP_K,
     "op5_near_dedup": NEAR_DEDUP,
     "op8_substring_dedup": WORD_REPEATS,
     "op10_suffix_array_dedup": BYTE_REPEATS,
+    "op13_vector_codes": _lloyd(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmill.llm import anchors, bpe, decontam, katz, langid, neardup, quality, secrets, suffix, topk
+from loanmill.llm import anchors, bpe, codes, decontam, katz, langid, neardup, quality, secrets, suffix, topk
 from loanmill.llm.common import fold, table
 from loanmill.llm.oracles import ORACLES
 
@@ -74,6 +74,10 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(_documents(spark, sf_dir))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digests(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
