@@ -155,10 +155,83 @@ from coded join kept using (vec_id)"""
     )
 
 
+
+def _merkle(source_levels: int = 6, levels: int = 4) -> str:
+    """Parents of sixteen, so many levels over a source's rows and over sources
+    (a tree that has one node left stays as it is)."""
+
+    def told(value: str) -> str:
+        return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+    fields = " || ".join(told(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"""
+crcs as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, bit: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc_of
+),
+hashed as (
+  select doc_id, coalesce('=' || source, '-') as tree, sha256({fields} || {told("text")}) as leaf,
+    sha256({fields} || {told(lower)}) as other,
+    xor(list_reduce([4294967295] || list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint),
+      lambda crc, b: xor(crc >> 8, crc_of[(xor(crc, b) & 255) + 1])), 4294967295) % 5 = 0 as changed
+  from documents, crcs
+),
+placed as materialized (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos from hashed
+),
+nodes0 as (select tree, pos, leaf as node from placed),
+rows0 as (
+  select doc_id, leaf, tree, pos, '' as proof, case when changed then other else leaf end as folded from placed
+)"""
+    ]
+
+    def climb(first: int, last: int) -> None:
+        for k in range(first, last):
+            steps.append(
+                f"""
+runs{k} as materialized (
+  select tree, pos // 16 as up, list(node order by pos) as kids, any_value(n) as n
+  from (select *, count(*) over (partition by tree) as n from nodes{k}) group by 1, 2
+),
+nodes{k + 1} as (
+  select tree, up as pos, case when n > 1 then sha256(array_to_string(kids, '')) else kids[1] end as node from runs{k}
+),
+rows{k + 1} as materialized (
+  select r.* replace (pos // 16 as pos,
+    proof || array_to_string(kids[1 : pos % 16] || kids[pos % 16 + 2 :], '') as proof,
+    case when n > 1 then sha256(array_to_string(kids[1 : pos % 16] || [folded] || kids[pos % 16 + 2 :], ''))
+      else folded end as folded)
+  from rows{k} r join runs{k} u on u.tree = r.tree and u.up = r.pos // 16
+)"""
+            )
+
+    climb(0, source_levels)
+    top, over = source_levels, source_levels + 1
+    steps.append(
+        f"""
+ranked as (select tree as name, node as subroot, row_number() over (order by tree) - 1 as pos from nodes{top}),
+nodes{over} as (select '' as tree, pos, subroot as node from ranked),
+rows{over} as (
+  select doc_id, leaf, subroot, '' as tree, ranked.pos, proof, folded from rows{top} join ranked on name = tree
+)"""
+    )
+    climb(over, over + levels)
+    return (
+        "with"
+        + ",".join(steps)
+        + f"""
+select doc_id, leaf, subroot, node as root, sha256(proof) as proof_sha256, folded as folded_root, folded = node as verified
+from rows{over + levels}, nodes{over + levels}"""
+    )
+
+
 ORACLES: dict[str, str] = {
     "op3_topk": TOP_K,
     "op5_near_dedup": NEAR_DEDUP,
     "op8_substring_dedup": WORD_REPEATS,
     "op10_suffix_array_dedup": BYTE_REPEATS,
+    "op11_manifest": _merkle(),
     "op13_vector_codes": _lloyd(),
 }

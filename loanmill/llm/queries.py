@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmill.llm import anchors, bpe, codes, decontam, katz, langid, neardup, quality, secrets, suffix, topk
+from loanmill.llm import (
+    anchors,
+    bpe,
+    codes,
+    decontam,
+    katz,
+    langid,
+    manifest,
+    neardup,
+    quality,
+    secrets,
+    suffix,
+    tokenfiles,
+    topk,
+)
 from loanmill.llm.common import fold, table
 from loanmill.llm.oracles import ORACLES
 
@@ -74,6 +88,16 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(_documents(spark, sf_dir))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.digests(table(spark, sf_dir, "documents", *manifest.FIELDS))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenfiles.digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.digests(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
@@ -89,6 +113,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_manifest": op11_manifest,
+    "op12_token_files": op12_token_files,
     "op13_vector_codes": op13_vector_codes,
 }
 
