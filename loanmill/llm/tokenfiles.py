@@ -46,9 +46,9 @@ _PLAIN = f"^{_PLAIN}(\\n{_PLAIN})*$"
 #: Their pieces by the pattern of byte-level vocabularies.
 _PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
 #: Words whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 250_000, 64
 #: Bytes of texts that are encoded together.
-TOGETHER = 12 << 20
+TOGETHER = 8 << 20
 #: Parts whose tokens are added up in one group.
 PARTS_TOGETHER = 1024
 
@@ -183,8 +183,9 @@ class Encoder:
 
 
 def encode(documents: DataFrame, vocabulary: str, end_id: int | None = None) -> DataFrame:
-    """``doc_id``, ``ids``, ``n_tokens`` and ``ids_crc32`` of every row; a NULL
-    text is empty, and ``end_id`` follows each text if given."""
+    """``doc_id``, ``ids`` (packed little-endian 32-bit integers), ``n_tokens`` and
+    ``ids_crc32`` of every row; a NULL text is empty, and ``end_id`` follows each
+    text if given."""
 
     def encoded(encoder: Encoder, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
@@ -213,7 +214,7 @@ def encode(documents: DataFrame, vocabulary: str, end_id: int | None = None) ->
             yield encoded(encoder, held)
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, ids_crc32 long")
+    return texts.mapInArrow(run, "doc_id long, ids binary, n_tokens long, ids_crc32 long")
 
 
 def _ids_batch(doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
@@ -221,7 +222,11 @@ def _ids_batch(doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> pa.Reco
     return pa.RecordBatch.from_arrays(
         [
             doc_ids,
-            pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32())),
+            pa.Array.from_buffers(
+                pa.binary(),
+                len(sizes),
+                [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids, "<i4"))],
+            ),
             pa.array(sizes),
             pa.array(_crcs(ids, offsets), pa.int64()),
         ],
@@ -237,7 +242,7 @@ def _crcs(ids: np.ndarray, offsets: np.ndarray) -> list[int]:
 
 def _with_starts(rows: DataFrame) -> DataFrame:
     """``start``: tokens of the rows before in the same task, whose rows are
-    sorted and come in order."""
+    sorted and come in order; ids as lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
@@ -247,7 +252,9 @@ def _with_starts(rows: DataFrame) -> DataFrame:
             starts = pa.array(sums - sizes, pa.int64())
             before = int(sums[-1]) if len(sums) else before
             columns = {"part": batch.column("part"), "doc_id": batch.column("doc_id"), "start": starts}
-            columns |= {"n_tokens": batch.column("n_tokens"), "ids": batch.column("ids")}
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<i4")
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            columns |= {"n_tokens": batch.column("n_tokens"), "ids": pa.ListArray.from_arrays(offsets, ids)}
             yield pa.RecordBatch.from_pydict(columns)
 
     return rows.mapInArrow(run, "part int, doc_id long, start long, n_tokens long, ids array<int>")
