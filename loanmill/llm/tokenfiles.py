@@ -46,9 +46,9 @@ _PLAIN = f"^{_PLAIN}(\\n{_PLAIN})*$"
 #: Their pieces by the pattern of byte-level vocabularies.
 _PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
 #: Words whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 250_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 #: Bytes of texts that are encoded together.
-TOGETHER = 8 << 20
+TOGETHER = 12 << 20
 #: Parts whose tokens are added up in one group.
 PARTS_TOGETHER = 1024
 
@@ -183,9 +183,12 @@ class Encoder:
 
 
 def encode(documents: DataFrame, vocabulary: str, end_id: int | None = None) -> DataFrame:
-    """``doc_id``, ``ids`` (packed little-endian 32-bit integers), ``n_tokens`` and
-    ``ids_crc32`` of every row; a NULL text is empty, and ``end_id`` follows each
-    text if given."""
+    """``doc_id``, ``ids``, ``n_tokens`` and ``ids_crc32`` of every row; a NULL
+    text is empty, and ``end_id`` follows each text if given.
+
+    Ids are packed little-endian integers of 16 bits, or of 32 if the vocabulary
+    or the end id needs them; the crc32 is that of 32-bit ones.
+    """
 
     def encoded(encoder: Encoder, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
@@ -193,7 +196,8 @@ def encode(documents: DataFrame, vocabulary: str, end_id: int | None = None) ->
         if end_id is not None:
             ids = np.insert(ids, np.cumsum(sizes), end_id)
             sizes += 1
-        return _ids_batch(rows.column("doc_id"), ids, sizes)
+        small = max(encoder.library.get_vocab_size(), end_id or 0) < 1 << 16
+        return _ids_batch(rows.column("doc_id"), ids, sizes, "<u2" if small else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, held, n = Encoder(vocabulary), [], 0
@@ -217,16 +221,15 @@ def encode(documents: DataFrame, vocabulary: str, end_id: int | None = None) ->
     return texts.mapInArrow(run, "doc_id long, ids binary, n_tokens long, ids_crc32 long")
 
 
-def _ids_batch(doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+def _ids_batch(doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray, kind: str) -> pa.RecordBatch:
     offsets = np.concatenate([[0], np.cumsum(sizes)])
+    packed = ids.astype(kind)
+    places = (packed.itemsize * offsets).astype(np.int32)
+    blobs = [None, pa.py_buffer(places), pa.py_buffer(packed)]
     return pa.RecordBatch.from_arrays(
         [
             doc_ids,
-            pa.Array.from_buffers(
-                pa.binary(),
-                len(sizes),
-                [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids, "<i4"))],
-            ),
+            pa.Array.from_buffers(pa.binary(), len(sizes), blobs),
             pa.array(sizes),
             pa.array(_crcs(ids, offsets), pa.int64()),
         ],
@@ -252,7 +255,9 @@ def _with_starts(rows: DataFrame) -> DataFrame:
             starts = pa.array(sums - sizes, pa.int64())
             before = int(sums[-1]) if len(sums) else before
             columns = {"part": batch.column("part"), "doc_id": batch.column("doc_id"), "start": starts}
-            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<i4")
+            packed = b"".join(batch.column("ids").to_pylist())
+            kind = "<u2" if len(packed) == 2 * sizes.sum() else "<u4"
+            ids = np.frombuffer(packed, kind).astype(np.int32)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             columns |= {"n_tokens": batch.column("n_tokens"), "ids": pa.ListArray.from_arrays(offsets, ids)}
             yield pa.RecordBatch.from_pydict(columns)

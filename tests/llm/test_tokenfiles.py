@@ -76,15 +76,23 @@ def test_digests_of_given_documents(some_documents, library):
     assert listed(tokenfiles.digests(some_documents, VOCABULARY)) == by_force(library, rows)
 
 
-def test_no_rows(no_documents):
-    assert tokenfiles.digests(no_documents, VOCABULARY).count() == 0
-
-
 @pytest.fixture
 def folder(spark, tmp_path):
     return f"{tmp_path}/{uuid.uuid4().hex}"
 
 
+def test_wide_ids(spark, folder, library):
+    """An end id beyond 16 bits: ids are packed in 32."""
+    docs = spark.createDataFrame([(1, "one two"), (2, "")], "doc_id long, text string")
+    tokenfiles.write(docs, folder, VOCABULARY, 70_000)
+    got = {r.doc_id: list(r.ids) for r in tokenfiles.read(spark, folder).collect()}
+    assert got == {1: [*ids_of(library, "one two"), 70_000], 2: [70_000]}
+
+
+def test_no_rows(no_documents):
+    assert tokenfiles.digests(no_documents, VOCABULARY).count() == 0
+
+
 def test_many_parts_and_one_id(spark, library, folder, monkeypatch):
     """Parts are small, an id has a third of the rows, groups of parts are small."""
     monkeypatch.setattr(tokenfiles, "PARTS_TOGETHER", 3)
