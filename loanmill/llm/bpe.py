@@ -312,6 +312,45 @@ def decode(
     return encoded.select(*keep).mapInArrow(run, schema)
 
 
+def round_trip(
+    documents: DataFrame, rank_file: bytes, pattern: str, text: str = "text", out: str = "ids"
+) -> DataFrame:
+    """Replace the text by ``out``, its packed ids, ``n_tokens`` and
+    ``round_trip``: whether the ids decode to the text (NULL: to none).
+
+    One worker a task encodes and decodes, block by block, and the text goes no
+    further. Input columns named like the outputs are replaced.
+    """
+    made = (out, "n_tokens", "round_trip")
+    keep = [c for c in documents.columns if c not in (text, *made)]
+    schema = documents.select(*keep).schema.add(out, "binary").add("n_tokens", "long").add("round_trip", "boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(rank_file, pattern)
+        ids = encoder.vocabulary.ids
+        tokens = dict(zip(ids.values(), ids.keys(), strict=True)).__getitem__
+        for batch in batches:
+            for lo, hi, _, _ in text_blocks(batch, text):
+                part = batch.slice(lo, hi - lo)
+                texts = part.column(text).fill_null("").to_pylist()
+                packed = encoder.encode_all(texts)
+                same = [
+                    b"".join(map(tokens, np.frombuffer(x, "<u4").tolist())) == t.encode()
+                    for x, t in zip(packed, texts, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[part.column(c) for c in keep],
+                        pa.array(packed, pa.binary()),
+                        pa.array([len(x) // 4 for x in packed], pa.int64()),
+                        pa.array(same, pa.bool_()),
+                    ],
+                    names=[*keep, out, "n_tokens", "round_trip"],
+                )
+
+    return documents.select(*keep, text).mapInArrow(run, schema)
+
+
 def unpacked(encoded: DataFrame, ids: str = "ids", out: str = "token_ids") -> DataFrame:
     """Add packed ids as an array of integers, for small results."""
 

@@ -73,5 +73,14 @@ def test_other_columns_stay_and_clashing_ones_are_replaced(edge_documents, ranks
     assert bytes(row.decoded) == b"one" and row.lang == "en" and len(row.token_ids) == row.n_tokens
 
 
+def test_round_trip_in_one_worker(edge_documents, edge_rows, ranks, library):
+    out = bpe.round_trip(edge_documents, ranks, public_tokenizers.PATTERN)
+    assert out.columns == ["doc_id", "lang", "source", "n_chars", "hits", "ids", "n_tokens", "round_trip"]
+    got = sorted((r.doc_id or 0, bytes(r.ids), r.n_tokens, r.round_trip) for r in out.collect())
+    ids = [(i or 0, library.encode_ordinary(t or "")) for i, t in edge_rows]
+    assert got == sorted((i, np.array(x, "<u4").tobytes(), len(x), True) for i, x in ids)
+    assert bpe.round_trip(edge_documents.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+
+
 def test_no_rows(no_documents, ranks):
     assert bpe.digests(no_documents, ranks, public_tokenizers.PATTERN).count() == 0
