@@ -24,6 +24,13 @@ def arguments() -> argparse.ArgumentParser:
     run.add_argument("--folder", required=True)
     run.add_argument("--day", type=date.fromisoformat, default=date.today())
     run.add_argument("--run-id", default="manual")
+    run.add_argument(
+        "--fail-on",
+        nargs=2,
+        action="append",
+        metavar=("CHECKS", "PERCENT"),
+        help="stop if a check of this kind is over the limit: null_checks 0.5",
+    )
     split = jobs.add_parser("split", help="raw CSV to four CSV tables")
     split.add_argument("--raw", required=True)
     split.add_argument("--folder", required=True)
@@ -46,7 +53,9 @@ def main(argv: list[str] | None = None) -> None:
     if chosen.job == "split":
         pipeline.split_to_csv(keyed, chosen.folder, chosen.single_file)
     else:
-        pipeline.run(keyed, chosen.folder, chosen.day, chosen.run_id)
+        limits = chosen.fail_on and {kind: float(limit) for kind, limit in chosen.fail_on}
+        pipeline.run(keyed, chosen.folder, chosen.day, chosen.run_id, fail_on=limits)
+        pipeline.add_monthly(spark, chosen.folder, chosen.day)
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ score NULL, which reports count as unscored.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -18,6 +19,18 @@ from loanmill.functions.scalars import first_match
 POINTS = fixed.RatedPoints()
 CUTOFFS = fixed.GradeCutoffs()
 WEIGHTS = fixed.Weights()
+
+
+@dataclass(frozen=True)
+class Rules:
+    """A rule set: points of ratings, cut-offs of grades, weights of components."""
+
+    points: fixed.RatedPoints = field(default=POINTS)
+    cutoffs: fixed.GradeCutoffs = field(default=CUTOFFS)
+    weights: fixed.Weights = field(default=WEIGHTS)
+
+
+RULES = Rules()
 HALF = Decimal("0.5")
 ONE_AND_A_HALF = Decimal("1.5")
 
@@ -69,21 +82,21 @@ def count_points(count: Column, many: int, pts: fixed.RatedPoints = POINTS) -> C
     )
 
 
-def delinquency_points(count: Column) -> Column:
+def delinquency_points(count: Column, rules: Rules = RULES) -> Column:
     # The published rule gives the grade cut-off 750 here, not the 0 points.
-    return count_points(count, CUTOFFS.unacceptable)
+    return count_points(count, rules.cutoffs.unacceptable, rules.points)
 
 
-def public_record_points(count: Column) -> Column:
-    return count_points(count, POINTS.very_bad)
+def public_record_points(count: Column, rules: Rules = RULES) -> Column:
+    return count_points(count, rules.points.very_bad, rules.points)
 
 
-def bankruptcy_points(count: Column) -> Column:
-    return count_points(count, POINTS.very_bad)
+def bankruptcy_points(count: Column, rules: Rules = RULES) -> Column:
+    return count_points(count, rules.points.very_bad, rules.points)
 
 
-def enquiry_points(count: Column) -> Column:
-    return count_points(count, POINTS.unacceptable)
+def enquiry_points(count: Column, rules: Rules = RULES) -> Column:
+    return count_points(count, rules.points.unacceptable, rules.points)
 
 
 def loan_status_points(status: Column, pts: fixed.RatedPoints = POINTS) -> Column:

@@ -127,3 +127,10 @@ def issue_month(date: Column) -> Column:
     """'Dec-2015' as '2015-12', NULL for other texts."""
     parsed = F.try_to_date(F.concat(F.lit("01-"), date), "dd-MMM-yyyy")
     return F.date_format(parsed, "yyyy-MM")
+
+
+def row_hash(*columns: Column, seed: int = 0) -> Column:
+    """A 64-bit hash of several values that tells where a NULL is; the built-in
+    one leaves NULLs out, so that (a, NULL) and (NULL, a) are the same to it."""
+    marked = [part for c in columns for part in (c.isNull(), c)]
+    return F.xxhash64(F.lit(seed), *marked)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,35 @@ def check_data_quality(df: DataFrame, checks: Mapping) -> DataFrame:
     )
 
 
+def observed_hits(checks: Mapping) -> list[Column]:
+    """Columns for ``DataFrame.observe``: rows, and hits of null and range checks."""
+    found = _hits(checks)
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        *[hits.cast("bigint").alias(f"hits_{i}") for i, (_, _, hits) in enumerate(found)],
+    ]
+
+
+def observed_report(checks: Mapping, seen: Mapping[str, int]) -> list[Row]:
+    """The report's rows from what was observed."""
+    n_rows = seen["n_rows"]
+    return [
+        Row(
+            check_name=check,
+            column_name=name,
+            n_hits=seen[f"hits_{i}"],
+            n_rows=n_rows,
+            pct=100.0 * (seen[f"hits_{i}"] / n_rows) if n_rows else 0.0,
+        )
+        for i, (check, name, _) in enumerate(_hits(checks))
+    ]
+
+
+def badness(row: Row) -> float:
+    """The percentage of a report's row that a limit is set on."""
+    return 100.0 - row.pct if row.check_name == "unique_checks" and row.n_rows else row.pct
+
+
 def validate_loan_data(df: DataFrame) -> DataFrame:
     return check_data_quality(df, fixed.LOAN_CHECKS)
 

@@ -69,6 +69,42 @@ def monthly_scores(scores: DataFrame) -> DataFrame:
     )
 
 
+def monthly_partials(scores: DataFrame, *keep: str) -> DataFrame:
+    """What ``monthly_scores`` is made of, as sums that can be added up: per
+    month of issue and grade, and per what else is to be kept apart."""
+    return (
+        scores.withColumn("issue_month", issue_month(F.col("issue_date")))
+        .groupBy(*keep, "issue_month", "loan_final_grade")
+        .agg(
+            F.count("*").alias("n_loans"),
+            F.count("loan_score").alias("n_scored"),
+            F.sum("loan_score").alias("sum_score"),
+            F.min("loan_score").alias("min_score"),
+            F.max("loan_score").alias("max_score"),
+        )
+    )
+
+
+def merged_partials(partials: DataFrame, *keep: str) -> DataFrame:
+    """Partials of several days, or other parts, as those of all together."""
+    total = F.sum("sum_score").cast(dict(partials.dtypes)["sum_score"])
+    return partials.groupBy(*keep, "issue_month", "loan_final_grade").agg(
+        F.sum("n_loans").alias("n_loans"),
+        F.sum("n_scored").alias("n_scored"),
+        total.alias("sum_score"),
+        F.min("min_score").alias("min_score"),
+        F.max("max_score").alias("max_score"),
+    )
+
+
+def monthly_from_partials(partials: DataFrame) -> DataFrame:
+    """The same as ``monthly_scores`` of the rows that the partials are of."""
+    mean = F.try_divide(F.col("sum_score").cast("double"), F.col("n_scored").cast("double"))
+    return merged_partials(partials).select(
+        "issue_month", "loan_final_grade", "n_loans", mean.alias("avg_score"), "min_score", "max_score"
+    )
+
+
 def score_report(scores: DataFrame, *dimensions: str) -> DataFrame:
     """Counts, unscored loans and component means per group, subtotals and total.
 

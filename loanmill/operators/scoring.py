@@ -34,47 +34,47 @@ DEFAULT_POINTS = (
 FINANCIAL_POINTS = ("loan_status_pts", "home_pts", "credit_limit_pts", "grade_pts")
 
 
-def payment_point_columns() -> list[Column]:
+def payment_point_columns(rules: p.Rules = p.RULES) -> list[Column]:
     return [
         p.last_payment_points(
-            F.col("last_payment_amount"), F.col("monthly_installment")
+            F.col("last_payment_amount"), F.col("monthly_installment"), rules.points
         ).alias("last_payment_pts"),
         p.total_payment_points(
-            F.col("total_payment_received"), F.col("funded_amount")
+            F.col("total_payment_received"), F.col("funded_amount"), rules.points
         ).alias("total_payment_pts"),
     ]
 
 
-def default_point_columns() -> list[Column]:
+def default_point_columns(rules: p.Rules = p.RULES) -> list[Column]:
     return [
-        p.delinquency_points(F.col("delinq_2yrs")).alias("delinq_pts"),
-        p.public_record_points(F.col("pub_rec")).alias("public_records_pts"),
-        p.bankruptcy_points(F.col("pub_rec_bankruptcies")).alias(
+        p.delinquency_points(F.col("delinq_2yrs"), rules).alias("delinq_pts"),
+        p.public_record_points(F.col("pub_rec"), rules).alias("public_records_pts"),
+        p.bankruptcy_points(F.col("pub_rec_bankruptcies"), rules).alias(
             "public_bankruptcies_pts"
         ),
-        p.enquiry_points(F.col("inq_last_6mths")).alias("enq_pts"),
+        p.enquiry_points(F.col("inq_last_6mths"), rules).alias("enq_pts"),
     ]
 
 
-def text_point_columns() -> list[Column]:
+def text_point_columns(rules: p.Rules = p.RULES) -> list[Column]:
     """Points that depend on texts."""
     return [
-        p.loan_status_points(F.col("loan_status")).alias("loan_status_pts"),
-        p.home_points(F.col("home_ownership")).alias("home_pts"),
-        p.grade_points(F.col("grade"), F.col("sub_grade")).alias("grade_pts"),
+        p.loan_status_points(F.col("loan_status"), rules.points).alias("loan_status_pts"),
+        p.home_points(F.col("home_ownership"), rules.points).alias("home_pts"),
+        p.grade_points(F.col("grade"), F.col("sub_grade"), rules.points).alias("grade_pts"),
     ]
 
 
-def limit_point_columns() -> list[Column]:
+def limit_point_columns(rules: p.Rules = p.RULES) -> list[Column]:
     return [
         p.credit_limit_points(
-            F.col("funded_amount"), F.col("total_high_credit_limit")
+            F.col("funded_amount"), F.col("total_high_credit_limit"), rules.points
         ).alias("credit_limit_pts")
     ]
 
 
-def financial_point_columns() -> list[Column]:
-    return [*text_point_columns(), *limit_point_columns()]
+def financial_point_columns(rules: p.Rules = p.RULES) -> list[Column]:
+    return [*text_point_columns(rules), *limit_point_columns(rules)]
 
 
 def payment_points(repayments: DataFrame, loans: DataFrame) -> DataFrame:
@@ -95,9 +95,9 @@ def financial_points(loans: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def weighted_scores(points: DataFrame, *keep: str) -> DataFrame:
+def weighted_scores(points: DataFrame, *keep: str, rules: p.Rules = p.RULES) -> DataFrame:
     """Components, total and grade from the ten point columns."""
-    w = p.WEIGHTS
+    w = rules.weights
     parts = {
         "payment_history_pts": (w.payment_history, PAYMENT_POINTS),
         "defaulters_history_pts": (w.defaulters_history, DEFAULT_POINTS),
@@ -115,7 +115,7 @@ def weighted_scores(points: DataFrame, *keep: str) -> DataFrame:
     payment, default, financial = (F.col(name) for name in parts)
     total = (payment + default + financial).cast("decimal(12,4)")
     return scored.withColumn("loan_score", total).withColumn(
-        "loan_final_grade", p.final_grade(F.col("loan_score"))
+        "loan_final_grade", p.final_grade(F.col("loan_score"), rules.cutoffs)
     )
 
 

@@ -457,6 +457,68 @@ _EXTERNAL = _sql(
 
 _SCORE_ROWS = _sql("select * from scores", 5)
 
+# Days: scores of five runs that move by a rule on the loan's number.
+_DAYS = """
+days as (
+  select * from (values (0, date '2020-01-01'), (1, date '2020-01-02'), (2, date '2020-01-05'), (3, date '2020-02-01'),
+    (4, date '2020-03-10')) as t(k, score_date)
+),
+moved as (
+  select loan_id, k, score_date, cast(loan_score + 300 * (((n + k) // 2) % 3) as decimal(12,4)) as loan_score
+  from (select loan_id, loan_score, cast(substr(loan_id, 2) as bigint) as n from scores), days where (n + k) % 5 <> 0
+),
+daily as (
+  select *, case when loan_score > 2500 then 'A' when loan_score > 2000 then 'B' when loan_score > 1500 then 'C'
+    when loan_score > 1000 then 'D' when loan_score > 750 then 'E' when loan_score <= 750 then 'F' end as loan_final_grade
+  from moved
+)"""
+
+
+def _days(body: str) -> str:
+    return "with" + ",".join([*_PARTS[:5], _DAYS]) + "\n" + body
+
+
+def _arrived(upto: int) -> str:
+    """The scores after some arrivals, from the raw rows that have come."""
+    raw = _RAW.replace("from raw\n)", f"from raw where cast(substr(id, 2) as bigint) % 3 <= {upto}\n)")
+    return "(with" + ",".join([raw, *_PARTS[1:5]]) + "\nselect * from scores)"
+
+
+_OTHER_SCORES = (
+    _SCORES.replace("* 0.20", "* 0.30").replace("* 0.45", "* 0.30").replace("* 0.35", "* 0.40")
+    .replace("750 end as delinq_pts", "700 end as delinq_pts")
+    .replace("> 2500 then 'A'", "> 2400 then 'A'").replace("> 2000 then 'B'", "> 1900 then 'B'")
+    .replace("> 1500 then 'C'", "> 1400 then 'C'").replace("> 1000 then 'D'", "> 900 then 'D'")
+    .replace("> 750 then 'E'", "> 700 then 'E'").replace("<= 750 then 'F'", "<= 700 then 'F'")
+)
+
+
+def _outside(column: str) -> str:
+    """Values outside the quartile fences; a quartile is the value at ceil(n / 4)."""
+    return (
+        f"select loan_id, '{column}' as column_name, v as value "
+        f"from (select loan_id, cast({column} as double) as v from repayments), ("
+        f"select q1 - 1.5 * (q3 - q1) as low, q3 + 1.5 * (q3 - q1) as high from ("
+        f"select max(v) filter (where r = ceil(n * 0.25)) as q1, max(v) filter (where r = ceil(n * 0.75)) as q3 from ("
+        f"select v, row_number() over (order by v) as r, count(*) over () as n "
+        f"from (select cast({column} as double) as v from repayments)))) where v < low or v > high"
+    )
+
+
+_MONTHLY = """
+monthly as (
+  select strftime(strptime('01-' || issue_date, '%d-%b-%Y'), '%Y-%m') as issue_month, loan_final_grade, count(*) as n_loans,
+    count(loan_score) as n_scored, sum(loan_score) as sum_score
+  from scores s join loans l on l.loan_id = s.loan_id group by 1, 2
+)"""
+
+_MONTHLY_SCORES = _sql(
+    f"""select strftime(strptime('01-' || issue_date, '%d-%b-%Y'), '%Y-%m') as issue_month, loan_final_grade,
+      count(*) as n_loans, {_mean("loan_score")} as avg_score, min(loan_score) as min_score, max(loan_score) as max_score
+    from scores s join loans l on l.loan_id = s.loan_id group by 1, 2""",
+    5,
+)
+
 ORACLES: dict[str, str] = {
     "member_key": _sql("select id as loan_id, member_id from keyed", 1),
     "raw_profile": _sql(
@@ -645,12 +707,8 @@ ORACLES: dict[str, str] = {
     "wide_view": _WIDE,
     "wide_view_catalog": _WIDE,
     "wide_table_catalog": _WIDE,
-    "monthly_scores": _sql(
-        f"""select strftime(strptime('01-' || issue_date, '%d-%b-%Y'), '%Y-%m') as issue_month, loan_final_grade,
-          count(*) as n_loans, {_mean("loan_score")} as avg_score, min(loan_score) as min_score, max(loan_score) as max_score
-        from scores s join loans l on l.loan_id = s.loan_id group by 1, 2""",
-        5,
-    ),
+    "monthly_scores": _MONTHLY_SCORES,
+    "monthly_scores_merged": _MONTHLY_SCORES,
     "score_report": _sql(
         f"""select loan_purpose, address_state, cast(grouping_id(loan_purpose, address_state) as int) as grouping_level, {_REPORT_COLUMNS}
         from scores s join loans l on l.loan_id = s.loan_id join customers_new c on c.member_id = s.member_id
@@ -698,4 +756,76 @@ ORACLES: dict[str, str] = {
     "member_inspect_delinq": _sql("select * from delinq where member_id like 'e4%'", 3),
     "member_inspect_detail": _sql("select * from detail where member_id like 'e4%'", 3),
     "bad_member_lists": _BAD_LISTS,
+    "loan_score_sql": _SCORE_ROWS,
+    "loan_score_other_rules": "with" + ",".join([*_PARTS[:4], _OTHER_SCORES]) + "\nselect * from scores",
+    "score_history": _days(
+        """select loan_id, loan_score, loan_final_grade, min(score_date) as valid_from,
+          (select score_date from days where days.k = max(i.k) + 1) as valid_to
+        from (select *, k - row_number() over (partition by loan_id, loan_score order by k) as island from daily) i
+        group by loan_id, loan_score, loan_final_grade, island"""
+    ),
+    "scores_as_of": _days(
+        """select a.loan_id, a.asked_on, loan_score, loan_final_grade
+        from (select loan_id, n, date '2020-01-01' + cast(n % 80 - 5 as int) as asked_on,
+            (select max(k) from days where score_date <= date '2020-01-01' + cast(n % 80 - 5 as int)) as k
+          from (select id as loan_id, cast(substr(id, 2) as bigint) as n from keyed)) a
+        left join daily d on d.loan_id = a.loan_id and d.k = a.k"""
+    ),
+    "grade_migration": _days(
+        """select b.m as to_month, a.loan_final_grade as from_grade, b.loan_final_grade as to_grade, count(*) as n_loans
+        from held a join held b on a.loan_id = b.loan_id and b.m = a.m + interval 1 month group by 1, 2, 3"""
+    ).replace(
+        "\nselect b.m",
+        """,
+held as (
+  select loan_id, loan_final_grade, m from (
+    select *, date_trunc('month', score_date)::date as m,
+      row_number() over (partition by loan_id, date_trunc('month', score_date) order by k desc) as r from daily)
+  where r = 1
+)
+select b.m""",
+    ),
+    "rolling_scores": "with"
+    + ",".join([*_PARTS[:5], _MONTHLY])
+    + """
+select m.issue_month, m.loan_final_grade, m.n_loans, cast(m.n_loans - coalesce(sum(o.n_loans) filter (where o.i = m.i - 1), 0) as bigint) as n_more_loans,
+  cast(sum(o.sum_score) as double) / nullif(cast(sum(o.n_scored) as double), 0) as rolling_score
+from (select *, 12 * cast(substr(issue_month, 1, 4) as int) + cast(substr(issue_month, 6, 2) as int) as i from monthly) m
+join (select *, 12 * cast(substr(issue_month, 1, 4) as int) + cast(substr(issue_month, 6, 2) as int) as i from monthly) o
+  on o.loan_final_grade is not distinct from m.loan_final_grade and o.i between m.i - 2 and m.i
+group by m.issue_month, m.loan_final_grade, m.n_loans""",
+    "robust_outliers": _sql(
+        " union all ".join(
+            _outside(c) for c in ("total_payment_received", "total_late_fee_received", "last_payment_amount")
+        ),
+        3,
+    ),
+    "distinct_over_months": _sql(
+        " union all ".join(
+            f"select '{c}' as column_name, count(distinct {e}) as n_distinct, true as is_close from keyed"
+            for c, e in (("member_id", "member_id"), ("loan_id", "id"), ("purpose", "purpose"))
+        ),
+        1,
+    ),
+    "wide_table_refreshed": _WIDE,
+    "customer_loans_salted": _sql(
+        """select loan_id, member_id, loan_status, grade, home_ownership
+        from loans join (select distinct member_id, grade, home_ownership from customers) using (member_id)""",
+        3,
+    ),
+    "dq_observed": _DQ_LOANS,
+    "loans_published": _sql("select * from loans", 3),
+    "csv_rejects": _sql(
+        """select case n % 50 when 0 then 'too few columns' when 1 then 'too many columns' when 2 then 'values'
+            when 3 then 'values' else 'kept' end as reason,
+          case n % 50 when 2 then 'loan_amnt' when 3 then 'funded_amnt,installment' else '' end as lost, count(*) as n_rows
+        from (select cast(substr(loan_id, 2) as bigint) as n from split_loans) group by 1, 2""",
+        2,
+    ),
+    "stream_quarantine": _SCORE_ROWS,
+    "stream_retracted": " union all ".join(
+        f"select * from {_arrived(i)} where loan_id not in (select loan_id from {_arrived(i + 1)})" for i in range(2)
+    ),
+    # All loans, those of quarantined borrowers too.
+    "stream_joined_payments": _sql("select * from payment_points", 5).replace("join loans_new l on l.loan_id = r.loan_id", "join loans l on l.loan_id = r.loan_id"),
 }

@@ -6,13 +6,16 @@ computes another one again and a lost executor costs one stage at most.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, fields
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanmill.functions import fixed
 from loanmill.operators import cleaning, ingest, quarantine, reports, scoring
+from loanmill.plans import publish as publishing
 from loanmill.sources import catalog, readers, writers
 
 COMPONENTS = ("payment_history", "defaulters_history", "financial_health")
@@ -23,6 +26,11 @@ MEMBER_TABLES = (
 )
 QUARANTINED_TABLES = (*MEMBER_TABLES, "loans")
 FINAL_LIST = "bad_customer_data_final"
+CHECKS = {
+    "customers": fixed.CUSTOMER_CHECKS,
+    "loans": fixed.LOAN_CHECKS,
+    "loans_repayments": fixed.REPAYMENT_CHECKS,
+}
 
 
 @dataclass(frozen=True)
@@ -85,20 +93,31 @@ def clean_all_data(
     at: datetime | None = None,
     state_mode: str = "length",
     csv: bool = False,
+    fail_on: Mapping[str, float] | None = None,
 ) -> CleanTables:
     """Clean the splits and store them as Parquet, and as CSV if asked to.
 
     Tables with a borrower get ``is_quarantined`` as they are written, so the
     quarantine is a filter and not a second copy. CSV files are written from
-    the stored Parquet, not computed a second time.
+    the stored Parquet, not computed a second time. With ``fail_on`` the tables
+    that have checks are observed as they are written; all are written before
+    one over its limits raises ``publish.QualityError``.
     """
     named = clean_tables(split, at, state_mode).by_name()
     bad = store_bad_members(CleanTables(**named), f"{folder}/bad_members")
     for name in QUARANTINED_TABLES:
         named[name] = quarantine.flag_members(named[name], bad)
-    stored = CleanTables(
-        **{name: _stored(df, f"{folder}/{name}_parquet") for name, df in named.items()}
-    )
+    audits = {}
+    for name, df in named.items():
+        path = f"{folder}/{name}_parquet"
+        if fail_on is not None and name in CHECKS:
+            audits[name] = publishing.write_observed(df, path, CHECKS[name])
+        else:
+            writers.write_parquet(df, path)
+        named[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = CleanTables(**named)
+    for name, report in audits.items():
+        publishing.audit(name, report, fail_on)
     _stored(
         cleaning.credit_issue_members(cleaning.clean_defaulters(split["defaulters"])),
         f"{folder}/loans_defaulters_records_enq_parquet",
@@ -177,13 +196,43 @@ def score_all(kept: CleanTables, *keep: str) -> DataFrame:
     )
 
 
+def daily_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The score rows that runs have stored, a partition for each day."""
+    return readers.read_parquet(spark, f"{folder}/loan_score/daily")
+
+
+def monthly_partials(spark: SparkSession, folder: str) -> DataFrame:
+    return readers.read_parquet(spark, f"{folder}/loan_score/monthly")
+
+
+def add_monthly(spark: SparkSession, folder: str, day: date) -> None:
+    """Add up one day's score rows and store their monthly partials.
+
+    Only that day's partition is read; a day that is added again replaces its
+    own partials. ``reports.monthly_from_partials`` merges the days, which is
+    a few rows for each of them.
+    """
+    scores = daily_scores(spark, folder).filter(F.col("score_date") == F.lit(day))
+    partials = reports.monthly_partials(scores.drop("score_date"))
+    writers.write_dated(partials.coalesce(1), f"{folder}/loan_score/monthly", day)
+
+
 def run(
-    keyed: DataFrame, folder: str, day: date, run_id: str, at: datetime | None = None
+    keyed: DataFrame,
+    folder: str,
+    day: date,
+    run_id: str,
+    at: datetime | None = None,
+    fail_on: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Raw rows with keys in, one day's stored score rows out."""
+    """Raw rows with keys in, one day's stored score rows out.
+
+    ``fail_on`` gives a limit in percent to kinds of checks. A run whose cleaned
+    tables are over one ends there, and the scores of earlier days stay.
+    """
     # Stored first: all splits are then column-pruned scans of one table.
     keyed = _stored(keyed, f"{folder}/raw_keyed")
-    tables = clean_all_data(ingest.split(keyed), f"{folder}/cleaned", at)
+    tables = clean_all_data(ingest.split(keyed), f"{folder}/cleaned", at, fail_on=fail_on)
     kept = without_quarantined(tables)
     scores = reports.full_score_rows(score_all(kept, "issue_date"), run_id, at)
     daily = f"{folder}/loan_score/daily"

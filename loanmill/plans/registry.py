@@ -5,29 +5,38 @@ All read the order tables through ``derived.raw_loans`` and run over all rows.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
+from decimal import Decimal
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanmill.functions import fixed
 from loanmill.functions import scalars as s
+from loanmill.functions.points import Rules, final_grade
 from loanmill.operators import (
     cleaning,
+    history,
     hundred,
     ingest,
     quality,
     quarantine,
+    refresh,
     reports,
+    salting,
     scoring,
     serving,
+    sketches,
 )
-from loanmill.plans import pipeline, single_pass
-from loanmill.sources import catalog, derived, readers, schemas, writers
+from loanmill.plans import pipeline, publish, rules, single_pass
+from loanmill.sources import catalog, derived, readers, rejects, schemas, writers
+from loanmill.streaming import joins
+from loanmill.streaming import quarantine as live
 from loanmill.streaming import scores as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +87,17 @@ def _without_time(df: DataFrame) -> DataFrame:
     return df.drop("ingest_date")
 
 
+def _database(spark: SparkSession, name: str) -> str:
+    """A database of this application alone: others may share the metastore."""
+    application = re.sub(r"\W", "_", spark.sparkContext.applicationId)
+    return f"loanmill_{name}_{application}"
+
+
+def _number(column: str) -> Column:
+    """The number in a loan's id."""
+    return F.substring(column, 2, 20).cast("long")
+
+
 # Keys, profile and splits
 
 
@@ -445,7 +465,7 @@ def loan_score_stored(spark, sf_dir):
 def loan_score_bucketed(spark, sf_dir):
     """The same scores from managed tables in buckets of the borrower."""
     folder = writers.work_folder(spark, "bucketed")
-    database = "loanmill_bucketed"
+    database = _database(spark, "bucketed")
     catalog.create_database(spark, database, folder, fresh=True)
     named = _stored_tables(spark, sf_dir).by_name()
     buckets = 8 + named["loans"].count() // LOANS_PER_BUCKET
@@ -455,6 +475,24 @@ def loan_score_bucketed(spark, sf_dir):
     return pipeline.score_all(pipeline.CleanTables(**named))
 
 
+@query
+def customer_loans_salted(spark, sf_dir):
+    """Loans with their borrower's grade and home, from buckets of borrower and
+    salt; borrowers with several loans are spread over several."""
+    database = _database(spark, "salted")
+    catalog.create_database(spark, database, writers.work_folder(spark, "salted"), fresh=True)
+    tables = pipeline.clean_tables(_staged(spark, sf_dir))
+    loans = tables.loans.select("loan_id", "member_id", "loan_status")
+    people = tables.customers.select("member_id", "grade", "home_ownership").distinct()
+    heavy = writers.stage(salting.heavy_keys(loans, 1), "heavy")
+    buckets = 8 + loans.count() // LOANS_PER_BUCKET
+    keys = (salting.KEY, salting.SALT)
+    catalog.save_managed(salting.salted(loans, heavy), database, "loans", keys, buckets)
+    catalog.save_managed(salting.repeated(people, heavy), database, "people", keys, buckets)
+    salted, repeated = (readers.read_table(spark, f"{database}.{name}") for name in ("loans", "people"))
+    return salted.join(repeated, list(keys)).drop(salting.SALT)
+
+
 @query
 def grade_distribution(spark, sf_dir):
     return reports.grade_distribution(single_pass.scores(_stored(spark, sf_dir)))
@@ -622,7 +660,7 @@ _SERVED = (
 @query
 def wide_view_catalog(spark, sf_dir):
     """The five-way join as a catalog view over external tables."""
-    database = "loanmill_wide_view"
+    database = _database(spark, "wide_view")
     _published(spark, sf_dir, database)
     names = [catalog.quoted(database, name) for name in _SERVED]
     catalog.create_view(
@@ -634,7 +672,7 @@ def wide_view_catalog(spark, sf_dir):
 @query
 def wide_table_catalog(spark, sf_dir):
     """The five-way join written as a managed table."""
-    database = "loanmill_wide_table"
+    database = _database(spark, "wide_table")
     _published(spark, sf_dir, database)
     tables = [readers.read_table(spark, f"{database}.{name}") for name in _SERVED]
     wide = serving.wide_customer_loans(*tables)
@@ -645,7 +683,7 @@ def wide_table_catalog(spark, sf_dir):
 @query
 def external_tables(spark, sf_dir):
     """Rows of the five cleaned external tables and the four views on them."""
-    database = "loanmill_external"
+    database = _database(spark, "external")
     _published(spark, sf_dir, database)
     names = [*_SERVED, *[f"{name}_new" for name in pipeline.QUARANTINED_TABLES]]
     return reports.row_counts(
@@ -656,8 +694,9 @@ def external_tables(spark, sf_dir):
 @query
 def external_loans(spark, sf_dir):
     """The cleaned loans, read back from their external table."""
-    _published(spark, sf_dir, "loanmill_loans")
-    return _without_time(readers.read_table(spark, "loanmill_loans.loans"))
+    database = _database(spark, "loans")
+    _published(spark, sf_dir, database)
+    return _without_time(readers.read_table(spark, f"{database}.loans"))
 
 
 @query
@@ -796,3 +835,255 @@ def ingest_dates(spark, sf_dir):
     return loans.select(
         "loan_id", F.date_format("ingest_date", "yyyy-MM-dd HH:mm:ss").alias("ingested")
     )
+
+
+# Rule sets as parameters
+
+
+@query
+def loan_score_sql(spark, sf_dir):
+    """The same scores by SQL whose rules are named parameters."""
+    return rules.scores(spark, _stored_tables(spark, sf_dir))
+
+
+#: Another rule set: records weigh less, and grades are easier to get.
+OTHER_RULES = Rules(
+    cutoffs=fixed.GradeCutoffs(700, 900, 1400, 1900, 2400),
+    weights=fixed.Weights(Decimal("0.30"), Decimal("0.30"), Decimal("0.40")),
+)
+
+
+@query
+def loan_score_other_rules(spark, sf_dir):
+    """The same SQL text with another rule set."""
+    return rules.scores(spark, _stored_tables(spark, sf_dir), OTHER_RULES)
+
+
+# Days: partials, history, sketches, refreshed and audited tables
+
+RUNS = (
+    date(2020, 1, 1),
+    date(2020, 1, 2),
+    date(2020, 1, 5),
+    date(2020, 2, 1),
+    date(2020, 3, 10),
+)
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of five runs, a partition each. From run to run a fifth of the
+    loans is left out, and scores go up and down by a rule on the loan's number."""
+    folder = writers.work_folder(spark, "daily")
+    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir)), "scores")
+    number = _number("loan_id")
+    for run, day in enumerate(RUNS):
+        step = F.expr("300") * (F.floor((number + run) / 2) % 3)
+        moved = scores.filter((number + run) % 5 != 0).withColumn(
+            "loan_score", (F.col("loan_score") + step).cast("decimal(12,4)")
+        )
+        graded = moved.withColumn("loan_final_grade", final_grade(F.col("loan_score")))
+        writers.write_dated(graded, folder, day)
+    return readers.read_parquet(spark, folder)
+
+
+@query
+def score_history(spark, sf_dir):
+    """From when to when each loan had which score."""
+    return history.score_history(_daily(spark, sf_dir))
+
+
+@query
+def scores_as_of(spark, sf_dir):
+    """Every loan's score as of a day of its own."""
+    asked = ingest.split_loans(_keyed(spark, sf_dir)).select(
+        "loan_id", F.date_add(F.lit(RUNS[0]), (_number("loan_id") % 80 - 5).cast("int")).alias("asked_on")
+    )
+    return history.as_of(asked, history.score_history(_daily(spark, sf_dir)))
+
+
+@query
+def grade_migration(spark, sf_dir):
+    return history.grade_migration(_daily(spark, sf_dir))
+
+
+@query
+def rolling_scores(spark, sf_dir):
+    """Mean scores over three months of issue, by grade."""
+    scores = single_pass.scores(_keyed(spark, sf_dir), "issue_date")
+    return history.rolling_scores(reports.monthly_partials(scores))
+
+
+@query
+def monthly_scores_merged(spark, sf_dir):
+    """Monthly scores from the partials of three days with a part of the loans
+    each; adding a day reads that day alone."""
+    folder = writers.work_folder(spark, "partials")
+    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir), "issue_date"), "scores")
+    for i, day in enumerate(RUNS[:3]):
+        part = scores.filter(_number("loan_id") % 3 == i)
+        writers.write_dated(part, f"{folder}/loan_score/daily", day)
+        pipeline.add_monthly(spark, folder, day)
+    return reports.monthly_from_partials(pipeline.monthly_partials(spark, folder))
+
+
+@query
+def robust_outliers(spark, sf_dir):
+    """Payments outside the quartile fences, which sketches lead to."""
+    columns = ["total_payment_received", "total_late_fee_received", "last_payment_amount"]
+    repayments = writers.stage(
+        _tables(spark, sf_dir).loans_repayments.select("loan_id", *columns), "repayments"
+    )
+    bounds = {c: sketches.fences(sketches.exact_quantiles(repayments, c)) for c in columns}
+    return sketches.robust_outliers(repayments, "loan_id", bounds)
+
+
+@query
+def distinct_over_months(spark, sf_dir):
+    """Exact distinct counts, and whether merged monthly sketches are within 2 %."""
+    columns = ["member_id", "loan_id", "purpose"]
+    keyed = writers.stage(
+        _keyed(spark, sf_dir).select("member_id", F.col("id").alias("loan_id"), "purpose", "issue_d"), "keys"
+    )
+    by_month = writers.stage(sketches.distinct_sketches(keyed, columns, "issue_d"), "sketches")
+    about = sketches.distinct_counts(by_month, columns)
+    exact = keyed.agg(*[F.count_distinct(c).alias(f"exact_{c}") for c in columns])
+    close = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col(f"exact_{c}").alias("n_distinct"),
+            (F.abs(F.col(f"n_{c}") - F.col(f"exact_{c}")) <= 0.02 * F.col(f"exact_{c}")).alias("is_close"),
+        )
+        for c in columns
+    ]
+    counted = exact.select("*", *[about.select(f"n_{c}").scalar().alias(f"n_{c}") for c in columns])
+    return counted.select(F.inline(F.array(*close)))
+
+
+@query
+def wide_table_refreshed(spark, sf_dir):
+    """The wide table of yesterday, when a few borrowers were not known or had
+    other limits, brought to today's rows in the partitions that changed."""
+    database, parts = _database(spark, "refreshed"), 32
+    catalog.create_database(spark, database, writers.work_folder(spark, "refreshed"), fresh=True)
+    keyed = _stored(spark, sf_dir)
+    number = _number("id")
+    other = F.when(number % 211 == 0, F.lit(1)).otherwise(F.col("tot_hi_cred_lim"))
+    yesterday = keyed.filter(number % 197 != 0).withColumn(
+        "tot_hi_cred_lim", other.cast(schemas.MONEY)
+    )
+    refresh.store(single_pass.wide_rows(yesterday), database, "wide", parts)
+    refresh.refresh(spark, single_pass.wide_rows(keyed), database, "wide", parts)
+    return readers.read_table(spark, f"{database}.wide").drop(refresh.PART)
+
+
+@query
+def dq_observed(spark, sf_dir):
+    """The loans' quality report, observed while they are written."""
+    path = writers.work_folder(spark, "observed_loans")
+    report = publish.write_observed(_tables(spark, sf_dir).loans, path, fixed.LOAN_CHECKS)
+    schema = "check_name string, column_name string, n_hits long, n_rows long, pct double"
+    return spark.createDataFrame(report, schema)
+
+
+@query
+def loans_published(spark, sf_dir):
+    """Loans as they were published: the version after it failed its checks."""
+    database, folder = _database(spark, "published"), writers.work_folder(spark, "versions")
+    catalog.create_database(spark, database, writers.work_folder(spark, "published"), fresh=True)
+    loans = _without_time(_tables(spark, sf_dir).loans)
+    checks = {"null_checks": ["loan_id", "member_id"], "range_checks": {"funded_amount": (0, 10**9)}}
+
+    def run(version: str, rows: DataFrame) -> None:
+        publish.write_audit_publish(rows, database, "loans", folder, version, checks, {"null_checks": 1.0})
+
+    run("2020-01-01", loans)
+    try:
+        run("2020-01-02", loans.withColumn("member_id", F.when(_number("loan_id") % 9 != 0, F.col("member_id"))))
+    except publish.QualityError:
+        pass
+    return readers.read_table(spark, f"{database}.loans")
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """Rows of a damaged CSV that are kept, and why the others are not."""
+    path = writers.work_folder(spark, "damaged_csv")
+    loans = ingest.split_loans(_keyed(spark, sf_dir))
+    kind = _number("loan_id") % 50
+    texts = {f.name: F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schemas.LOANS}
+    texts["loan_amnt"] = F.when(kind == 2, F.lit("n/a")).otherwise(texts["loan_amnt"])
+    for name in ("funded_amnt", "installment"):
+        texts[name] = F.when(kind == 3, F.lit("?")).otherwise(texts[name])
+    line = F.concat_ws(",", *texts.values())
+    short = F.concat_ws(",", *list(texts.values())[:-2])
+    damaged = F.when(kind == 0, short).when(kind == 1, F.concat(line, F.lit(",more"))).otherwise(line)
+    loans.select(damaged.alias("value")).write.mode("overwrite").text(path)
+    kept, rejected = rejects.read_csv_checked(spark, path, schemas.LOANS, header=False)
+    rows = rejected.select("reason", F.concat_ws(",", "columns").alias("lost"))
+    rows = rows.unionByName(kept.select(F.lit("kept").alias("reason"), F.lit("").alias("lost"), "loan_id").drop("loan_id"))
+    return rows.groupBy("reason", "lost").agg(F.count("*").alias("n_rows"))
+
+
+# Live quarantine and two streams
+
+
+def _live_quarantine(spark: SparkSession, sf_dir: str) -> str:
+    """Raw rows in three arrivals, by the loan's number; the folder they end in."""
+    folder = writers.work_folder(spark, f"live-{uuid.uuid4().hex}")
+    keyed = _stored(spark, sf_dir)
+    for i in range(3):
+        keyed.filter(_number("id") % 3 == i).write.mode("append").parquet(f"{folder}/raw")
+        stream = live.raw_stream(spark, f"{folder}/raw", keyed.schema)
+        live.write_stream(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return f"{folder}/out"
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    """Scores that hold after all arrivals; equal to the batch scores."""
+    return live.current_scores(spark, _live_quarantine(spark, sf_dir))
+
+
+@query
+def stream_retracted(spark, sf_dir):
+    """Scores that an arrival gave and a later one took back."""
+    return live.retracted_scores(spark, _live_quarantine(spark, sf_dir)).drop("batch")
+
+
+@query
+def stream_joined_payments(spark, sf_dir):
+    """Payment points of all loans from a stream of loans and one of repayments,
+    which come up to three months late and in an order of their own."""
+    folder = writers.work_folder(spark, f"two-streams-{uuid.uuid4().hex}")
+    keyed = _stored(spark, sf_dir)
+    number = _number("loan_id")
+    tables = pipeline.clean_tables(ingest.split(keyed))
+    issued = F.to_timestamp(F.concat(F.lit("01-"), F.col("issue_date")), "dd-MMM-yyyy")
+    month = F.months_between(issued, F.lit("1992-01-01").cast("date")).cast("int")
+    loans = tables.loans.select(
+        "loan_id",
+        "member_id",
+        "funded_amount",
+        "monthly_installment",
+        issued.alias(joins.LOAN_TIME),
+        F.floor((month + number % 4) / 12).cast("int").alias("arrival"),
+    )
+    of_loan = ingest.split_loans(keyed).select("loan_id", F.col("issue_d").alias("issue_date"))
+    repayments = tables.loans_repayments.join(of_loan, "loan_id").select(
+        "loan_id",
+        "last_payment_amount",
+        "total_payment_received",
+        (issued + F.make_dt_interval((number % 28).cast("int"))).alias(joins.PAYMENT_TIME),
+        F.floor((month + F.floor(number / 4) % 4) / 12).cast("int").alias("arrival"),
+    )
+    streams = []
+    for name, table in (("loans", loans), ("repayments", repayments)):
+        table = writers.stage(table, name)
+        for arrival in range(8):
+            rows = table.filter(F.col("arrival") == arrival).drop("arrival")
+            rows.write.mode("append").parquet(f"{folder}/{name}")
+        streams.append(joins.table_stream(spark, f"{folder}/{name}", table.drop("arrival").schema, files=8))
+    joined = joins.loan_payments(*streams, late="500 days", apart="28 days")
+    stream = joins.write_stream(joins.payment_points(joined), f"{folder}/points", f"{folder}/checkpoint")
+    stream.awaitTermination()
+    return readers.read_parquet(spark, f"{folder}/points")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from loanmill.functions import fixed
 from loanmill.functions import scalars as s
+from loanmill.functions.points import RULES, Rules
 from loanmill.operators import (
     cleaning,
     hundred,
@@ -145,12 +146,12 @@ def financial_points(keyed: DataFrame) -> DataFrame:
     )
 
 
-def scores(keyed: DataFrame, *keep: str) -> DataFrame:
+def scores(keyed: DataFrame, *keep: str, rules: Rules = RULES) -> DataFrame:
     """Scores and grades; ``keep`` names cleaned columns to carry along.
 
     Long texts become points before rows move.
     """
-    status, home, grade = scoring.text_point_columns()
+    status, home, grade = scoring.text_point_columns(rules)
     carried = [c for c in ("grade", "sub_grade") if c not in keep]
     kept = _kept_rows(
         keyed, SCORED, "loan_id", *keep, *scoring.NUMBERS, *carried, status, home
@@ -158,11 +159,28 @@ def scores(keyed: DataFrame, *keep: str) -> DataFrame:
     points = kept.select(
         "*",
         grade,
+        *scoring.payment_point_columns(rules),
+        *scoring.default_point_columns(rules),
+        *scoring.limit_point_columns(rules),
+    )
+    return scoring.weighted_scores(points, *keep, rules=rules)
+
+
+def scored_rows(keyed: DataFrame) -> DataFrame:
+    """Every raw row's borrower, whether its tables would all keep the row, and
+    its score columns; quarantined borrowers' too. A narrow job, so a stream of
+    raw rows can take it."""
+    rows = cleaned_rows(keyed)
+    is_scored = reduce(Column.__and__, [F.col(flag) for flag in SCORED])
+    points = rows.select(
+        "loan_id",
+        "member_id",
+        is_scored.alias("is_scored"),
         *scoring.payment_point_columns(),
         *scoring.default_point_columns(),
-        *scoring.limit_point_columns(),
+        *scoring.financial_point_columns(),
     )
-    return scoring.weighted_scores(points, *keep)
+    return scoring.weighted_scores(points, "is_scored")
 
 
 def hundred_payment(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
@@ -203,23 +221,11 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     without a loan for a customer who has none that is complete.
 
     The records of a quarantined borrower disagree, so the columns that they
-    disagree in are NULL there; the loan's own columns are not.
+    disagree in are NULL there; the loan's own columns are not. Where a key
+    stands for several sets of attributes, so are the attributes that differ.
     """
     everyone = cleaning.unique_customers(ingest.split_customers(keyed))
     mean = cleaning.mean_emp_length(everyone)
-    rows = cleaned_rows(keyed).filter("is_customer")
-    repeated = (
-        rows.groupBy("member_id")
-        .agg(F.count("*").alias("total"), F.count_if("is_loan").alias("n_loans"))
-        .filter("total > 1")
-        .select("member_id", "n_loans")
-    )
-    loan, payment = F.col("is_loan"), F.col("is_loan") & F.col("is_repayment")
-    single = ~F.col("is_quarantined")
-
-    def where(condition: Column, value: Column, name: str) -> Column:
-        return F.when(condition, value).alias(name)
-
     cleaned = {
         "emp_length": F.coalesce(s.digits_to_int(F.col("emp_length")), mean),
         "address_state": s.state_code(F.col("address_state"), state_mode),
@@ -237,11 +243,40 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     def value(name: str) -> Column:
         return cleaned[name] if name in cleaned else F.col(name)
 
-    def own(name: str) -> Column:
-        return where(single, value(name), name) if name in serving.CONFLICTING else value(name).alias(name)
+    def where(condition: Column, value: Column, name: str) -> Column:
+        return F.when(condition, value).alias(name)
+
+    rows = cleaned_rows(keyed).filter("is_customer")
+    attributes = s.row_hash(*[value(c) for c in serving.SHARED])
+    repeated = (
+        rows.groupBy("member_id")
+        .agg(
+            F.count("*").alias("total"),
+            F.count_if("is_loan").alias("n_loans"),
+            (F.min(attributes) < F.max(attributes)).alias("collides"),
+        )
+        .filter("total > 1")
+        .select("member_id", "n_loans", "collides")
+    )
+    # Attributes are compared one by one only for keys that stand for several
+    # sets of them: hardly any, and then the rows are not read again.
+    colliding = repeated.filter("collides").select("member_id")
+    sets = rows.join(colliding, "member_id", "left_semi").select(
+        "member_id", *_named({c: value(c) for c in serving.SHARED})
+    )
+    same = sets.groupBy("member_id").agg(*serving.same_values(serving.SHARED))
+    loan, payment = F.col("is_loan"), F.col("is_loan") & F.col("is_repayment")
+    single = ~F.col("is_quarantined")
 
-    marked = rows.join(repeated, "member_id", "left").withColumn(
-        "is_quarantined", F.col("n_loans").isNotNull()
+    def own(name: str) -> Column:
+        if name in serving.CONFLICTING:
+            return where(single, value(name), name)
+        return where(F.coalesce(f"same_{name}", F.lit(True)), value(name), name)
+
+    marked = (
+        rows.join(repeated, "member_id", "left")
+        .withColumn("is_quarantined", F.col("n_loans").isNotNull())
+        .join(same, "member_id", "left")
     )
     wide = (
         where(loan, F.col("loan_id"), "loan_id"),

@@ -51,20 +51,22 @@ def save_managed(
     df: DataFrame,
     database: str,
     table: str,
-    bucket_by: str | None = None,
+    bucket_by: str | tuple[str, ...] | None = None,
     buckets: int = 0,
 ) -> None:
     """A managed table: as old as its last write, fast to read.
 
     Tables in equally many buckets of a join's key join without a shuffle. Rows
     are brought to their bucket before the write, so each bucket is one file:
-    for tables with few rows per key. Choose ``buckets`` by the size of the
+    for tables with few rows per key, or with a salt as second key
+    (``operators.salting``). Choose ``buckets`` by the size of the
     table, the same for all that are to join; it is part of the layout.
     """
     if bucket_by and buckets < 1:
         raise ValueError("say how many buckets")
     writer = df.write
     if bucket_by:
-        by_bucket = df.repartition(buckets, bucket_by)
-        writer = by_bucket.write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        keys = (bucket_by,) if isinstance(bucket_by, str) else bucket_by
+        by_bucket = df.repartition(buckets, *keys)
+        writer = by_bucket.write.bucketBy(buckets, *keys).sortBy(*keys)
     writer.mode("overwrite").format("parquet").saveAsTable(quoted(database, table))

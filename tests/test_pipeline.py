@@ -1,6 +1,8 @@
 from datetime import date, datetime
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmill.__main__ import main
@@ -138,6 +140,58 @@ def test_wide_rows_hold_every_loan_once(spark):
     assert got["S", "L3"].pub_rec and got["S", "L3"].total_high_credit_limit
 
 
+def collided(spark, keyed):
+    """Two people with one key: a state in one, the same text as zip code in the
+    other; a third has the same key and attributes as the second, but no loan
+    that is complete. A fourth and a fifth without complete loans collide too."""
+    first = keyed.filter("loan_amnt is not null and annual_inc is not null and total_pymnt > 0").limit(1)
+
+    def person(loan, member, state, zip_code, amount="5", grade="'B'"):
+        return first.withColumns(
+            {
+                "id": F.lit(loan),
+                "member_id": F.lit(member),
+                "addr_state": F.expr(state),
+                "zip_code": F.expr(zip_code),
+                "loan_amnt": F.expr(amount).cast("decimal(28,4)"),
+                "grade": F.expr(grade),
+            }
+        )
+
+    none = "null"
+    return reduce(
+        DataFrame.unionByName,
+        [
+            person("K1", "k", "'CA'", none),
+            person("K2", "k", none, "'CA'"),
+            person("K3", "k", none, "'CA'", none),
+            person("M1", "m", "'CA'", none, none),
+            person("M2", "m", none, "'CA'", none),
+            person("S1", "s", "'NY'", "'1xx'"),
+        ],
+    )
+
+
+def test_keys_of_several_people_double_no_loan(spark, keyed, tmp_path):
+    """Tables, view and single pass fold them to what they agree in."""
+    several = writers.stage(collided(spark, keyed), "test_collided")
+    got = single_pass.wide_rows(several)
+    by_loan = {(r.member_id, r.loan_id): r for r in got.collect()}
+    assert got.count() == 4 and set(by_loan) == {("k", "K1"), ("k", "K2"), ("m", None), ("s", "S1")}
+    for key in (("k", "K1"), ("k", "K2"), ("m", None)):
+        row = by_loan[key]
+        assert row.is_quarantined and row.address_state is None and row.address_zipcode is None
+        assert row.grade == "B" and row.emp_title and row.total_high_credit_limit is None
+    assert by_loan["s", "S1"].address_state == "NY"
+    tables = pipeline.clean_all_data(ingest.split(several), str(tmp_path), AT)
+    assert rows(serving.wide_customer_loans(*tables.by_name().values())) == rows(got)
+    for name, table in tables.by_name().items():
+        table.createOrReplaceTempView(f"collided_{name}")
+    served = ("customers", "loans", "loans_repayments", *pipeline.MEMBER_TABLES[1:])
+    view = spark.sql(serving.wide_view_query(*[f"collided_{name}" for name in served]))
+    assert rows(view) == rows(got)
+
+
 def test_money_of_any_size_is_kept(any_mode):
     """No value is too large for its column."""
     from loanmill.operators import cleaning
