@@ -73,22 +73,22 @@ def grade_migration(daily: DataFrame, grade: str = "loan_final_grade", day: str
     """How many loans went from which grade to which from one month to the next.
     A loan counts in a month with its last row there; one that has no row in
     either month has no step. NULL is a grade here."""
-    month = F.date_trunc("month", day).cast("date")
-    monthly = (
-        daily.select("loan_id", month.alias("month"), day, F.struct(grade).alias("held"))
-        .groupBy("loan_id", "month")
-        .agg(F.max_by("held", day).alias("held"))
+    own = W.partitionBy("loan_id").orderBy(day)
+    month = F.trunc(day, "month")
+    last = daily.select(
+        "loan_id", day, grade, month.alias("to_month"), F.lead(month).over(own).alias("next_month")
+    ).filter("next_month is null or next_month <> to_month")
+    steps = last.select(
+        "to_month",
+        F.lag("to_month").over(own).alias("from_month"),
+        F.lag(grade).over(own).alias("from_grade"),
+        F.col(grade).alias("to_grade"),
+    )
+    return (
+        steps.filter("from_month = add_months(to_month, -1)")
+        .groupBy("to_month", "from_grade", "to_grade")
+        .agg(F.count("*").alias("n_loans"))
     )
-    own = W.partitionBy("loan_id").orderBy("month")
-    steps = monthly.select(
-        F.col("month").alias("to_month"),
-        F.lag("month").over(own).alias("from_month"),
-        F.lag("held").over(own).alias("before"),
-        "held",
-    ).filter("from_month = add_months(to_month, -1)")
-    return steps.groupBy(
-        "to_month", F.col(f"before.{grade}").alias("from_grade"), F.col(f"held.{grade}").alias("to_grade")
-    ).agg(F.count("*").alias("n_loans"))
 
 
 def rolling_scores(monthly: DataFrame, months: int = 3) -> DataFrame:

@@ -63,21 +63,21 @@ WIDE_COLUMNS = (
 )
 
 
-def same_values(columns: tuple[str, ...]) -> list[Column]:
-    """For each column whether the rows of a group agree in it, named after it;
+def differing(columns: tuple[str, ...]) -> list[Column]:
+    """For each column whether the rows of a group differ in it, named after it;
     a NULL agrees with NULLs only. Values are compared by 64-bit hashes, which
     aggregate in place where texts would be sorted."""
     return [
-        (F.min(F.xxhash64(c)) == F.max(F.xxhash64(c))).alias(f"same_{c}") for c in columns
+        (F.min(F.xxhash64(c)) < F.max(F.xxhash64(c))).alias(f"differ_{c}") for c in columns
     ]
 
 
 def _folded(customers: DataFrame) -> DataFrame:
     """One row for each quarantined borrower, with what its rows agree in."""
     sets = customers.filter("is_quarantined").select("member_id", *SHARED).distinct()
-    same = sets.groupBy("member_id").agg(*same_values(SHARED))
-    agreed = [F.when(F.col(f"same_{c}"), F.col(c)).alias(c) for c in SHARED]
-    return sets.join(same, "member_id").select("member_id", *agreed).distinct()
+    differ = sets.groupBy("member_id").agg(*differing(SHARED))
+    agreed = [F.when(~F.col(f"differ_{c}"), F.col(c)).alias(c) for c in SHARED]
+    return sets.join(differ, "member_id").select("member_id", *agreed).distinct()
 
 
 def wide_customer_loans(

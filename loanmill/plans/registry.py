@@ -909,7 +909,7 @@ def grade_migration(spark, sf_dir):
 @query
 def rolling_scores(spark, sf_dir):
     """Mean scores over three months of issue, by grade."""
-    scores = single_pass.scores(_keyed(spark, sf_dir), "issue_date")
+    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir), "issue_date"), "scores")
     return history.rolling_scores(reports.monthly_partials(scores))
 
 
@@ -1078,11 +1078,14 @@ def stream_joined_payments(spark, sf_dir):
     )
     streams = []
     for name, table in (("loans", loans), ("repayments", repayments)):
-        table = writers.stage(table, name)
-        for arrival in range(8):
+        table, path = writers.stage(table, name), f"{folder}/{name}"
+        first, last = table.agg(F.min("arrival"), F.max("arrival")).first()
+        for arrival in range(first, last + 1) if first is not None else ():
             rows = table.filter(F.col("arrival") == arrival).drop("arrival")
-            rows.write.mode("append").parquet(f"{folder}/{name}")
-        streams.append(joins.table_stream(spark, f"{folder}/{name}", table.drop("arrival").schema, files=8))
+            rows.write.mode("append").parquet(path)
+        files = len(readers.read_parquet(spark, path).inputFiles())
+        stream = joins.table_stream(spark, path, table.drop("arrival").schema, files=1 + files // 10)
+        streams.append(stream)
     joined = joins.loan_payments(*streams, late="500 days", apart="28 days")
     stream = joins.write_stream(joins.payment_points(joined), f"{folder}/points", f"{folder}/checkpoint")
     stream.awaitTermination()

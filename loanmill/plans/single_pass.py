@@ -264,19 +264,20 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     sets = rows.join(colliding, "member_id", "left_semi").select(
         "member_id", *_named({c: value(c) for c in serving.SHARED})
     )
-    same = sets.groupBy("member_id").agg(*serving.same_values(serving.SHARED))
+    differ = sets.groupBy("member_id").agg(*serving.differing(serving.SHARED))
     loan, payment = F.col("is_loan"), F.col("is_loan") & F.col("is_repayment")
     single = ~F.col("is_quarantined")
 
     def own(name: str) -> Column:
         if name in serving.CONFLICTING:
             return where(single, value(name), name)
-        return where(F.coalesce(f"same_{name}", F.lit(True)), value(name), name)
+        # Nothing is said of keys that do not collide.
+        return F.when(F.col(f"differ_{name}"), F.lit(None)).otherwise(value(name)).alias(name)
 
     marked = (
         rows.join(repeated, "member_id", "left")
         .withColumn("is_quarantined", F.col("n_loans").isNotNull())
-        .join(same, "member_id", "left")
+        .join(differ, "member_id", "left")
     )
     wide = (
         where(loan, F.col("loan_id"), "loan_id"),
