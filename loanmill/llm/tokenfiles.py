@@ -25,6 +25,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ _PLAIN = f"^{_PLAIN}(\\n{_PLAIN})*$"
 #: Their pieces by the pattern of byte-level vocabularies.
 _PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
 #: Words whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 600_000, 64
 #: Bytes of texts that are encoded together.
 TOGETHER = 12 << 20
 #: Parts whose tokens are added up in one group.
@@ -182,6 +183,12 @@ class Encoder:
         return ids, np.bincount(text_of, sizes[unit], len(texts)).astype(np.int64)
 
 
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: str) -> Encoder:
+    """A worker's encoder: it is loaded once and remembers words over tasks."""
+    return Encoder(vocabulary)
+
+
 def encode(documents: DataFrame, vocabulary: str, end_id: int | None = None) -> DataFrame:
     """``doc_id``, ``ids``, ``n_tokens`` and ``ids_crc32`` of every row; a NULL
     text is empty, and ``end_id`` follows each text if given.
@@ -200,7 +207,7 @@ def encode(documents: DataFrame, vocabulary: str, end_id: int | None = None) ->
         return _ids_batch(rows.column("doc_id"), ids, sizes, "<u2" if small else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, n = Encoder(vocabulary), [], 0
+        encoder, held, n = _encoder(vocabulary), [], 0
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
             ends = np.cumsum(sizes.astype(np.int64))
