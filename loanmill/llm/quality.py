@@ -169,16 +169,22 @@ def train(
     Without any positive the prior says it all and every text scores the same.
     """
     sample = sample or Sample()
-    key = F.xxhash64("doc_id", F.lit(sample.seed)).alias("key")
+    key = F.xxhash64("doc_id", "text", F.lit(sample.seed)).alias("key")
     named = documents.select("doc_id", "text").filter(training & F.col("doc_id").isNotNull())
+    named = named.select("doc_id", "text", key)
     good = labels.filter("quality = 1").select("doc_id").filter(training).distinct()
-    chosen = good.select("doc_id", key).orderBy("key", "doc_id").limit(sample.positives)
-    others = named.select("doc_id", key).orderBy("key", "doc_id").limit(sample.unlabelled)
-    ids = chosen.withColumn("is_positive", F.lit(True)).unionByName(
-        others.withColumn("is_positive", F.lit(False))
-    )
-    # Bounded by the sample's two sizes.
-    rows = _feature_rows(named.join(F.broadcast(ids), "doc_id")).collect()
+
+    def picked(rows: DataFrame, size: int, positive: bool) -> DataFrame:
+        """Keys of rows, by the order of their hashes: of rows and not of ids,
+        since one id may have very many."""
+        keys = rows.select("key").orderBy("key").limit(size).distinct()
+        return keys.withColumn("is_positive", F.lit(positive))
+
+    labelled = named.select("doc_id", "key").join(good, "doc_id", "left_semi")
+    chosen = picked(labelled, sample.positives, True).unionByName(picked(named, sample.unlabelled, False))
+    # Rows alike in id and text are one here, so the sample's two sizes bound
+    # what comes to the driver.
+    rows = _feature_rows(named.join(F.broadcast(chosen), "key")).dropDuplicates(["key", "is_positive"]).collect()
     rows.sort(key=lambda r: (r.key, r.row))
 
     def matrix(positive: bool) -> np.ndarray:

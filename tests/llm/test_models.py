@@ -132,6 +132,62 @@ def test_quality_edges(spark, edge_documents, edge_rows, no_documents):
     assert quality.score(no_documents, model).count() == 0
 
 
+def test_one_id_in_most_rows_leaves_the_sample_bounded(spark, monkeypatch):
+    """What reaches the driver is counted: rows, and not ids with all their rows."""
+    rows = [(7, f"text {i} of the same id") for i in range(3000)] + [(7, "again")] * 500
+    rows += [(i, f"another text {i}") for i in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), *[(i, i % 2) for i in range(100, 400)]], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "estimate_prior", lambda p, u, _: seen.append((len(p), len(u))) or 0.5)
+    model = quality.train(docs, labels, F.lit(True), quality.Sample(positives=40, unlabelled=60, steps=5))
+    assert 4 <= seen[0][0] <= 40 and 4 <= seen[0][1] <= 60
+    assert quality.score(docs, model).count() == len(rows)
+
+
+def plain_features(text):
+    """The same row, pair by pair and word by word."""
+    data = text.encode()
+    kinds = [int(quality.KINDS[b]) for b in data]
+    pairs = np.zeros(quality.PAIRS)
+    for a, b in zip(kinds, kinds[1:]):
+        pairs[a * quality.N_KINDS + b] += 1
+    words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+    n = max(len(words), 1)
+    again = sum(a == b for a, b in zip(words, words[1:]))
+    shape = [np.log1p(len(data)), np.log1p(len(data) / n), len(set(words)) / n, np.sqrt(again / n)]
+    return np.concatenate([np.sqrt(pairs / max(len(data), 1)), shape])
+
+
+def test_features_are_those_of_plain_counting(edge_rows):
+    texts = [t or "" for _, t in edge_rows]
+    blobs = [t.encode() for t in texts]
+    offs = np.concatenate([[0], np.cumsum([len(b) for b in blobs])])
+    got = quality.features(np.frombuffer(b"".join(blobs), np.uint8), offs)
+    for row, text in zip(got, texts):
+        assert row == pytest.approx(plain_features(text), abs=1e-5)
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.9])
+def test_step_goes_down_the_risk(prior):
+    """The first step's direction is that of the numerical gradient."""
+    rng = np.random.default_rng(2)
+    p, u = rng.normal(0.5, 1, (1, 4)).astype(np.float32), rng.normal(-0.5, 1, (1, 4)).astype(np.float32)
+    loss = lambda x: np.log1p(np.exp(x))
+
+    def risk(w):
+        negative = (loss(u @ w) - prior * loss(p @ w)).mean()
+        good = prior * loss(-(p @ w)).mean()
+        return good + negative if negative >= 0 else -negative
+
+    at = np.zeros(4)
+    slope = np.array([(risk(at + h) - risk(at - h)) / 2e-4 for h in 1e-4 * np.eye(4)])
+    sample = quality.Sample(steps=1, batch=3, rate=0.1, decay=0.0)
+    step = quality.fit_risk(p, u, prior, sample)
+    # Adam's first step has the gradient's signs and the size of the rate.
+    assert step == pytest.approx(-0.1 * np.sign(slope), abs=1e-4)
+
+
 def test_prior():
     rng = np.random.default_rng(6)
     good, bad = rng.normal(1.5, 1, (4000, 3)), rng.normal(-1.5, 1, (4000, 3))
