@@ -63,10 +63,20 @@ def _tables(spark: SparkSession, sf_dir: str) -> pipeline.CleanTables:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table with keys, stored: jobs that read it twice prune each scan."""
+    """The raw table with keys, stored: for jobs that need most of its columns
+    several times. Others read what they need of it, for counts the key alone."""
     return writers.stage(_keyed(spark, sf_dir), "raw_keyed")
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """The rows to be scored, stored: the raw table's expressions end here."""
+    return writers.stage(rows, "kept")
+
+
+def _scores(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    return single_pass.scores(_keyed(spark, sf_dir), *keep, cut=_kept)
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four splits as scans of the stored raw table."""
     return ingest.split(_stored(spark, sf_dir))
@@ -390,17 +400,17 @@ def quarantine_list_of_tables(spark, sf_dir):
 
 @query
 def customers_new(spark, sf_dir):
-    return _without_time(single_pass.customers_new(_stored(spark, sf_dir)))
+    return _without_time(single_pass.customers_new(_keyed(spark, sf_dir)))
 
 
 @query
 def delinq_new(spark, sf_dir):
-    return single_pass.delinquencies_new(_stored(spark, sf_dir))
+    return single_pass.delinquencies_new(_keyed(spark, sf_dir))
 
 
 @query
 def detail_new(spark, sf_dir):
-    return single_pass.detail_new(_stored(spark, sf_dir))
+    return single_pass.detail_new(_keyed(spark, sf_dir))
 
 
 @query
@@ -413,7 +423,7 @@ def loans_not_quarantined(spark, sf_dir):
 
 @query
 def member_freq_customers_new(spark, sf_dir):
-    kept = single_pass.customers_new(_stored(spark, sf_dir))
+    kept = single_pass.customers_new(_keyed(spark, sf_dir))
     return reports.frequencies(kept, "member_id")
 
 
@@ -422,22 +432,22 @@ def member_freq_customers_new(spark, sf_dir):
 
 @query
 def payment_points(spark, sf_dir):
-    return single_pass.payment_points(_stored(spark, sf_dir))
+    return single_pass.payment_points(_keyed(spark, sf_dir))
 
 
 @query
 def default_points(spark, sf_dir):
-    return single_pass.default_points(_stored(spark, sf_dir))
+    return single_pass.default_points(_keyed(spark, sf_dir))
 
 
 @query
 def financial_points(spark, sf_dir):
-    return single_pass.financial_points(_stored(spark, sf_dir))
+    return single_pass.financial_points(_keyed(spark, sf_dir))
 
 
 @query
 def loan_score(spark, sf_dir):
-    return single_pass.scores(_stored(spark, sf_dir))
+    return _scores(spark, sf_dir)
 
 
 @query
@@ -495,7 +505,7 @@ def customer_loans_salted(spark, sf_dir):
 
 @query
 def grade_distribution(spark, sf_dir):
-    return reports.grade_distribution(single_pass.scores(_stored(spark, sf_dir)))
+    return reports.grade_distribution(_scores(spark, sf_dir))
 
 
 @query
@@ -510,7 +520,7 @@ def grade_slice(spark, sf_dir):
 
 @query
 def scored_count(spark, sf_dir):
-    return reports.row_counts(loan_score=single_pass.scores(_stored(spark, sf_dir)))
+    return reports.row_counts(loan_score=_scores(spark, sf_dir))
 
 
 # The 20-100 rules
@@ -551,17 +561,17 @@ def hundred_payment_as_written(spark, sf_dir):
 
 @query
 def hundred_defaulters(spark, sf_dir):
-    return single_pass.hundred_defaulters(_stored(spark, sf_dir))
+    return single_pass.hundred_defaulters(_keyed(spark, sf_dir))
 
 
 @query
 def hundred_financial(spark, sf_dir):
-    return single_pass.hundred_financial(_stored(spark, sf_dir))
+    return single_pass.hundred_financial(_keyed(spark, sf_dir))
 
 
 @query
 def hundred_final(spark, sf_dir):
-    return single_pass.hundred_scores(_stored(spark, sf_dir))
+    return single_pass.hundred_scores(_keyed(spark, sf_dir), cut=_kept)
 
 
 @query
@@ -581,7 +591,7 @@ def hundred_final_joined(spark, sf_dir):
 def hundred_saved(spark, sf_dir):
     """The six saved columns, written and read back."""
     path = writers.work_folder(spark, "hundred_scores")
-    hundred.save_loan_scores(single_pass.hundred_scores(_stored(spark, sf_dir)), path)
+    hundred.save_loan_scores(single_pass.hundred_scores(_keyed(spark, sf_dir), cut=_kept), path)
     return readers.read_parquet(spark, path)
 
 
@@ -702,13 +712,13 @@ def external_loans(spark, sf_dir):
 @query
 def monthly_scores(spark, sf_dir):
     return reports.monthly_scores(
-        single_pass.scores(_stored(spark, sf_dir), "issue_date")
+        _scores(spark, sf_dir, "issue_date")
     )
 
 
 @query
 def score_report(spark, sf_dir):
-    scores = single_pass.scores(_stored(spark, sf_dir), "loan_purpose", "address_state")
+    scores = _scores(spark, sf_dir, "loan_purpose", "address_state")
     cleaned = scores.withColumns(
         {
             "loan_purpose": s.purpose_bucket(F.col("loan_purpose")),
@@ -721,7 +731,7 @@ def score_report(spark, sf_dir):
 @query
 def score_report_by_grade(spark, sf_dir):
     return reports.score_report(
-        single_pass.scores(_stored(spark, sf_dir)), "loan_final_grade"
+        _scores(spark, sf_dir), "loan_final_grade"
     )
 
 
@@ -768,21 +778,14 @@ def parquet_roundtrip(spark, sf_dir):
 def stream_scores(spark, sf_dir):
     """Scores of a stream of repayments; equal to the batch scores."""
     folder = writers.work_folder(spark, "stream")
-    kept = _stored_tables(spark, sf_dir)
-    known = writers.stage(
-        scoring.ledger(
-            kept.loans,
-            kept.customers,
-            kept.loans_defaulters_delinq,
-            kept.loans_defaulters_detail_rec_enq,
-        ),
-        "ledger",
-    )
+    keyed = _keyed(spark, sf_dir)
+    known = writers.stage(single_pass.ledger(keyed), "ledger")
+    paid = cleaning.clean_repayments(ingest.split_repayments(keyed))
     repayments = f"{folder}/repayments"
-    writers.write_parquet(kept.loans_repayments, repayments)
+    writers.write_parquet(paid, repayments)
     # A new stream each time: the old one's results and progress go.
     scored = f"{folder}/scores-{uuid.uuid4().hex}"
-    stream = streaming.repayment_stream(spark, repayments, kept.loans_repayments.schema)
+    stream = streaming.repayment_stream(spark, repayments, paid.schema)
     job = streaming.write_stream(
         streaming.score_stream(stream, known), scored, f"{scored}-checkpoint"
     )
@@ -874,7 +877,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of five runs, a partition each. From run to run a fifth of the
     loans is left out, and scores go up and down by a rule on the loan's number."""
     folder = writers.work_folder(spark, "daily")
-    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir)), "scores")
+    scores = writers.stage(_scores(spark, sf_dir), "scores")
     number = _number("loan_id")
     for run, day in enumerate(RUNS):
         step = F.expr("300") * (F.floor((number + run) / 2) % 3)
@@ -909,7 +912,7 @@ def grade_migration(spark, sf_dir):
 @query
 def rolling_scores(spark, sf_dir):
     """Mean scores over three months of issue, by grade."""
-    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir), "issue_date"), "scores")
+    scores = writers.stage(_scores(spark, sf_dir, "issue_date"), "scores")
     return history.rolling_scores(reports.monthly_partials(scores))
 
 
@@ -918,7 +921,7 @@ def monthly_scores_merged(spark, sf_dir):
     """Monthly scores from the partials of three days with a part of the loans
     each; adding a day reads that day alone."""
     folder = writers.work_folder(spark, "partials")
-    scores = writers.stage(single_pass.scores(_keyed(spark, sf_dir), "issue_date"), "scores")
+    scores = writers.stage(_scores(spark, sf_dir, "issue_date"), "scores")
     for i, day in enumerate(RUNS[:3]):
         part = scores.filter(_number("loan_id") % 3 == i)
         writers.write_dated(part, f"{folder}/loan_score/daily", day)

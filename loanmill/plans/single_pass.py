@@ -4,14 +4,15 @@ A raw row holds everything about its loan, and only borrowers with a single
 raw row are scored. So each job here counts the borrowers' rows, filters rows
 by what their tables would keep, turns texts into points and drops the rows of
 repeated borrowers by an anti join: rows that no score needs never move. The
-raw table is read twice, once for a single column, so give these jobs a stored
-one. The loan id is taken to be the raw table's primary key, which the loan
+raw table is read twice, once for the borrower's key alone; nothing is copied.
+The loan id is taken to be the raw table's primary key, which the loan
 checks report on; for tables that were stored apart use
 ``scoring.score_tables``, which joins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -146,17 +147,37 @@ def financial_points(keyed: DataFrame) -> DataFrame:
     )
 
 
-def scores(keyed: DataFrame, *keep: str, rules: Rules = RULES) -> DataFrame:
+def ledger(keyed: DataFrame) -> DataFrame:
+    """The same as ``scoring.ledger``: what is known of each loan that can be
+    scored, apart from its payments."""
+    points = [*scoring.default_point_columns(), *scoring.financial_point_columns()]
+    kept = ("loan_id", "funded_amount", "monthly_installment")
+    return _kept_rows(keyed, ("is_loan", *DEFAULT, "is_customer"), *kept, *points)
+
+
+Cut = Callable[[DataFrame], DataFrame]
+
+
+def _no_cut(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def scores(
+    keyed: DataFrame, *keep: str, rules: Rules = RULES, cut: Cut = _no_cut
+) -> DataFrame:
     """Scores and grades; ``keep`` names cleaned columns to carry along.
 
-    Long texts become points before rows move.
+    Long texts become points before rows move. ``cut`` may store the rows that
+    are to be scored, a few numbers each: where the raw table is derived by long
+    expressions, these and the points would be too much generated code for one
+    method, which is then not compiled.
     """
     status, home, grade = scoring.text_point_columns(rules)
     carried = [c for c in ("grade", "sub_grade") if c not in keep]
     kept = _kept_rows(
         keyed, SCORED, "loan_id", *keep, *scoring.NUMBERS, *carried, status, home
     )
-    points = kept.select(
+    points = cut(kept).select(
         "*",
         grade,
         *scoring.payment_point_columns(rules),
@@ -200,12 +221,14 @@ def hundred_financial(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
     )
 
 
-def hundred_scores(keyed: DataFrame, profile: str = "numeric") -> DataFrame:
-    """Scores and grades of the 20-100 rules."""
+def hundred_scores(
+    keyed: DataFrame, profile: str = "numeric", cut: Cut = _no_cut
+) -> DataFrame:
+    """Scores and grades of the 20-100 rules; ``cut`` as in ``scores``."""
     kept = _kept_rows(
         keyed, SCORED, "loan_id", *scoring.NUMBERS, *_named(hundred.text_columns())
     )
-    points = kept.withColumns(
+    points = cut(kept).withColumns(
         {
             **hundred.payment_columns(profile),
             **hundred.default_columns(),

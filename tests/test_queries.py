@@ -6,6 +6,9 @@ import compare
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from loanmill.operators import ingest
+from loanmill.plans import single_pass
+from loanmill.sources import derived, writers
 
 NAMES = sorted(queries())
 
@@ -58,15 +61,33 @@ def test_no_python_no_cross_join_no_sort_aggregate(spark, sf_dir, name):
     assert "ResolvedHint" not in plan
 
 
-@pytest.mark.parametrize("name", ["loan_score", "hundred_final", "detail_new"])
+SINGLE_PASS = {
+    "loan_score": single_pass.scores,
+    "hundred_final": single_pass.hundred_scores,
+    "detail_new": single_pass.detail_new,
+}
+
+
+@pytest.mark.parametrize("name", SINGLE_PASS)
 def test_counts_are_narrow(spark, sf_dir, large_tables, name):
     """Borrowers are counted over one column; rows move once, to the list."""
-    plan = plan_of(queries()[name](spark, sf_dir))
+    stored = writers.stage(ingest.with_member_id(derived.raw_loans(spark, sf_dir)), "narrow_keyed")
+    plan = plan_of(SINGLE_PASS[name](stored))
     assert len(re.findall(r"Exchange hashpartitioning\(member_id", plan)) == 2
     assert "LeftAnti" in plan
     assert "ReadSchema: struct<member_id:string>" in plan
 
 
+@pytest.mark.parametrize("name", ["payment_points", "detail_new", "customers_new"])
+def test_raw_rows_are_not_copied(spark, sf_dir, large_tables, name):
+    """From the order tables themselves: payments are read once, if at all, and
+    the count of borrowers reads what their keys are made of."""
+    plan = plan_of(queries()[name](spark, sf_dir))
+    assert "LeftAnti" in plan and "raw_keyed" not in plan
+    assert len(re.findall(r"ReadSchema: struct<[^>]*l_extendedprice", plan)) == (name == "payment_points")
+    assert re.search(r"ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>", plan)
+
+
 def test_payments_of_all_loans_move_nothing(spark, sf_dir, large_tables):
     plan = plan_of(queries()["hundred_payment"](spark, sf_dir))
     assert "hashpartitioning(member_id" not in plan
