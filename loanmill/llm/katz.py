@@ -56,7 +56,7 @@ from loanmill.llm.exchange import bucket_of
 
 KEPT, LARGE = 5, 1000
 #: Tokens of a chunk, and bytes of text for each bucket.
-CHUNK, BUCKET_BYTES = 1_600_000, 12 << 20
+CHUNK, BUCKET_BYTES = 1_300_000, 9 << 20
 #: The hash that stands for the end of a text; numbers of the unknown word and
 #: of the beginning, which is a history only.
 END, UNKNOWN, BEGIN = np.uint64(0x9D8A7C6B5E4F3021), 0, 1
