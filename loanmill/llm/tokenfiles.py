@@ -46,8 +46,9 @@ _PLAIN = f"[{_LETTERS}0-9{_MARKS}]+"
 _PLAIN = f"^{_PLAIN}(\\n{_PLAIN})*$"
 #: Their pieces by the pattern of byte-level vocabularies.
 _PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
-#: Words whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 600_000, 64
+#: Words whose ids a worker remembers, and the longest of them; pieces of so few
+#: letters are remembered too.
+REMEMBERED, LONGEST, SHORT = 400_000, 64, 4
 #: Bytes of texts that are encoded together.
 TOGETHER = 12 << 20
 #: Parts whose tokens are added up in one group.
@@ -109,6 +110,7 @@ class Encoder:
         self.letters = _byte_letters()
         self.letters[9] = 9  # a tab is between pieces
         self.known: dict[str, bytes] = {}
+        self.short: dict[str, list[int]] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids through the library's own pipeline."""
@@ -121,14 +123,21 @@ class Encoder:
         text = "\t".join(pieces).encode()
         letters = self.letters[np.frombuffer(text, np.uint8)].tobytes().decode("utf-16-le")
         found, counts, tokenize = array("I"), array("I"), self.model.tokenize
+        short = self.short
         for piece in letters.split("\t"):
-            tokens = tokenize(piece)
-            found.extend([t.id for t in tokens])
-            counts.append(len(tokens))
+            ids = short.get(piece)
+            if ids is None:
+                ids = [t.id for t in tokenize(piece)]
+                if len(piece) <= SHORT:
+                    short[piece] = ids
+            found.extend(ids)
+            counts.append(len(ids))
+        if len(short) > REMEMBERED // 4:
+            short.clear()
         last = np.cumsum([piece.count("\t") + 1 for piece in pieces]) - 1
         ends = (4 * np.cumsum(counts)[last]).tolist()
-        ids = found.tobytes()
-        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        packed = found.tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def learn(self, words: list[str], is_plain: np.ndarray) -> list[bytes]:
         """Ids of the words, each after a space."""
