@@ -730,6 +730,7 @@ ORACLES: dict[str, str] = {
         "select * replace (cast(annual_inc as decimal(28,4)) as annual_inc) from split_customers",
         2,
     ),
+    "single_file_csv": _sql("select member_id, 1 as n_files from bad", 4),
     "csv_pipeline": _COUNTS,
     "parquet_roundtrip": _sql("select * from loans", 3),
     "stream_scores": _SCORE_ROWS,

@@ -755,6 +755,15 @@ def csv_roundtrip(spark, sf_dir):
     return readers.read_csv(spark, path, schemas.CUSTOMERS)
 
 
+@query
+def single_file_csv(spark, sf_dir):
+    """The quarantine list as one CSV file, read back with the number of files."""
+    path = writers.work_folder(spark, "single_csv")
+    writers.write_csv(single_pass.quarantine_list(_keyed(spark, sf_dir)), path, single_file=True)
+    back = readers.read_csv(spark, path, "member_id string")
+    return back.withColumn("n_files", F.lit(len(back.inputFiles())))
+
+
 @query
 def csv_pipeline(spark, sf_dir):
     """Split to CSV, read the four files back, clean and count."""
