@@ -139,8 +139,9 @@ class Encoder:
         packed = found.tobytes()
         return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
-    def learn(self, words: list[str], is_plain: np.ndarray) -> list[bytes]:
-        """Ids of the words, each after a space."""
+    def learn(self, words: list[str], is_plain: np.ndarray, often: np.ndarray) -> list[bytes]:
+        """Ids of the words, each after a space. Those that a block has several
+        times are remembered: the others hardly ever come again."""
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         out = list(map(self.known.get, words))
@@ -150,7 +151,7 @@ class Encoder:
             if some:
                 for i, ids in zip(some, found([words[i] for i in some]), strict=True):
                     out[i] = ids
-                    if len(words[i]) <= LONGEST:
+                    if often[i] and len(words[i]) <= LONGEST:
                         self.known[words[i]] = ids
         return out
 
@@ -172,9 +173,10 @@ class Encoder:
         # Words after a space, first words, and texts that are not split.
         later = np.repeat(split, counts)
         later[starts] = False
-        used = np.flatnonzero(np.bincount(index[later], minlength=len(distinct)))
+        times = np.bincount(index[later], minlength=len(distinct))
+        used = np.flatnonzero(times)
         firsts, rest = np.flatnonzero(split), np.flatnonzero(~split)
-        blobs = self.learn([distinct[i] for i in used], is_plain[used])
+        blobs = self.learn([distinct[i] for i in used], is_plain[used], times[used] > 1)
         blobs += self.whole([distinct[index[i]] for i in starts[firsts]])
         blobs += self.whole([texts[int(i)].as_py() for i in rest])
         place = np.zeros(len(distinct), np.int64)
