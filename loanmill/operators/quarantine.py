@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmill.operators.ingest import member_counts
+from loanmill.operators.ingest import REPEATS, member_counts, parted
 
 
 def duplicated_members(table: DataFrame) -> DataFrame:
@@ -24,10 +24,11 @@ def repeated_in(**tables: DataFrame) -> DataFrame:
     each table whether it is that one.
 
     The tables' rows are counted together in one aggregation: one shuffle of
-    partial counts instead of one per table and another for the distinct.
+    partial counts instead of one per table and another for the distinct. Rows
+    that are marked as their borrower's only one are not counted.
     """
     tagged = [
-        table.select("member_id", *[F.lit(int(own == name)).alias(name) for name in tables])
+        parted(table)[1].select("member_id", *[F.lit(int(own == name)).alias(name) for name in tables])
         for own, table in tables.items()
     ]
     rows = reduce(DataFrame.unionByName, tagged)
@@ -42,12 +43,17 @@ def quarantine_list(*tables: DataFrame) -> DataFrame:
 
 def flag_members(table: DataFrame, quarantined: DataFrame) -> DataFrame:
     """The rows with ``is_quarantined``: whether the borrower is on the list,
-    which names each borrower once."""
+    which names each borrower once. Rows that are marked as their borrower's
+    only one stay where they are; the mark is left out."""
+    columns = [c for c in table.columns if c != REPEATS]
+    alone, several = parted(table)
     listed = quarantined.select("member_id", F.lit(True).alias("is_listed"))
-    flagged = table.join(listed, "member_id", "left").withColumn(
-        "is_quarantined", F.coalesce("is_listed", F.lit(False))
+    flagged = several.join(listed, "member_id", "left").select(
+        *columns, F.coalesce("is_listed", F.lit(False)).alias("is_quarantined")
     )
-    return flagged.select(*table.columns, "is_quarantined")
+    if alone is None:
+        return flagged
+    return alone.select(*columns, F.lit(False).alias("is_quarantined")).unionByName(flagged)
 
 
 def exclude_members(table: DataFrame, quarantined: DataFrame) -> DataFrame:
@@ -55,9 +61,13 @@ def exclude_members(table: DataFrame, quarantined: DataFrame) -> DataFrame:
 
     An anti join can shuffle, so the list may outgrow any broadcast. Read the
     list from a table: the adaptive skew join then splits a hot borrower's rows.
-    Keys are never NULL here, so this equals NOT IN without its NULL trap.
+    Keys are never NULL here, so this equals NOT IN without its NULL trap. Rows
+    that are marked as their borrower's only one stay where they are; the mark is
+    left out.
     """
-    return table.join(quarantined.select("member_id"), "member_id", "left_anti")
+    alone, several = parted(table)
+    kept = several.join(quarantined.select("member_id"), "member_id", "left_anti")
+    return kept if alone is None else alone.unionByName(kept).drop(REPEATS)
 
 
 def single_rows(keyed: DataFrame) -> DataFrame:

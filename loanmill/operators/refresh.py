@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loanmill.functions.scalars import row_hash
 from loanmill.sources.catalog import quoted
+from loanmill.sources.writers import COMPRESSION
 
 PART = "part"
 
@@ -48,6 +49,7 @@ def store(rows: DataFrame, database: str, table: str, parts: int, key: str = "me
     writer = _dealt(with_part(rows, parts, key)).write.mode("overwrite").format("parquet")
     # An option of the table: later overwrites replace the partitions they have.
     writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(PART)
+    writer = writer.option("compression", COMPRESSION)
     writer.saveAsTable(quoted(database, table))
     stored = rows.sparkSession.table(quoted(database, table))
     contents(stored).write.mode("overwrite").format("parquet").saveAsTable(

@@ -118,7 +118,8 @@ def wide_customer_loans(
 def wide_view_query(
     customers: str, loans: str, repayments: str, delinquencies: str, detail: str
 ) -> str:
-    """The same rows as the text of a view over catalog tables."""
+    """The same rows as the text of a view over catalog tables; here too loans
+    meet repayments first."""
 
     def listed(alias: str, columns: tuple[str, ...]) -> str:
         return ", ".join(f"{alias}.{column}" for column in columns)
@@ -137,8 +138,8 @@ def wide_view_query(
         f"FROM {customers} WHERE NOT is_quarantined UNION ALL "
         f"SELECT DISTINCT member_id, true AS is_quarantined, {folded} FROM {sets} s "
         f"JOIN (SELECT member_id, {same} FROM {sets} GROUP BY member_id) USING (member_id)) c "
-        f"LEFT JOIN {loans} l ON l.member_id = c.member_id "
-        f"LEFT JOIN {repayments} r ON r.loan_id = l.loan_id "
         f"LEFT JOIN {delinquencies} d ON d.member_id = c.member_id AND NOT d.is_quarantined "
-        f"LEFT JOIN {detail} e ON e.member_id = c.member_id AND NOT e.is_quarantined"
+        f"LEFT JOIN {detail} e ON e.member_id = c.member_id AND NOT e.is_quarantined "
+        f"LEFT JOIN ({loans} l LEFT JOIN {repayments} r ON r.loan_id = l.loan_id) "
+        f"ON l.member_id = c.member_id"
     )

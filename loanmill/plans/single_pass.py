@@ -246,6 +246,7 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     The records of a quarantined borrower disagree, so the columns that they
     disagree in are NULL there; the loan's own columns are not. Where a key
     stands for several sets of attributes, so are the attributes that differ.
+    Rows that are marked as their borrower's only one do not move.
     """
     everyone = cleaning.unique_customers(ingest.split_customers(keyed))
     mean = cleaning.mean_emp_length(everyone)
@@ -269,7 +270,7 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     def where(condition: Column, value: Column, name: str) -> Column:
         return F.when(condition, value).alias(name)
 
-    rows = cleaned_rows(keyed).filter("is_customer")
+    alone, rows = ingest.parted(cleaned_rows(keyed).filter("is_customer"))
     attributes = s.row_hash(*[value(c) for c in serving.SHARED])
     repeated = (
         rows.groupBy("member_id")
@@ -315,4 +316,8 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     with_loans = marked.filter(single | loan).select(*wide)
     # The rows of such a borrower agree in all that is left of them.
     without = marked.filter("n_loans = 0").select(*wide).distinct()
-    return with_loans.unionByName(without)
+    whole = with_loans.unionByName(without)
+    if alone is None:
+        return whole
+    nothing = {f"differ_{c}": F.lit(False) for c in serving.SHARED}
+    return alone.withColumns({"is_quarantined": F.lit(False), **nothing}).select(*wide).unionByName(whole)

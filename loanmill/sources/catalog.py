@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanmill.sources.writers import COMPRESSION
+
 
 def quoted(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
@@ -69,4 +71,5 @@ def save_managed(
         keys = (bucket_by,) if isinstance(bucket_by, str) else bucket_by
         by_bucket = df.repartition(buckets, *keys)
         writer = by_bucket.write.bucketBy(buckets, *keys).sortBy(*keys)
+    writer = writer.option("compression", COMPRESSION)
     writer.mode("overwrite").format("parquet").saveAsTable(quoted(database, table))
