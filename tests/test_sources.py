@@ -135,3 +135,30 @@ def test_derived_raw_has_the_raw_columns(spark, sf_dir):
     raw = derived.raw_loans(spark, sf_dir)
     assert raw.columns == [f.name for f in schemas.RAW]
     assert raw.count() == 1500
+
+
+def test_payments_of_any_size_are_summed_exactly(spark, tmp_path):
+    from loanmill.sources import derived
+
+    lines = [(1, 9999999999.99, 0.07, 0.08, 9999999999.0, "R")] * 3000
+    lines += [(2, 0.01, 0.01, 0.01, 1.0, "N"), (3, -5.25, 0.5, 0.1, 2.0, "R"), (4, None, 0.1, 0.1, None, "R")]
+    names = "l_orderkey long, l_extendedprice double, l_discount double, l_tax double, l_quantity double, l_returnflag string"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    payments = derived._payments(spark, str(tmp_path))
+    assert {t for _, t in payments.dtypes[1:]} == {"decimal(28,4)"}
+    assert {r[0]: tuple(None if v is None else str(v) for v in r[1:]) for r in payments.collect()} == {
+        1: ("27899999999972.1000", "2399999999997.6000", "29999999997000.0000"),
+        2: ("0.0099", "0.0001", "0.0000"),
+        3: ("-2.6250", "-0.5250", "2.0000"),
+        4: (None, None, None),
+    }
+
+
+def test_long_texts_do_not_move_to_the_payments(spark, sf_dir):
+    from loanmill.sources import derived
+
+    raw = derived.raw_loans(spark, sf_dir)
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Join LeftOuter")
+    narrow = raw.select("id", "emp_title")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in narrow and "l_orderkey" not in narrow
