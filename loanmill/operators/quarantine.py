@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmill.operators.ingest import REPEATS, member_counts, parted
+from loanmill.operators.ingest import mark, member_counts, parted
 
 
 def duplicated_members(table: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def flag_members(table: DataFrame, quarantined: DataFrame) -> DataFrame:
     """The rows with ``is_quarantined``: whether the borrower is on the list,
     which names each borrower once. Rows that are marked as their borrower's
     only one stay where they are; the mark is left out."""
-    columns = [c for c in table.columns if c != REPEATS]
+    columns = [c for c in table.columns if c not in mark(table)]
     alone, several = parted(table)
     listed = quarantined.select("member_id", F.lit(True).alias("is_listed"))
     flagged = several.join(listed, "member_id", "left").select(
@@ -67,7 +67,7 @@ def exclude_members(table: DataFrame, quarantined: DataFrame) -> DataFrame:
     """
     alone, several = parted(table)
     kept = several.join(quarantined.select("member_id"), "member_id", "left_anti")
-    return kept if alone is None else alone.unionByName(kept).drop(REPEATS)
+    return kept if alone is None else alone.unionByName(kept).drop(*mark(table))
 
 
 def single_rows(keyed: DataFrame) -> DataFrame:

@@ -52,7 +52,10 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 
 def store_keyed(keyed: DataFrame, folder: str) -> DataFrame:
     """Store the raw table with keys, marked by ``ingest.with_repeats``: of what
-    is made of it, only the rows of borrowers that may repeat have to move."""
+    is made of it, only the rows of borrowers that may repeat have to move. A table
+    that has a mark is stored as it is."""
+    if ingest.mark(keyed):
+        return _stored(keyed, f"{folder}/raw_keyed")
     hashes = _stored(ingest.repeated_hashes(keyed), f"{folder}/repeated_hashes")
     return _stored(ingest.with_repeats(keyed, hashes), f"{folder}/raw_keyed")
 
@@ -90,7 +93,7 @@ def store_bad_members(tables: CleanTables, folder: str) -> DataFrame:
     for name, members in lists.items():
         members = members.select("member_id")
         writers.write_parquet(members, f"{folder}/{name}")
-        writers.write_csv(members, f"{folder}/{name}_csv")
+        writers.write_csv(members, f"{folder}/{name}_csv", compressed=True)
     return readers.read_parquet(repeated.sparkSession, f"{folder}/{FINAL_LIST}")
 
 
@@ -105,15 +108,23 @@ def clean_all_data(
     """Clean the splits and store them as Parquet, and as CSV if asked to.
 
     Tables with a borrower get ``is_quarantined`` as they are written, so the
-    quarantine is a filter and not a second copy. CSV files are written from
+    quarantine is a filter and not a second copy. Where the splits have
+    ``is_repeated`` that is it, no row meets a list, and the lists are made of the
+    stored tables. CSV files, which are compressed, are written from
     the stored Parquet, not computed a second time. With ``fail_on`` the tables
     that have checks are observed as they are written; all are written before
     one over its limits raises ``publish.QualityError``.
     """
     named = clean_tables(split, at, state_mode).by_name()
-    bad = store_bad_members(CleanTables(**named), f"{folder}/bad_members")
+    is_known = all(ingest.REPEATED in named[name].columns for name in QUARANTINED_TABLES)
+    lists = f"{folder}/bad_members"
+    bad = None if is_known else store_bad_members(CleanTables(**named), lists)
     for name in QUARANTINED_TABLES:
-        named[name] = quarantine.flag_members(named[name], bad)
+        if is_known:
+            columns = [c for c in named[name].columns if c not in ingest.mark(named[name])]
+            named[name] = named[name].select(*columns, F.col(ingest.REPEATED).alias("is_quarantined"))
+        else:
+            named[name] = quarantine.flag_members(named[name], bad)
     audits = {}
     for name, df in named.items():
         path = f"{folder}/{name}_parquet"
@@ -123,6 +134,9 @@ def clean_all_data(
             writers.write_parquet(df, path)
         named[name] = df.sparkSession.read.schema(df.schema).parquet(path)
     stored = CleanTables(**named)
+    if is_known:
+        marked = {n: t.withColumnRenamed("is_quarantined", ingest.REPEATED) for n, t in named.items()}
+        store_bad_members(CleanTables(**marked), lists)
     for name, report in audits.items():
         publishing.audit(name, report, fail_on)
     _stored(
@@ -131,7 +145,7 @@ def clean_all_data(
     )
     if csv:
         for name, table in stored.by_name().items():
-            writers.write_csv(table, f"{folder}/{name}_csv")
+            writers.write_csv(table, f"{folder}/{name}_csv", compressed=True)
     return stored
 
 

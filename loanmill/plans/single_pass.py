@@ -239,14 +239,23 @@ def hundred_scores(
     return hundred.weighted_scores(points.select("loan_id", "member_id", *names))
 
 
-def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def _no_stage(rows: DataFrame, name: str) -> DataFrame:
+    return rows
+
+
+def wide_rows(keyed: DataFrame, state_mode: str = "length", stage: Stage = _no_stage) -> DataFrame:
     """Every loan whose borrower is a customer, once, in a wide row; and one row
     without a loan for a customer who has none that is complete.
 
     The records of a quarantined borrower disagree, so the columns that they
     disagree in are NULL there; the loan's own columns are not. Where a key
     stands for several sets of attributes, so are the attributes that differ.
-    Rows that are marked as their borrower's only one do not move.
+    Rows that are marked as their borrower's only one do not move. ``stage`` may
+    store the short lists of borrowers that others than they meet: where such a
+    list's size is known before the rows are read, these stay as well.
     """
     everyone = cleaning.unique_customers(ingest.split_customers(keyed))
     mean = cleaning.mean_emp_length(everyone)
@@ -272,23 +281,21 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
 
     alone, rows = ingest.parted(cleaned_rows(keyed).filter("is_customer"))
     attributes = s.row_hash(*[value(c) for c in serving.SHARED])
-    repeated = (
-        rows.groupBy("member_id")
-        .agg(
-            F.count("*").alias("total"),
-            F.count_if("is_loan").alias("n_loans"),
-            (F.min(attributes) < F.max(attributes)).alias("collides"),
-        )
-        .filter("total > 1")
-        .select("member_id", "n_loans", "collides")
+    counts = rows.groupBy("member_id").agg(
+        F.count("*").alias("total"),
+        F.count_if("is_loan").alias("n_loans"),
+        (F.min(attributes) < F.max(attributes)).alias("collides"),
     )
+    # Marked borrowers have several rows, nearly all of them with a loan. The list
+    # has those who are different.
+    others = stage(counts.filter("total = 1 or n_loans = 0 or collides"), "others")
     # Attributes are compared one by one only for keys that stand for several
     # sets of them: hardly any, and then the rows are not read again.
-    colliding = repeated.filter("collides").select("member_id")
+    colliding = others.filter("collides").select("member_id")
     sets = rows.join(colliding, "member_id", "left_semi").select(
         "member_id", *_named({c: value(c) for c in serving.SHARED})
     )
-    differ = sets.groupBy("member_id").agg(*serving.differing(serving.SHARED))
+    differ = stage(sets.groupBy("member_id").agg(*serving.differing(serving.SHARED)), "differ")
     loan, payment = F.col("is_loan"), F.col("is_loan") & F.col("is_repayment")
     single = ~F.col("is_quarantined")
 
@@ -299,8 +306,8 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
         return F.when(F.col(f"differ_{name}"), F.lit(None)).otherwise(value(name)).alias(name)
 
     marked = (
-        rows.join(repeated, "member_id", "left")
-        .withColumn("is_quarantined", F.col("n_loans").isNotNull())
+        rows.join(others.drop("collides"), "member_id", "left")
+        .withColumn("is_quarantined", F.coalesce(F.col("total") > 1, F.lit(True)))
         .join(differ, "member_id", "left")
     )
     wide = (
@@ -315,7 +322,7 @@ def wide_rows(keyed: DataFrame, state_mode: str = "length") -> DataFrame:
     )
     with_loans = marked.filter(single | loan).select(*wide)
     # The rows of such a borrower agree in all that is left of them.
-    without = marked.filter("n_loans = 0").select(*wide).distinct()
+    without = marked.filter("is_quarantined and n_loans = 0").select(*wide).distinct()
     whole = with_loans.unionByName(without)
     if alone is None:
         return whole

@@ -19,14 +19,16 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, compressed: bool = False) -> None:
     """CSV with a header, in as many files as there are partitions.
 
     ``single_file`` brings all rows to one task: for small exports only.
+    ``compressed`` writes ``.csv.gz``, for files that Spark reads again.
     """
     if single_file:
         df = df.repartition(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("header", True)
+    writer.option("compression", "gzip" if compressed else "none").csv(path)
 
 
 def write_dated(df: DataFrame, path: str, day: date, column: str = "score_date"):
