@@ -10,9 +10,11 @@ Documents with the same shingles are one class from the start. Within a bucket
 of a band only star-shaped pairs are made: every class with one center. Pairs
 are confirmed on their full sets, and buckets whose classes are then all in one
 component are done. The others get some more stars, around classes picked by
-hash, and what is still apart after that is paired between components. So
-copies cost a few pairs each, and no link between different texts that share a
-bucket is lost.
+hash. What is still apart after that is told by what each class has beyond the
+bucket's hub, a class with many links: two classes that are linked and not both
+close to the hub share a shingle that the hub has not (``_rest``). So copies cost
+a few pairs each, also where many of them are unlike each other, and no link
+between different texts that share a bucket is lost.
 
 Components are found by large-star and small-star rounds over tables. Nothing
 of the documents or links reaches the driver.
@@ -244,14 +246,18 @@ def _fingerprint(links: DataFrame) -> tuple:
 
 
 def _open_buckets(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members, with their component, of the buckets that hold several."""
+    """Members, with their component, of the buckets that hold several. After the
+    first star, two classes that share a bucket with no third have met."""
     if roots is not None:
         members = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         members = members.withColumn("root", F.coalesce("root", "doc_id"))
     else:
         members = members.withColumn("root", F.col("doc_id"))
-    ends = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return members.join(ends.filter("low <> high").select("band"), "band")
+    ends = members.groupBy("band").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("total")
+    )
+    least = 2 if roots is None else 3
+    return members.join(ends.filter(f"low <> high and total >= {least}").select("band"), "band")
 
 
 def _any_centers(open_: DataFrame) -> DataFrame:
@@ -275,6 +281,88 @@ def _star(open_: DataFrame, center: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _hubs(open_: DataFrame, links: DataFrame) -> DataFrame:
+    """A ``hub`` for each bucket: the class with most links so far that its members
+    meet in any bucket, by a vote of the members. It need not be in this one."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    known = open_.join(ends.groupBy("doc_id").agg(F.count("*").alias("degree")), "doc_id", "left")
+    ranked = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "doc_id")
+    own = known.groupBy("band").agg(F.max(ranked).alias("best"))
+    best = open_.join(own, "band").groupBy("doc_id").agg(F.max("best").alias("best"))
+    votes = open_.join(best, "doc_id").groupBy("band", "best").agg(F.count("*").alias("votes"))
+    hub = F.max_by(F.col("best.doc_id"), F.struct("votes", "best"))
+    return votes.groupBy("band").agg(hub.alias("hub"))
+
+
+def _beyond(open_: DataFrame, links: DataFrame, documents: DataFrame, like: Likeness) -> DataFrame:
+    """Members of open buckets by their hub: the size ``n`` of their set, how much of
+    it is ``inside`` the hub's, and ``firsts``, the first of the other shingles in
+    the order of all, as many as reach one that a linked class has too.
+
+    Linked sets have ``percent`` of the larger one in common, so of ``n`` at least.
+    What of that is not inside is beyond: if k shingles beyond the hub are common,
+    the first of them has k - 1 others behind it in either set.
+    """
+    met = open_.join(_hubs(open_, links), "band").select("hub", "doc_id", "root")
+    hubs = met.select(F.col("hub").alias("doc_id")).distinct()
+    itself = open_.join(hubs, "doc_id").select(F.col("doc_id").alias("hub"), "doc_id", "root")
+    met = staged(met.unionByName(itself).distinct(), "met")
+    wanted = met.select(F.explode(F.array("hub", "doc_id")).alias("doc_id")).distinct()
+    full = sets(documents.join(wanted, "doc_id", "left_semi"), like)
+    least = F.greatest(F.lit(1), F.ceil((like.percent * F.col("n") - 100 * F.col("inside")) / 100))
+    length = F.greatest(F.lit(0), F.size("beyond") - least + 1).cast("int")
+    rows = (
+        met.join(full, "doc_id")
+        .join(full.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("core")), "hub")
+        # Rows that share an id may give a hub several sets: each is a hub.
+        .select(
+            F.xxhash64("hub", "core").alias("hub"),
+            "doc_id",
+            "root",
+            F.size("shingles").alias("n"),
+            F.array_except("shingles", "core").alias("beyond"),
+        )
+        .withColumn("inside", F.col("n") - F.size("beyond"))
+    )
+    return rows.select("hub", "doc_id", "root", "n", "inside", F.slice("beyond", F.lit(1), length).alias("firsts"))
+
+
+def _several(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the keys that classes of several components have."""
+    ends = rows.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return rows.join(ends.filter("low <> high").select(*keys), list(keys))
+
+
+def _pairs(rows: DataFrame, keys: list[str], condition: Column) -> DataFrame:
+    """Pairs (a, b) of the classes that meet in the keys, of two components, whose
+    sizes allow a link."""
+    sides = [rows.select(*keys, *[F.col(c).alias(f"{c}_{x}") for c in rows.columns if c not in keys]) for x in "ab"]
+    apart = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("root_a") != F.col("root_b"))
+    pairs = sides[0].join(sides[1], keys).filter(apart & condition)
+    return pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+
+
+def _rest(beyond: DataFrame, like: Likeness) -> DataFrame:
+    """Pairs of classes of one hub and two components among which are all links.
+
+    Of a linked pair at least percent * (n_a + n_b) / (100 + percent) shingles are
+    common. Either all of these may be inside the hub, so both have as many there;
+    or one is beyond it, and the pair meets in the first such one. Members that
+    the hub is linked with are of its component, and one that is not linked with it
+    can be close only to a smaller one: hardly any pairs are of the first kind.
+    """
+    inside, n, share = F.col("inside"), F.col("n"), like.percent
+    close = beyond.drop("firsts").filter(100 * inside >= share * n)
+    smallest = close.groupBy("hub").agg(F.min("n").alias("smallest"))
+    close = close.join(smallest, "hub").filter((100 + share) * inside >= share * (n + F.col("smallest")))
+    both = (100 + share) * F.least("inside_a", "inside_b") >= share * (F.col("n_a") + F.col("n_b"))
+    near_hub = _pairs(_several(close.drop("smallest"), "hub"), ["hub"], both)
+    shared = beyond.select("hub", "doc_id", "root", "n", F.explode("firsts").alias("shingle"))
+    sizes = 100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")
+    far = _pairs(_several(shared, "hub", "shingle"), ["hub", "shingle"], sizes)
+    return near_hub.unionByName(far).distinct()
+
+
 def near_duplicates(documents: DataFrame, like: Likeness | None = None, text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the
     smallest id that links lead to, its own included) and ``kept``, whether
@@ -319,18 +407,10 @@ def near_duplicates(documents: DataFrame, like: Likeness | None = None, text: st
     found.append(staged(_confirmed(_star(open_, _any_centers(open_)), classes, heads_only, like), "links"))
     roots = components(reduce(DataFrame.unionByName, found))
 
-    # What no star has joined is paired between components, by signature first.
-    signed_heads = classes.select("doc_id", "n_shingles", "bins")
-    open_ = staged(_open_buckets(open_.drop("root"), roots).join(signed_heads, "doc_id"), "open")
-    left = open_.select("band", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "root", "n_shingles", "bins")])
-    right = open_.select("band", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "root", "n_shingles", "bins")])
-    apart = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("root_a") != F.col("root_b"))
-    rest = (
-        left.join(right, ["band"])
-        .filter(apart & _similar("n_shingles_a", "n_shingles_b", like))
-        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-        .distinct()
-    )
+    # What no star has joined meets by what it has beyond the hub of its bucket.
+    open_ = staged(_open_buckets(open_.drop("root"), roots), "open")
+    links = reduce(DataFrame.unionByName, found)
+    rest = _rest(staged(_beyond(open_, links, heads_only, like), "beyond"), like)
     found.append(staged(_confirmed(rest, classes, heads_only, like), "links"))
     roots = components(reduce(DataFrame.unionByName, found))
 

@@ -73,6 +73,35 @@ def test_copies_that_are_not_all_alike(spark):
     check(documents, rows, 3, 85)
 
 
+def test_copies_unlike_each_other_are_not_all_paired(spark, monkeypatch):
+    """A crowd around one text, most of it linked with none: as many pairs are
+    looked at as there are copies, and the few links among them are found."""
+    rng = random.Random(4)
+    base = [f"t{rng.randint(0, 5000)}" for _ in range(150)]
+
+    def changed(words, places, by):
+        return [f"{by}{k}" if k in places else w for k, w in enumerate(words)]
+
+    rows = [(1, " ".join(base))]
+    for i in range(150):  # a third of them is linked with the text
+        places = set(rng.sample(range(150), 4 if i % 3 == 0 else rng.randint(9, 11)))
+        rows.append((10 + i, " ".join(changed(base, places, f"n{i}x"))))
+    for i in range(20, 32):  # copies of unlinked copies, and shorter ones
+        words = rows[i][1].split()
+        rows.append((400 + i, " ".join(changed(words, {3 + i, 90 + i}, f"m{i}x"))))
+        rows.append((500 + i, " ".join(words[: 150 - i // 2])))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    counts, confirmed = [], neardup._confirmed
+
+    def counting(pairs, *others):
+        counts.append(pairs.count())
+        return confirmed(pairs, *others)
+
+    monkeypatch.setattr(neardup, "_confirmed", counting)
+    check(documents, rows, 3, 85)
+    assert counts[-1] < 3 * len(rows)
+
+
 def test_kept_documents(edge_documents, edge_rows):
     kept = neardup.kept_documents(edge_documents, neardup.Likeness(3, 85))
     assert kept.columns == edge_documents.columns
