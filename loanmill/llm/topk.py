@@ -155,10 +155,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256)
         return F.pmod(F.xxhash64("vec_id", "v"), F.lit(number))
 
     file = _packed(rows, block(blocks), "file", low, width).withColumnRenamed("file", "block")
-    asking = _packed(asked, block(query_blocks), "asked", low, width).withColumn(
+    asking = _packed(asked, block(query_blocks), "asked", low, width).drop("asked_cells").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
-    pairs = asking.join(file, "block").filter("asked_dim = file_dim")
+    # The size that Spark takes the queries to have is that of their rows before
+    # they are packed and go to every block: by it they would be broadcast.
+    pairs = asking.hint("merge").join(file, "block").filter("asked_dim = file_dim")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

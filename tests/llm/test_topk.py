@@ -63,6 +63,16 @@ def test_large_components(spark, small_blocks):
         found(spark.createDataFrame([(i, [1e13 + i]) for i in range(3)], vectors.schema), 1)
 
 
+def test_no_side_is_broadcast(spark, small_blocks):
+    """Small rows make large blocks: Spark would take them to be small."""
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(0, 1, 6).tolist()) for i in range(120)]
+    best = topk.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 2 == 0)
+    assert {tuple(r) for r in best.collect()} == by_force(rows, 5, 2)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.nearest(none, F.col("vec_id") % 50 == 0).count() == 0
