@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
-#: Rows of an Arrow batch: a task holds a few batches of whole texts at a time.
-BATCH_ROWS = "1000"
+#: Rows and bytes of an Arrow batch: a task holds a few batches of whole texts
+#: at a time, and the JVM's buffers for one are up to twice as large.
+BATCH_ROWS, BATCH_BYTES = "1000", "8m"
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -27,8 +28,10 @@ _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Python workers get batches of BATCH_ROWS rows from here on."""
+    """Let Python workers get batches of BATCH_ROWS rows from here on, and no
+    more than one row beyond BATCH_BYTES."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -62,12 +65,12 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: int) -> DataFrame:
     """Write the rows to the shared folder and read them back: a cut of the
-    lineage that a lost executor does not undo."""
+    lineage that a lost executor does not undo. ``options`` are the writer's."""
     small_batches(df.sparkSession)
     path = work_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

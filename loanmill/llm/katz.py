@@ -20,8 +20,10 @@ chunks, so that words and pairs are counted within a chunk before they travel:
    numbers of the words, stored by bucket, come back to the chunks.
 2. A chunk's distinct pairs, with the documents that they stand in, meet in
    buckets of their history. A history with many occurrences is spread over
-   several buckets by the following word. A bucket has all it needs to know of
-   its pairs; what depends on discounts is left open and stored, by bucket.
+   several buckets by the following word. The places of a pair that is frequent
+   in a chunk stay with the chunk, which sends one place for all of them, so no
+   bucket gathers all places of a frequent pair. A bucket has all it needs to
+   know of its pairs; what depends on discounts is left open and stored, by bucket.
 3. With the discounts known, every bucket's share of every document is worked
    out, and the shares are added up by chunk.
 
@@ -57,6 +59,10 @@ from loanmill.llm.exchange import bucket_of
 KEPT, LARGE = 5, 1000
 #: Tokens of a chunk, and bytes of text for each bucket.
 CHUNK, BUCKET_BYTES = 1_300_000, 9 << 20
+#: Cells of a stored row of shares, and a writer's bytes of a row group where
+#: rows are large: a reader holds all rows of a group at a time.
+PIECE = 1 << 18
+SMALL_GROUPS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1}
 #: The hash that stands for the end of a text; numbers of the unknown word and
 #: of the beginning, which is a history only.
 END, UNKNOWN, BEGIN = np.uint64(0x9D8A7C6B5E4F3021), 0, 1
@@ -68,17 +74,21 @@ END, UNKNOWN, BEGIN = np.uint64(0x9D8A7C6B5E4F3021), 0, 1
 def planes(x: np.ndarray, width: int = 5) -> bytes:
     """Whole numbers below 256**width, all lowest bytes first: high bytes are
     mostly zero and compress to nothing."""
-    return b"".join(((x >> (8 * i)) & 255).astype(np.uint8).tobytes() for i in range(width))
+    return np.ascontiguousarray(x, "<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def unplanes(blob: bytes, width: int = 5) -> np.ndarray:
     parts = np.frombuffer(blob, np.uint8).reshape(width, -1)
-    out = np.zeros(parts.shape[1], np.int64)
-    for i in range(width):
-        out |= parts[i].astype(np.int64) << (8 * i)
+    out = np.zeros(parts.shape[1], "<i4" if width == 4 else "<i8")
+    out.view(np.uint8).reshape(-1, out.itemsize)[:, :width] = parts.T
     return out
 
 
+def width_of(x: np.ndarray) -> int:
+    """Bytes that the largest of the numbers needs."""
+    return max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+
+
 def discounts(seen: list[int]) -> np.ndarray:
     """Good-Turing discounts of counts 0 to KEPT, from the numbers of types that
     occur 1 to KEPT + 1 times. Where those give none between 0 and 1, half an
@@ -242,9 +252,14 @@ def _summed(rows: DataFrame, size: int) -> list[int]:
 _PAIR_SCHEMA = "bucket long, chunk long, histories binary, pairs binary, places binary, docs binary"
 
 
-def _pairs(unigrams: Unigrams, n_buckets: int, spread: int, chunk: pa.Table, words: pa.Table) -> pa.Table:
+def _pairs(
+    unigrams: Unigrams, n_buckets: int, spread: int, often: int, chunk: pa.Table, words: pa.Table
+) -> pa.Table:
     """A chunk's distinct pairs for the buckets of their histories, and one row
-    below zero with its documents and what is known of their scores."""
+    below zero with its documents and what is known of their scores.
+
+    A pair of more than ``often`` places is sent with one place, in a document
+    of its own after the chunk's; the row below zero keeps its real ones."""
     row = {name: chunk.column(name)[0].as_py() for name in chunk.column_names}
     place = unplanes(row["place"], 4)
     number, count = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
@@ -257,36 +272,45 @@ def _pairs(unigrams: Unigrams, n_buckets: int, spread: int, chunk: pa.Table, wor
 
     codes, sizes = unplanes(row["codes"], 4), unplanes(row["sizes"])
     train = np.frombuffer(row["flags"], np.uint8) & 1
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    counts = count[codes]
+    n = len(sizes)
+    doc = np.repeat(np.arange(n, dtype=np.int32), sizes)
     before = np.empty_like(codes)
     before[1:] = codes[:-1]
     before[np.cumsum(sizes) - sizes] = -1
     number_of, count_of = np.append(number, BEGIN), np.append(count, unigrams.documents)
-    seen = count_of[before] > 0
-    log_p = np.log10(unigrams.probabilities(counts))
-    n = len(sizes)
+    seen = (count_of > 0)[before]
+    rest = np.flatnonzero(~seen)
     scores = np.concatenate(
         [
-            np.bincount(doc, unigrams.base(counts), n),
-            np.bincount(doc[~seen], log_p[~seen], n),
+            np.bincount(doc, unigrams.base(count)[codes], n),
+            np.bincount(doc[rest], np.log10(unigrams.probabilities(count))[codes[rest]], n),
         ]
     )
-    known = np.bincount(doc[counts > 0], minlength=n)
+    known = np.bincount(doc[(count > 0)[codes]], minlength=n)
 
-    at = np.flatnonzero(seen)
-    pair = (before[at] + 1) * np.int64(len(place) + 1) + codes[at]
+    at = np.flatnonzero(seen).astype(np.int32)
+    pair = (before[at].astype(np.int64) + 1) * (len(place) + 1) + codes[at]
     order = np.argsort(pair, kind="stable")
     at, pair = at[order], pair[order]
     new = np.ones(len(pair), bool)
     new[1:] = pair[1:] != pair[:-1]
     first = np.flatnonzero(new)
+    del order, pair, new, seen, rest
     times = np.diff(np.append(first, len(at)))
-    trained = np.add.reduceat(train[doc[at]].astype(np.int64), first) if len(first) else first
-    history, word = before[at[first]], codes[at[first]]
+    history, word, places = before[at[first]], codes[at[first]], doc[at]
+    del before, codes, doc, at
+    trained = np.add.reduceat(train[places], first, dtype=np.int64) if len(first) else first
+    many = np.flatnonzero(times > often)
+    kept, repeats = np.unique(
+        np.repeat(np.arange(len(many)), times[many]) * n + places[ragged(first[many], times[many])],
+        return_counts=True,
+    )
+    places[first[many]] = n + np.arange(len(many))
+    times[many] = 1
     salts = 1 + count_of[history] // spread * (count_of[history] > spread)
     salt = mix(number[word].astype(np.uint64)) % salts.astype(np.uint64)
     bucket = bucket_of(mix(number_of[history].astype(np.uint64) * np.uint64(65537) + salt), n_buckets)
+    del salts, salt
     by = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
     out: list[tuple] = [
@@ -296,7 +320,7 @@ def _pairs(unigrams: Unigrams, n_buckets: int, spread: int, chunk: pa.Table, wor
             planes(sizes),
             planes(known),
             scores.astype("<f8").tobytes(),
-            row["flags"] + row["ids"],
+            row["flags"] + row["ids"] + planes(np.concatenate([np.diff(kept, prepend=0), repeats])),
         )
     ]
     for a, b in zip(cuts, np.append(cuts, len(by))[1:], strict=True):
@@ -311,7 +335,7 @@ def _pairs(unigrams: Unigrams, n_buckets: int, spread: int, chunk: pa.Table, wor
                 row["chunk"],
                 planes(number_of[h[turn]]) + planes(count_of[h[turn]]) + planes(runs),
                 planes(number[w]) + planes(count[w]) + planes(trained[some]) + planes(times[some]),
-                planes(doc[at[ragged(first[some], times[some])]], 4),
+                planes(places[ragged(first[some], times[some])], 4),
                 None,
             )
         )
@@ -326,31 +350,32 @@ _SHARE_SCHEMA = (
 )
 
 
-def _shares(unigrams: Unigrams, spread: int, large: int, table: pa.Table) -> pa.Table:
+def _shares(unigrams: Unigrams, spread: int, large: int, piece: int, table: pa.Table) -> pa.Table:
     """What a bucket knows of the documents: ``cells`` (chunk, document) with
     the ``sure`` part of their scores, and how often they hold pairs of each
     small count, whose discount is still to come; ``unseen`` pairs as cell and
-    history; and for those histories what their weight depends on."""
+    history; and for those histories what their weight depends on. A row has up
+    to ``piece`` cells; what is summed over all buckets stands in the first one."""
     if table.column("bucket")[0].as_py() < 0:
         row = table.to_pylist()[0]
         values = [row["bucket"], row["chunk"], row["docs"], row["histories"], row["places"], row["pairs"]]
-        return _share_row([*values, None, None, None, None])
-    hist, pairs, places = (table.column(c).to_pylist() for c in ("histories", "pairs", "places"))
-    parts = [np.frombuffer(x, np.uint8).reshape(15, -1) for x in hist]
+        return _share_rows([[*values, None, None, None, None]])
+    parts = [np.frombuffer(x, np.uint8).reshape(15, -1) for x in table.column("histories").to_pylist()]
     h_number, h_count, runs = (
         np.concatenate([unplanes(p[5 * i : 5 * i + 5].tobytes()) for p in parts]) for i in range(3)
     )
-    parts = [np.frombuffer(x, np.uint8).reshape(20, -1) for x in pairs]
+    parts = [np.frombuffer(x, np.uint8).reshape(20, -1) for x in table.column("pairs").to_pylist()]
     number, count, trained, times = (
         np.concatenate([unplanes(p[5 * i : 5 * i + 5].tobytes()) for p in parts]) for i in range(4)
     )
-    chunk = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
-    history, h_count = np.repeat(h_number, runs), np.repeat(h_count, runs)
-    doc = np.concatenate([unplanes(x, 4) for x in places])
+    chunk = np.repeat(np.arange(len(parts), dtype=np.int32), [p.shape[1] for p in parts])
+    del parts
+    run = np.repeat(np.arange(len(runs), dtype=np.int32), runs)
 
     # All records of a pair, and all pairs of a history, side by side.
-    order = np.lexsort((number, history))
-    h, w = history[order], number[order]
+    h = h_number[run]
+    order = np.lexsort((number, h))
+    h, w = h[order], number[order]
     new_h = np.ones(len(order), bool)
     new_h[1:] = h[1:] != h[:-1]
     new = new_h.copy()
@@ -358,6 +383,7 @@ def _shares(unigrams: Unigrams, spread: int, large: int, table: pa.Table) -> pa.
     first = np.flatnonzero(new)
     # The unknown word is many words: a pair with it is never seen.
     total = np.where(w[first] == UNKNOWN, 0, np.add.reduceat(trained[order], first))
+    del h, w, number, trained
     of_h = (np.cumsum(new_h) - 1)[first]
     heads = order[np.flatnonzero(new_h)]
     n_h = len(heads)
@@ -367,49 +393,72 @@ def _shares(unigrams: Unigrams, spread: int, large: int, table: pa.Table) -> pa.
     for r in range(1, KEPT + 1):
         small[:, r - 1] = np.bincount(of_h[total == r], minlength=n_h)
     covered = np.bincount(of_h[is_seen], p[is_seen], n_h)
-    c_h = h_count[heads]
+    head_number, c_h = h_number[run[heads]], h_count[run[heads]]
     keeps_one = (c_h > large) | ~small.any(1)
+    del count, run, heads, h_number, h_count
 
     # Back to records, and from them to occurrences.
-    r, p_w, head = np.empty((3, len(order)))
-    group = np.cumsum(new) - 1
-    r[order], p_w[order], head[order] = total[group], p[group], of_h[group]
-    r, head = r.astype(np.int64), head.astype(np.int64)
     log_n = np.log10(c_h + keeps_one)
     with np.errstate(divide="ignore"):
-        sure = np.where(r > 0, np.log10(np.maximum(r, 1)) - log_n[head], np.log10(p_w))
-    of_record = np.repeat(np.arange(len(times)), times)
+        sure_of = np.where(is_seen, np.log10(np.maximum(total, 1)) - log_n[of_h], np.log10(p))
+    group = np.cumsum(new) - 1
+    r, head, sure = (np.empty(len(order), x) for x in (np.int8, np.int32, float))
+    r[order] = np.minimum(total, KEPT + 1)[group]
+    head[order] = of_h[group]
+    sure[order] = sure_of[group]
+    del order, group, new, new_h, first, of_h, p, is_seen, sure_of
+    of_record = np.repeat(np.arange(len(times), dtype=np.int32), times)
+    doc = np.concatenate([unplanes(x, 4) for x in table.column("places").to_pylist()])
     width = int(doc.max(initial=0)) + 1
-    cells, cell = np.unique(chunk[of_record] * width + doc, return_inverse=True)
+    doc = chunk[of_record].astype(np.int64) * width + doc
+    cells, cell = np.unique(doc, return_inverse=True)
+    del doc, chunk, times
     n = len(cells)
+    values = np.bincount(cell, sure[of_record], n)
     r_occ = r[of_record]
-    classes = [np.bincount(cell[r_occ == k], minlength=n) for k in range(1, KEPT + 1)]
+    classes = np.stack([np.bincount(cell[r_occ == k], minlength=n) for k in range(1, KEPT + 1)])
     unseen = np.flatnonzero(r_occ == 0)
-    needed = c_h > spread
-    needed[head[of_record[unseen]]] = True
-    new_number = np.cumsum(needed) - 1
-    keep = np.flatnonzero(needed)
+    unseen = unseen[np.argsort(cell[unseen], kind="stable")]
+    cell, head = cell[unseen], head[of_record[unseen]]
+    del of_record, r_occ, sure, r, unseen
+    is_spread = c_h > spread
     counts = np.bincount(np.minimum(total, KEPT + 2), minlength=KEPT + 3)
-    return _share_row(
-        [
-            table.column("bucket")[0].as_py(),
-            None,
-            np.array(table.column("chunk").to_pylist(), "<i8").tobytes(),
-            planes(np.concatenate([cells // width, cells % width])),
-            np.bincount(cell, sure[of_record], n).astype("<f8").tobytes(),
-            planes(np.concatenate(classes)),
-            planes(np.concatenate([cell[unseen], new_number[head[of_record[unseen]]]])),
-            planes(history[heads[keep]]) + planes(c_h[keep]) + planes(small[keep].T.ravel()),
-            (covered[keep]).astype("<f8").tobytes() + keeps_one[keep].tobytes(),
-            counts[1 : KEPT + 2].tolist(),
-        ]
-    )
+    bucket = table.column("bucket")[0].as_py()
+    chunks = np.array(table.column("chunk").to_pylist(), "<i8").tobytes()
+    rows = []
+    for a in range(0, n, piece):
+        own, in_class = cells[a : a + piece], classes[:, a : a + piece]
+        i, j = np.searchsorted(cell, [a, a + piece])
+        needed = np.zeros(n_h, bool)
+        needed[head[i:j]] = True
+        if not a:
+            needed |= is_spread
+        keep = np.flatnonzero(needed)
+        summed = (~is_spread[keep] | (a == 0)).astype(np.int64)
+        number_in = (np.cumsum(needed) - 1)[head[i:j]]
+        place = np.concatenate([own // width, own % width])
+        rows.append(
+            [
+                bucket,
+                None,
+                chunks,
+                planes(place, width_of(place)),
+                values[a : a + piece].astype("<f8").tobytes(),
+                planes(in_class.ravel(), width_of(in_class)),
+                planes(np.concatenate([cell[i:j] - a, number_in]), 4),
+                planes(head_number[keep]) + planes(c_h[keep]) + planes((small[keep].T * summed).ravel()),
+                (covered[keep] * summed).astype("<f8").tobytes() + keeps_one[keep].tobytes(),
+                None if a else counts[1 : KEPT + 2].tolist(),
+            ]
+        )
+    return _share_rows(rows)
 
 
-def _share_row(values: list) -> pa.Table:
+def _share_rows(rows: list[list]) -> pa.Table:
     kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 7, pa.list_(pa.int64())]
     names = [x.split()[0] for x in _SHARE_SCHEMA.split(", ")]
-    return pa.table([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
+    columns = zip(*rows, strict=True)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def _histories(row: dict) -> tuple[np.ndarray, ...]:
@@ -479,22 +528,24 @@ def score(documents: DataFrame, training: Column, text: str = "text") -> DataFra
         F.coalesce(training, F.lit(False)).alias("train"),
     )
     n_buckets = buckets(text_bytes(rows), BUCKET_BYTES)
-    chunks = staged(_chunks(rows, n_buckets), "chunks")
+    chunks = staged(_chunks(rows, n_buckets), "chunks", **SMALL_GROUPS)
     words = staged(_words(chunks, n_buckets), "words")
     tokens, types, n_documents, *seen = _summed(words, KEPT + 4)
     unigrams = Unigrams(tokens, types, n_documents, tuple(seen))
     spread = max(LARGE, tokens // (4 * n_buckets))
+    often = max(1, spread // max(1, chunks.count()))
 
     answers = words.filter("chunk is not null").select("chunk", "bucket", "numbers", "counts")
     pairs = (
         chunks.drop("words", "counts")
         .groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(lambda a, b: _pairs(unigrams, n_buckets, spread, a, b), _PAIR_SCHEMA)
+        .applyInArrow(lambda a, b: _pairs(unigrams, n_buckets, spread, often, a, b), _PAIR_SCHEMA)
     )
     shares = staged(
-        pairs.groupBy("bucket").applyInArrow(lambda x: _shares(unigrams, spread, LARGE, x), _SHARE_SCHEMA),
+        pairs.groupBy("bucket").applyInArrow(lambda x: _shares(unigrams, spread, LARGE, PIECE, x), _SHARE_SCHEMA),
         "shares",
+        **SMALL_GROUPS,
     )
     d = discounts(_summed(shares, KEPT + 1))
     spread_numbers, spread_weights = _spread_weights(shares, spread, d)
@@ -515,15 +566,16 @@ def score(documents: DataFrame, training: Column, text: str = "text") -> DataFra
 
     def _settled_cells(row: dict) -> list[tuple]:
         chunk_ids = np.frombuffer(row["chunks"], "<i8")
-        chunk, doc = unplanes(row["cells"]).reshape(2, -1)
         values = np.frombuffer(row["sure"], "<f8").copy()
-        values += np.log10(d[1:]) @ unplanes(row["classes"]).reshape(KEPT, -1)
+        chunk, doc = unplanes(row["cells"], len(row["cells"]) // (2 * len(values))).reshape(2, -1)
+        classes = unplanes(row["classes"], len(row["classes"]) // (KEPT * len(values)))
+        values += np.log10(d[1:]) @ classes.reshape(KEPT, -1)
         number, count, small, covered, keeps_one = _histories(row)
         log_weight = np.zeros(len(number))
         own = count <= spread
         log_weight[own] = weights(count[own], small[own], covered[own], keeps_one[own], d)
         log_weight[~own] = spread_weights[np.searchsorted(spread_numbers, number[~own])]
-        cell, history = unplanes(row["unseen"]).reshape(2, -1)
+        cell, history = unplanes(row["unseen"], 4).reshape(2, -1)
         values += np.bincount(cell, log_weight[history], len(values))
         cuts = np.flatnonzero(np.diff(chunk, prepend=-1))
         return [
@@ -538,9 +590,13 @@ def score(documents: DataFrame, training: Column, text: str = "text") -> DataFra
         n = len(sizes)
         base, total = np.frombuffer(head["values"], "<f8").reshape(2, -1).copy()
         flags = np.frombuffer(head["docs"][:n], np.uint8)
-        ids = np.frombuffer(head["docs"][n:], "<i8")
+        ids = np.frombuffer(head["docs"][n : 9 * n], "<i8")
+        gaps, repeats = unplanes(head["docs"][9 * n :]).reshape(2, -1)
+        pair, doc = np.divmod(np.cumsum(gaps), n)
+        total = np.append(total, np.zeros(pair.max(initial=-1) + 1))
         for row in sorted((r for r in rows if r["sizes"] is None), key=lambda r: (r["docs"], r["values"])):
             total[unplanes(row["docs"], 4)] += np.frombuffer(row["values"], "<f8")
+        total = total[:n] + np.bincount(doc, total[n:][pair] * repeats, n)
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64(), mask=flags & 2 == 0),

@@ -99,6 +99,32 @@ def test_spread_histories_and_several_chunks(some_documents, monkeypatch):
     check(some_documents, [(r.doc_id, r.text) for r in some_documents.collect()])
 
 
+def test_places_of_a_frequent_pair_lie_in_no_bucket(spark, monkeypatch):
+    """Nearly every document has it; no bucket holds a good part of them."""
+    monkeypatch.setattr(katz, "LARGE", 40)
+    monkeypatch.setattr(katz, "CHUNK", 3000)
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(katz, "PIECE", 100, raising=False)
+    seen, staged = {}, katz.staged
+    monkeypatch.setattr(katz, "staged", lambda df, name, **more: seen.setdefault(name, staged(df, name, **more)))
+    rows = [(i, f"the the the w{i} x{i}" if i % 9 else f"y{i}") for i in range(2000)] + [(3, "the the the w3 x3")]
+    check(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), rows)
+    shares = seen["shares"].filter("bucket >= 0").groupBy("bucket").agg(F.sum(F.octet_length("sure")).alias("n"))
+    assert shares.agg(F.max("n")).first()[0] / 8 < len(rows) / 3
+
+
+def test_shares_are_stored_in_small_rows(some_documents, monkeypatch):
+    """Readers hold a row group: all cells of a bucket in a row are too many."""
+    monkeypatch.setattr(katz, "LARGE", 40)
+    monkeypatch.setattr(katz, "PIECE", 150, raising=False)
+    seen, staged = {}, katz.staged
+    monkeypatch.setattr(katz, "staged", lambda df, name, **more: seen.setdefault(name, staged(df, name, **more)))
+    check(some_documents, [(r.doc_id, r.text) for r in some_documents.collect()])
+    shares = seen["shares"].filter("bucket >= 0")
+    assert shares.agg(F.max(F.octet_length("sure"))).first()[0] <= 8 * 150 < shares.agg(F.sum(F.octet_length("sure"))).first()[0]
+    assert shares.filter("sums is not null").count() == shares.select("bucket").distinct().count() < shares.count()
+
+
 def test_probabilities_add_up_to_one(some_documents):
     model = Force([r.text for r in some_documents.limit(40).collect()])
     words = [*model.one, "a word that is not there"]
